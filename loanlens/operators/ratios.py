@@ -186,9 +186,15 @@ def ratio_projection_formulas(counted: Sequence[str] = tuple(RATIOS)) -> dict[st
     return {f"{m} Pct": formula(m) for m in counted}
 
 
-def ratios(stored: DataFrame, with_subproduct: bool, at_levels: Sequence[Level], with_loans: bool) -> DataFrame:
-    needed = [*RATIOS, ACTIVE_BOM, COLL_BOM]
-    return by_level(stored, with_subproduct, at_levels, ratio_formulas(), needed, with_loans)
+def ratios(
+    stored: DataFrame,
+    with_subproduct: bool,
+    at_levels: Sequence[Level],
+    with_loans: bool,
+    counted: Sequence[str] = tuple(RATIOS),
+) -> DataFrame:
+    needed = sorted({*counted, *[m for c in counted for m in RATIOS[c]]})
+    return by_level(stored, with_subproduct, at_levels, ratio_formulas(counted), needed, with_loans)
 
 
 def _active_calc(s: Sums) -> Column:
@@ -216,8 +222,14 @@ ROLL_FORWARD_NEEDS = [
 ]
 
 
-def roll_forward(stored: DataFrame, with_subproduct: bool, with_loans: bool) -> DataFrame:
-    return by_store(stored, with_subproduct, ROLL_FORWARD, ROLL_FORWARD_NEEDS, with_loans)
+def _only(formulas: dict[str, Formula], names: Sequence[str] | None) -> dict[str, Formula]:
+    return {n: f for n, f in formulas.items() if names is None or n in names}
+
+
+def roll_forward(
+    stored: DataFrame, with_subproduct: bool, with_loans: bool, names: Sequence[str] | None = None
+) -> DataFrame:
+    return by_store(stored, with_subproduct, _only(ROLL_FORWARD, names), ROLL_FORWARD_NEEDS, with_loans)
 
 
 # -- churn ---------------------------------------------------------------------------------
@@ -243,14 +255,18 @@ def churn_pct_formulas(base: Sequence[str]) -> dict[str, Formula]:
     }
 
 
-def churn(stored: DataFrame, with_subproduct: bool) -> DataFrame:
-    return by_store(stored, with_subproduct, CHURN, CHURN_NEEDS)
+def churn(stored: DataFrame, with_subproduct: bool, names: Sequence[str] | None = None) -> DataFrame:
+    return by_store(stored, with_subproduct, _only(CHURN, names), CHURN_NEEDS)
 
 
 def churn_pct(
-    stored: DataFrame, with_subproduct: bool, at_levels: Sequence[Level], base: Sequence[str]
+    stored: DataFrame,
+    with_subproduct: bool,
+    at_levels: Sequence[Level],
+    base: Sequence[str],
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    return by_level(stored, with_subproduct, at_levels, churn_pct_formulas(base), CHURN_NEEDS)
+    return by_level(stored, with_subproduct, at_levels, _only(churn_pct_formulas(base), names), CHURN_NEEDS)
 
 
 # -- projections of the current month (the caller passes rows of that month only) -----------
@@ -271,8 +287,8 @@ def _net_proj(s: Sums) -> Column:
 CHURN_PROJ: dict[str, Formula] = {"Gross Churn Proj": _gross_proj, "Net Churn Proj": _net_proj}
 
 
-def churn_projection(current: DataFrame, with_subproduct: bool) -> DataFrame:
-    return by_store(current, with_subproduct, CHURN_PROJ, CHURN_PROJ_NEEDS)
+def churn_projection(current: DataFrame, with_subproduct: bool, names: Sequence[str] | None = None) -> DataFrame:
+    return by_store(current, with_subproduct, _only(CHURN_PROJ, names), CHURN_PROJ_NEEDS)
 
 
 def churn_pct_projection_formulas(base: Sequence[str]) -> dict[str, Formula]:
@@ -289,17 +305,25 @@ def churn_pct_projection_formulas(base: Sequence[str]) -> dict[str, Formula]:
 
 
 def churn_pct_projection(
-    current: DataFrame, with_subproduct: bool, at_levels: Sequence[Level], base: Sequence[str]
+    current: DataFrame,
+    with_subproduct: bool,
+    at_levels: Sequence[Level],
+    base: Sequence[str],
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    formulas = churn_pct_projection_formulas(base)
+    formulas = _only(churn_pct_projection_formulas(base), names)
     return by_level(current, with_subproduct, at_levels, formulas, CHURN_PROJ_NEEDS, name_tail=" Proj")
 
 
-def ratio_projection(current: DataFrame, with_subproduct: bool, at_levels: Sequence[Level]) -> DataFrame:
-    needed = [*_with_proj(list(RATIOS)), ACTIVE_BOM, COLL_BOM]
-    return by_level(
-        current, with_subproduct, at_levels, ratio_projection_formulas(), needed, name_tail=" Proj"
-    )
+def ratio_projection(
+    current: DataFrame,
+    with_subproduct: bool,
+    at_levels: Sequence[Level],
+    counted: Sequence[str] = tuple(RATIOS),
+) -> DataFrame:
+    needed = sorted({*_with_proj(counted), *_with_proj([m for c in counted for m in RATIOS[c]])})
+    formulas = ratio_projection_formulas(counted)
+    return by_level(current, with_subproduct, at_levels, formulas, needed, name_tail=" Proj")
 
 
 def closing_projection_formulas(with_current_delta: bool) -> dict[str, Formula]:
@@ -332,5 +356,8 @@ CLOSING_NEEDS = [
 ]
 
 
-def closing_projection(current: DataFrame, with_subproduct: bool, with_current_delta: bool) -> DataFrame:
-    return by_store(current, with_subproduct, closing_projection_formulas(with_current_delta), CLOSING_NEEDS)
+def closing_projection(
+    current: DataFrame, with_subproduct: bool, with_current_delta: bool, names: Sequence[str] | None = None
+) -> DataFrame:
+    formulas = _only(closing_projection_formulas(with_current_delta), names)
+    return by_store(current, with_subproduct, formulas, CLOSING_NEEDS)

@@ -185,10 +185,6 @@ def steps(
         yield "closing_mini_only", lambda stored: closing_mini_only(stored, at, kind)
 
 
-# Steps whose rows later steps read; the others are only reported.
-READ_LATER = {"base", "base_mini_only", "derived", "projection", "projection_mini_only"}
-
-
 def run(
     facts: DataFrame,
     merchants: DataFrame,
@@ -208,16 +204,12 @@ def run(
     for name, step in steps(dims, at, kind):
         if name == until:
             break
-        rows = step(table)
-        if name in READ_LATER:
-            rows = cut(rows, f"{kind.name}-{name}")
+        rows = cut(step(table), f"{kind.name}-{name}")
         if table is None:
             table = rows
         elif stored is None:
             table = table.unionByName(rows)
         else:
             batch = rows.drop("AsOf_Date") if name not in ("base", "base_mini_only") else rows
-            table = upsert(table, batch, metric_key(kind))
-            if name in READ_LATER:
-                table = cut(table, f"{kind.name}-{name}-stored")
+            table = cut(upsert(table, batch, metric_key(kind)), f"{kind.name}-{name}-stored")
     return table

@@ -12,7 +12,18 @@ from loanlens.functions.dates import AsOf, month_of
 
 def calendar_days(spark: SparkSession, first: date, last: date) -> DataFrame:
     """One row per day with its month bounds."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("Date"))
+    return _with_months(spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("Date")))
+
+
+def calendar_of(table: DataFrame, column: str) -> DataFrame:
+    """The calendar of a table: every day of the months its dates fall into."""
+    span = table.agg(
+        F.min(month_of(F.col(column))).alias("first"), F.max(F.last_day(column)).alias("last")
+    )
+    return _with_months(span.select(F.explode(F.sequence("first", "last")).alias("Date")))
+
+
+def _with_months(days: DataFrame) -> DataFrame:
     return days.select(
         "Date",
         month_of(F.col("Date")).alias("Month_Start"),
