@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, time, timedelta
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,8 +77,9 @@ LEFT_STATUS = {"N": 80, "O": 80, "R": 81, "C": 82, "B": 83, "G": 84}
 ENTERED_STATUS = {"N": 85, "O": 85, "R": 86, "C": 87, "B": 88, "G": 89}
 
 
-@dataclass(frozen=True)
-class Tables:
+class Tables(Protocol):
+    """The source tables. Any object with these attributes will do, read eagerly or on first use."""
+
     loans: DataFrame
     customers: DataFrame
     users: DataFrame
@@ -178,10 +180,10 @@ def entries(frame: DataFrame, shared: dict[str, Column], lines: Sequence[Line])
     rows = []
     for line in lines:
         values = {**shared, **line.columns()}
-        row = F.struct(*[typed(values, n) for n in per_line])
+        row = F.struct(*[typed(values, n) for n in per_line], F.lit(True).alias("booked"))
         rows.append(row if line.holds is None else F.when(line.holds, row))
-    laid_out = F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull()))
-    return frame.select(*[typed(shared, n) for n in REPORT if n not in per_line], laid_out).select(*REPORT)
+    every = frame.select(*[typed(shared, n) for n in REPORT if n not in per_line], F.inline(F.array(*rows)))
+    return every.filter("booked").select(*REPORT)
 
 
 # -- the loan side of an entry -------------------------------------------------------------------

@@ -96,26 +96,25 @@ def customer_history(loans: DataFrame, at: AsOf, open_spans: DataFrame | None =
         )
         .withColumn("month_no", F.year("day") * 12 + F.month("day"))
     )
-    by_day = W.partitionBy(*KEYS).orderBy("day")
-    before = by_day.rowsBetween(W.unboundedPreceding, -1)
-    after = by_day.rowsBetween(1, W.unboundedFollowing)
-    history = days.select(
-        *KEYS,
-        "day",
-        "month_no",
-        "opened",
-        "closed",
-        "open_in_month",
-        F.coalesce(F.max("good").over(before), F.lit(False)).alias("good_before"),
-        F.min(F.when(F.col("new_loan"), F.col("day"))).over(after).alias("next_new"),
-        F.max("paid").over(before).alias("paid_before"),
+    # Month and day sort like the day alone; naming both lets the month window reuse the sort.
+    # "Later" is the reversed order read forwards: a frame that looks ahead would start over per row.
+    in_order = W.partitionBy(*KEYS).orderBy("month_no", "day")
+    reversed_order = W.partitionBy(*KEYS).orderBy(F.desc("day"))
+    before = in_order.rowsBetween(W.unboundedPreceding, -1)
+    after = reversed_order.rowsBetween(W.unboundedPreceding, -1)
+    columns = [*KEYS, "day", "good_before", "next_new", "paid_before"]
+    history = days.withColumns(
+        {
+            "good_before": F.coalesce(F.max("good").over(before), F.lit(False)),
+            "paid_before": F.max("paid").over(before),
+            "running": F.coalesce(F.sum(F.col("opened") - F.col("closed")).over(before), F.lit(0)),
+        }
     )
-    if open_spans is None:
-        return history.drop("month_no", "opened", "closed", "open_in_month")
-    earlier_months = W.partitionBy(*KEYS).orderBy("month_no").rangeBetween(W.unboundedPreceding, -1)
-    this_month = W.partitionBy(*KEYS, "month_no").orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    carried = F.sum(F.col("opened") - F.col("closed")).over(earlier_months)
-    started = F.sum("open_in_month").over(this_month)
-    return history.withColumn(
-        "open_before", F.coalesce(carried, F.lit(0)) + F.coalesce(started, F.lit(0))
-    ).drop("month_no", "opened", "closed", "open_in_month")
+    if open_spans is not None:
+        columns.append("open_before")
+        month = W.partitionBy(*KEYS, "month_no").orderBy("day")
+        carried = F.first("running").over(month.rowsBetween(W.unboundedPreceding, 0))
+        started = F.sum("open_in_month").over(month.rowsBetween(W.unboundedPreceding, -1))
+        history = history.withColumn("open_before", carried + F.coalesce(started, F.lit(0)))
+    next_new = F.min(F.when(F.col("new_loan"), F.col("day"))).over(after)
+    return history.withColumn("next_new", next_new).select(*columns)

@@ -18,14 +18,14 @@ DELTA_MONTHS = 6
 def recent_events(facts: DataFrame, at: AsOf) -> DataFrame:
     """Events of the last thirty full days, one row per projection they feed."""
     oldest = at.day - timedelta(days=RATE_DAYS + 1)
-    return facts.filter(
+    chosen = facts.filter(
         F.col("Status").isin(list(EVENT_METRICS))
         & F.col("Product").isNotNull()
         & (F.col("From_Date") > F.lit(oldest))
         & (F.col("To_Date") < F.lit(at.day))
-    ).select("*", F.explode(event_metrics()).alias("base_metric")).select(
-        "*", F.concat("base_metric", F.lit(" Proj")).alias("Metric")
     )
+    named = chosen.select("*", F.explode(event_metrics()).alias("base_metric"))
+    return named.filter(F.col("base_metric").isNotNull()).withColumn("Metric", F.concat("base_metric", F.lit(" Proj")))
 
 
 def flow_projection(events: DataFrame, at: AsOf, with_subproduct: bool) -> DataFrame:

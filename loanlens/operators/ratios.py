@@ -126,10 +126,11 @@ def by_level(
         label = " " + level.suffix if level.suffix else ""
         return F.when(level.takes, F.struct(F.lit(label + name_tail).alias("suffix"), *kept))
 
-    tags = F.filter(F.array(*[tag(level) for level in at_levels]), lambda t: t.isNotNull())
+    tags = F.array(*[tag(level) for level in at_levels])
     values = ["Value_Cust", "Value_Loan"] if with_loans else ["Value_Cust"]
     summed = (
         stored.select(F.explode(tags).alias("t"), "Metric", "Dateref", *values)
+        .filter(F.col("t").isNotNull())
         .groupBy("t.suffix", *[f"t.{d}" for d in dims], "Dateref")
         .agg(*_aggregates(needed, values))
     )

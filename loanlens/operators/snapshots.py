@@ -132,9 +132,11 @@ def snapshots(stored: DataFrame, at: AsOf, with_subproduct: bool, kinds: Sequenc
         "BOM": report("BOM", bound, bound <= F.lit(last)),
         "EOM": report("EOM", F.add_months(bound, -1), bound > F.lit(first)),
     }
-    both = F.filter(F.array(*[offered[k] for k in kinds]), lambda s: s.isNotNull())
-    return counted.select(*dims, F.explode(both).alias("r"), "Value_Cust", "Value_Loan").select(
-        *dims, "r.Metric", "r.Dateref", "Value_Cust", "Value_Loan", _no_as_of()
+    both = F.array(*[offered[k] for k in kinds])
+    return (
+        counted.select(*dims, F.explode(both).alias("r"), "Value_Cust", "Value_Loan")
+        .filter(F.col("r").isNotNull())
+        .select(*dims, "r.Metric", "r.Dateref", "Value_Cust", "Value_Loan", _no_as_of())
     )
 
 
@@ -177,27 +179,28 @@ def closing_zero(facts: DataFrame, at: AsOf, with_subproduct: bool) -> DataFrame
 
 
 def event_metrics() -> Column:
-    """The metrics one event counts into: its own, and any default also as `Default (Any)`.
+    """The metrics one event counts into (or NULL): its own, and any default also as `Default (Any)`.
 
     Customers with several kinds of default in a month count once in the latter, so it cannot
     be added up from the former.
     """
     pairs = [F.lit(x) for pair in EVENT_METRICS.items() for x in pair]
     own = F.element_at(F.create_map(*pairs), F.col("Status"))
-    both = F.array(
+    return F.array(
         F.when(F.col("Product").isNotNull(), own),
         F.when(F.col("Status").isin(DEFAULT_STATUSES), F.lit(DEFAULT_ANY)),
     )
-    return F.filter(both, lambda m: m.isNotNull())
 
 
 def window_events(facts: DataFrame, at: AsOf) -> DataFrame:
     """Event rows from the window up to yesterday, one per metric they count into."""
-    return facts.filter(
+    chosen = facts.filter(
         F.col("Status").isin(list(EVENT_METRICS))
         & (F.col("From_Date") > F.lit(at.window_opens_after))
         & (F.col("To_Date") < F.lit(at.day))
-    ).select("*", F.explode(event_metrics()).alias("Metric"), month_of(F.col("From_Date")).alias("Dateref"))
+    )
+    named = chosen.select("*", F.explode(event_metrics()).alias("Metric"), month_of(F.col("From_Date")).alias("Dateref"))
+    return named.filter(F.col("Metric").isNotNull())
 
 
 def flow_counts(events: DataFrame, with_subproduct: bool) -> DataFrame:

@@ -241,8 +241,8 @@ def _emit(wide: DataFrame, chosen: Sequence[Rule]) -> DataFrame:
     loan = ["Merch_Store_Id", "Subproduct", "Appl_No", "Cust_SSN"]
     if len(chosen) == 1:
         return wide.filter(chosen[0].holds).select(*loan, row(chosen[0]).alias("r")).select(*loan, "r.*")
-    rows = F.filter(F.array(*[F.when(r.holds, row(r)) for r in chosen]), lambda r: r.isNotNull())
-    return wide.select(*loan, F.inline(rows))
+    rows = F.array(*[F.when(r.holds, row(r)) for r in chosen])
+    return wide.select(*loan, F.inline(rows)).filter(F.col("Status").isNotNull())
 
 
 def classify(
@@ -373,6 +373,7 @@ def renewals(loans: DataFrame, merchants: DataFrame, at: AsOf, statuses: Sequenc
         sides.append(F.when(F.col("store_known"), side("Renewed_2", "")))
     on = F.col("renewed_on")
     return (
-        pairs.select(on, F.explode(F.filter(F.array(*sides), lambda s: s.isNotNull())).alias("s"))
+        pairs.select(on, F.explode(F.array(*sides)).alias("s"))
+        .filter(F.col("s").isNotNull())
         .select("s.*", on.alias("From_Date"), on.alias("To_Date"), on.alias("Ref_Date"))
     )

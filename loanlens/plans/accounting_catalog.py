@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
@@ -15,7 +14,7 @@ from loanlens.operators import accounting as A
 from loanlens.operators.sinks import write_extract
 from loanlens.plans import extract
 from loanlens.plans.catalog import Query, Sample, plain
-from loanlens.session import shared_folder
+from loanlens.session import run_path
 from loanlens.sources.sample_accounting import AccountingSample
 
 P = A.params("00003", date(1999, 1, 1), date(2001, 12, 31), datetime(2002, 1, 1, 6))
@@ -110,7 +109,7 @@ def _extract(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored_extract(spark: SparkSession, folder: str) -> DataFrame:
     """The extract written as files and read back."""
-    path = f"{shared_folder(spark)}/extract-{uuid.uuid4().hex}"
+    path = run_path(spark, "extract")
     write_extract(A.sorted_extract(_formatted(spark, folder)), path, "parquet")
     return spark.read.parquet(path)
 

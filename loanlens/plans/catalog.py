@@ -1,8 +1,9 @@
 """Every operator as a named query over one folder of sample tables.
 
-The status facts and the metric rows of a step are tables that several queries read, just as a
-nightly run stores them once. They are written to the shared folder on first use and found again
-by application, folder and the state of its files.
+The loan tables, the status facts and the metric rows of a step are tables that several queries
+read, just as a loan system and its nightly run store them once. They are derived from the whole
+sample tables, written to the shared folder on first use, and found again by application, folder
+and the state of its files.
 """
 
 from __future__ import annotations
@@ -61,9 +62,22 @@ class Sample(SampleTables):
 
     def _file_state(self) -> int:
         """One number for the names, sizes and times of the folder's files; no content is read."""
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.folder)
-        seen = F.xxhash64("path", "length", "modificationTime")
-        return files.agg(F.bit_xor(seen)).first()[0]
+        if not hasattr(self, "_state"):
+            files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            seen = F.xxhash64("path", "length", "modificationTime")
+            found = files.option("recursiveFileLookup", "true").load(self.folder).agg(F.bit_xor(seen)).first()
+            self._state = found[0]
+        return self._state
+
+    def dim_merchant(self) -> DataFrame:
+        return self._kept("dim_merchant", super().dim_merchant)
+
+    def loan_appl(self, with_renewals: bool = True) -> DataFrame:
+        loans = self._kept("loan_appl", super().loan_appl)
+        return loans if with_renewals else loans.drop("Ren_ApplNo")
+
+    def payment(self) -> DataFrame:
+        return self._kept("payment", super().payment)
 
     def facts(self) -> DataFrame:
         return self._kept(
@@ -85,29 +99,29 @@ class Sample(SampleTables):
 
 
 def status(*names: str) -> Query:
-    return lambda spark, folder: plain(_classified(SampleTables(spark, folder), AT, *names))
+    return lambda spark, folder: plain(_classified(Sample(spark, folder), AT, *names))
 
 
-def _classified(t: SampleTables, at: AsOf, *names: str) -> DataFrame:
+def _classified(t: Sample, at: AsOf, *names: str) -> DataFrame:
     return classify(t.loan_appl(), t.payment(), t.dim_merchant(), at, list(names)).select(*FACT_COLUMNS)
 
 
 def renewal(*names: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        t = SampleTables(spark, folder)
+        t = Sample(spark, folder)
         return plain(renewals(t.loan_appl(), t.dim_merchant(), AT, list(names)).select(*FACT_COLUMNS))
 
     return query
 
 
 def fact_load(spark: SparkSession, folder: str) -> DataFrame:
-    t = SampleTables(spark, folder)
+    t = Sample(spark, folder)
     return plain(load_facts(t.loan_appl(), t.payment(), t.dim_merchant(), AT).select(*FACT_COLUMNS))
 
 
 def void_purge(spark: SparkSession, folder: str) -> DataFrame:
     """Due rows of a time when today's voided loans were still open, without the voided loans."""
-    t = SampleTables(spark, folder)
+    t = Sample(spark, folder)
     loans = t.loan_appl()
     before = loans.withColumn(
         "Loan_Status", F.when(F.col("Loan_Status") == "V", "O").otherwise(F.col("Loan_Status"))
@@ -120,27 +134,28 @@ def void_purge(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The loan table as it is derived, not from the stored copy."""
     return plain(SampleTables(spark, folder).loan_appl())
 
 
 def source_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    loans = SampleTables(spark, folder).loan_appl(with_renewals=False)
+    loans = Sample(spark, folder).loan_appl(with_renewals=False)
     return plain(window_days(calendar_of(loans, "Origin_Date"), AT))
 
 
 def source_months(spark: SparkSession, folder: str) -> DataFrame:
-    loans = SampleTables(spark, folder).loan_appl(with_renewals=False)
+    loans = Sample(spark, folder).loan_appl(with_renewals=False)
     return plain(month_starts(calendar_of(loans, "Origin_Date"), AT))
 
 
 def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Active rows of last month's run, updated with this month's."""
-    t = SampleTables(spark, folder)
+    t = Sample(spark, folder)
     return plain(K.upsert(_classified(t, EARLIER, "Active"), _classified(t, AT, "Active"), FACT_KEY))
 
 
 def sink_delete_window(spark: SparkSession, folder: str) -> DataFrame:
-    t = SampleTables(spark, folder)
+    t = Sample(spark, folder)
     cut_off = AsOf(AT.day, 3).window_opens_after
     return plain(K.delete_status_window(_classified(t, AT, "Due", "Active"), ["Due"], cut_off))
 
@@ -150,13 +165,13 @@ def sink_delete_pattern(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sink_delete_by_key(spark: SparkSession, folder: str) -> DataFrame:
-    t = SampleTables(spark, folder)
+    t = Sample(spark, folder)
     return plain(K.delete_by_key(t.payment(), voided_loans(t.loan_appl(with_renewals=False)), "Appl_No"))
 
 
 def sink_reject(spark: SparkSession, folder: str) -> DataFrame:
     """Loans that cannot become fact rows because their store has no product."""
-    t = SampleTables(spark, folder)
+    t = Sample(spark, folder)
     rows = loans_with_product(t.loan_appl(with_renewals=False), t.dim_merchant()).select(
         "Merch_Store_Id", "Subproduct", "Appl_No", "Cust_SSN", F.col("Loan_Status").alias("Status")
     )
@@ -298,7 +313,8 @@ def mini_only_queries() -> dict[str, Query]:
 
 
 def monthly_run(kind: M.MetricSet) -> Query:
-    return metric(kind, lambda t: t.stored_before(kind, None))
+    """A whole run over the stored facts; nothing of it is kept from earlier queries."""
+    return metric(kind, lambda t: M.run(t.facts(), t.dim_merchant(), AT, kind))
 
 
 STATUS_OPS = {

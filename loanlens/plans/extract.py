@@ -41,4 +41,10 @@ def report(
 
 
 def accounting_extract(tables: A.Tables, p: A.Params) -> DataFrame:
-    return A.sorted_extract(A.formatted(A.with_gl_codes(report(tables, p), tables), p))
+    """The ordered text extract.
+
+    The entries are stored before the sort: a range sort reads its input twice, once to find
+    the ranges.
+    """
+    stored = written(report(tables, p), "extract-entries")
+    return A.sorted_extract(A.formatted(A.with_gl_codes(stored, tables), p))

@@ -40,12 +40,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _scratch.setdefault(context.applicationId, tempfile.mkdtemp(prefix="loanlens-"))
 
 
+def run_path(spark: SparkSession, name: str) -> str:
+    """A new path for a table of this run; one folder per application, so that a run is easy to clear."""
+    return f"{shared_folder(spark)}/loanlens-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write `df` to a fresh path in the shared folder and read it back.
 
     Later steps then start from files that outlive any executor, not from a long lineage.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = run_path(df.sparkSession, name)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)

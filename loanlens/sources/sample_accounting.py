@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loanlens.functions.loan import MONEY
-from loanlens.operators.accounting import Tables
 from loanlens.sources.sample import SampleTables, at_time, money, padded, payment_type, pick
 
 # Payment types that the order flags do not give, one per part number modulo 24.
@@ -28,28 +27,32 @@ def text(prefix: str, col: Column) -> Column:
     return F.concat(F.lit(prefix), col.cast("string"))
 
 
+class SampleBooks:
+    """The source tables of the accounting extract, each built when it is first read."""
+
+    NAMES = {
+        "loans": "ca_loan_appl", "customers": "ca_customer", "users": "ca_user", "collections": "ca_collections",
+        "rates": "ca_ratemaster", "ach": "ca_ach_processed", "ach_returns": "ca_achreturns",
+        "payments": "ca_payment", "voids": "ca_void", "fee_details": "ca_feechargedetails",
+        "interest": "ca_interest_calc", "charges": "ca_bankruptcy_charges", "history": "ca_loanapplicationhistory",
+        "petty_cash": "ca_pettycashtransaction", "balances": "ca_balance", "cash": "ca_cash",
+        "checks": "ca_checks", "gl_codes": "ca_merchant_glcodes",
+    }
+
+    def __init__(self, sample: AccountingSample):
+        self._sample = sample
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise AttributeError(name)
+        table = getattr(self._sample, self.NAMES[name])()
+        setattr(self, name, table)
+        return table
+
+
 class AccountingSample(SampleTables):
-    def tables(self) -> Tables:
-        return Tables(
-            loans=self.ca_loan_appl(),
-            customers=self.ca_customer(),
-            users=self.ca_user(),
-            collections=self.ca_collections(),
-            rates=self.ca_ratemaster(),
-            ach=self.ca_ach_processed(),
-            ach_returns=self.ca_achreturns(),
-            payments=self.ca_payment(),
-            voids=self.ca_void(),
-            fee_details=self.ca_feechargedetails(),
-            interest=self.ca_interest_calc(),
-            charges=self.ca_bankruptcy_charges(),
-            history=self.ca_loanapplicationhistory(),
-            petty_cash=self.ca_pettycashtransaction(),
-            balances=self.ca_balance(),
-            cash=self.ca_cash(),
-            checks=self.ca_checks(),
-            gl_codes=self.ca_merchant_glcodes(),
-        )
+    def tables(self) -> SampleBooks:
+        return SampleBooks(self)
 
     def ca_loan_appl(self) -> DataFrame:
         k = F.col("Appl_No")
