@@ -209,7 +209,11 @@ def _current(t: Sample, kind: M.MetricSet, step: str) -> DataFrame:
 
 def metric_set_queries(kind: M.MetricSet) -> dict[str, Query]:
     """The operators of one metric set; both sets have the same ones."""
-    sub, levels = kind.with_subproduct, R.levels(kind.with_subproduct)
+    sub = kind.with_subproduct
+
+    def levels() -> list[R.Level]:
+        return R.levels(sub)  # columns, so only once a session runs
+
     found: dict[str, Callable[[Sample], DataFrame]] = {
         "M01_bom_snapshot": lambda t: S.snapshots(S.month_bounds(t.placed_facts(), AT), AT, sub, ["BOM"]),
         "M02_eom_snapshot": lambda t: S.snapshots(S.month_bounds(t.placed_facts(), AT), AT, sub, ["EOM"]),
@@ -232,7 +236,7 @@ def metric_set_queries(kind: M.MetricSet) -> dict[str, Query]:
             _current(t, kind, "churn_projected"), sub, ["Net Churn Proj"]
         ),
         "M19_level_rollup": lambda t: M.derived(t.stored_before(kind, "derived"), AT, kind),
-        "M32_ratio_proj": lambda t: R.ratio_projection(_current(t, kind, "closing"), sub, levels),
+        "M32_ratio_proj": lambda t: R.ratio_projection(_current(t, kind, "closing"), sub, levels()),
     }
     if kind.closing == "zero":
         found["M03_eom_zero_current"] = lambda t: S.closing_zero(t.placed_facts(), AT, sub)
@@ -240,17 +244,17 @@ def metric_set_queries(kind: M.MetricSet) -> dict[str, Query]:
         found["M04_eom_mtd"] = lambda t: S.closing_to_date(S.open_on(t.placed_facts(), AT.day), AT, sub)
     for op, counted in RATIO_OPS.items():
         found[op] = lambda t, counted=counted: R.ratios(
-            t.stored_before(kind, "derived"), sub, levels, kind.with_loans, [counted]
+            t.stored_before(kind, "derived"), sub, levels(), kind.with_loans, [counted]
         )
     for op, name in ROLL_OPS.items():
         found[op] = lambda t, name=name: R.roll_forward(t.stored_before(kind, "derived"), sub, kind.with_loans, [name])
     for op, name in {"M21_gross_churn_pct": "Gross Churn Pct", "M23_net_churn_pct": "Net Churn Pct"}.items():
         found[op] = lambda t, name=name: R.churn_pct(
-            t.stored_before(kind, "churn"), sub, levels, kind.churn_base, [name]
+            t.stored_before(kind, "churn"), sub, levels(), kind.churn_base, [name]
         )
     for op, name in {"M29_gross_churn_pct_proj": "Gross Churn Pct", "M31_net_churn_pct_proj": "Net Churn Pct"}.items():
         found[op] = lambda t, name=name: R.churn_pct_projection(
-            _current(t, kind, "churn_projected"), sub, levels, kind.churn_base_proj, [name]
+            _current(t, kind, "churn_projected"), sub, levels(), kind.churn_base_proj, [name]
         )
     for op, name in CLOSING_OPS.items():
         found[op] = lambda t, name=name: R.closing_projection(
