@@ -201,8 +201,10 @@ def loan_context(tables: Tables, p: Params) -> DataFrame:
 
     Users and rates are small lists, but nothing here forces a broadcast: the engine decides by
     their size. Several users or collection rows for a loan multiply its entries, as booked.
+    Callers store the result: sources with a hot loan then join it straight from a shuffle.
     """
     loans = tables.loans.filter(p.here("Merch_Store_Id"))
+    loans = loans.join(return_counts(tables, loans), "Appl_No", "left")
     customers = tables.customers.select(
         "Cust_Id", "Cust_MerchantID", "Cust_State", full_name().alias("Cust_Name")
     )
@@ -226,10 +228,18 @@ def loan_context(tables: Tables, p: Params) -> DataFrame:
             F.col("Date_Created").alias("loan_created"),
             "Cust_MerchantID", "Cust_Name", "Cust_State", "PlacedIntoCollections", "Assigned_User_ID", "Emp_User_Id",
             F.coalesce("origin_name", F.lit("")).alias("origin_name"),
+            F.coalesce("returns", F.lit(0)).alias("returns"),
         )
     )
 
 
+def return_counts(tables: Tables, loans: DataFrame) -> DataFrame:
+    """Returned bank transfers per loan, for the given loans. Deleted transfers count too."""
+    wanted = tables.ach.select("Appl_No", "ACH_No").join(loans.select("Appl_No"), "Appl_No", "left_semi")
+    returns = tables.ach_returns.select(F.col("Achno").alias("ACH_No"), "Achretid")
+    return wanted.join(returns, "ACH_No").groupBy("Appl_No").agg(F.count("Achretid").alias("returns"))
+
+
 def loan_side() -> dict[str, Column]:
     return {
         "Merchant_Id": F.col("Cust_MerchantID"),
@@ -359,15 +369,8 @@ def voids(
 # -- payments ------------------------------------------------------------------------------------
 
 
-def return_counts(tables: Tables, context: DataFrame) -> DataFrame:
-    """Returned bank transfers per loan, for loans of the context. Deleted transfers count too."""
-    wanted = tables.ach.select("Appl_No", "ACH_No").join(context.select("Appl_No"), "Appl_No", "left_semi")
-    returns = tables.ach_returns.select(F.col("Achno").alias("ACH_No"), "Achretid")
-    return wanted.join(returns, "ACH_No").groupBy("Appl_No").agg(F.count("Achretid").alias("returns"))
-
-
 def payment_frame(tables: Tables, p: Params, context: DataFrame) -> DataFrame:
-    """Payments of the window with their loan, the payment they refer to, and the return count.
+    """Payments of the window with their loan and the payment they refer to.
 
     Most payments refer to none. They look up their own negative number, which no payment has,
     so that they do not all meet in one partition.
@@ -379,7 +382,6 @@ def payment_frame(tables: Tables, p: Params, context: DataFrame) -> DataFrame:
     ref_key = F.coalesce(F.col("Refno"), -F.col("Pmt_Tran_No"))
     return (
         pay.join(context, "Appl_No")
-        .join(return_counts(tables, context), "Appl_No", "left")
         .withColumn("wanted_ref", ref_key)
         .join(referred, (F.col("wanted_ref") == F.col("ref_key")) & F.col("Refno").isNotNull(), "left")
         .drop("wanted_ref")
@@ -411,7 +413,7 @@ def _payment_side() -> dict[str, Column]:
         "Tran_Mode": F.col("Pmt_Mode"),
         "Payment_Sub_Type": F.when(F.col("Pmt_Mode") != "C", F.nullif(sub_type, F.lit(0))).otherwise(sub_type),
         "Returntype": F.when(F.col("Pmt_Type") == "N", lookup(F.col("ref_type"), RETURN_TYPES)),
-        "Return_Item_Count": F.coalesce("returns", F.lit(0)),
+        "Return_Item_Count": F.col("returns"),
         "ACH_No": F.col("ach_no"),
     }
 

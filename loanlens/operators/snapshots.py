@@ -216,21 +216,29 @@ def _named_mini_only(rows: DataFrame) -> DataFrame:
     return rows.withColumn("Product", F.lit(MINI_ONLY))
 
 
+def _seen_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that occur, at most a few times each.
+
+    Doubles are removed within a bucket of loans, not altogether: the result is then not yet
+    laid out by the key, so the anti-join shuffles both sides itself and can split a customer
+    who holds a large part of the rows.
+    """
+    bucket = F.pmod(F.hash("Appl_No"), F.lit(8)).alias("bucket")
+    return rows.select(*keys, bucket).distinct().drop("bucket")
+
+
 def mini_only_spans(open_rows: DataFrame) -> DataFrame:
     """Small-loan spans of customers with no other product open at the same moment in the same class."""
     same_moment = ["Cust_SSN", "bound", "class"]
-    others = open_rows.filter(F.col("Product").isin(OTHER_PRODUCTS)).select(*same_moment).distinct()
+    others = _seen_keys(open_rows.filter(F.col("Product").isin(OTHER_PRODUCTS)), same_moment)
     mini = open_rows.filter(F.col("Product") == MINI)
     return _named_mini_only(mini.join(others, same_moment, "left_anti"))
 
 
 def mini_only_events(events: DataFrame, facts: DataFrame) -> DataFrame:
     """Small-loan events of customers without an event in another product in the same month."""
-    others = (
-        facts.filter(F.col("Product").isin(OTHER_PRODUCTS) & F.col("Status").isin(SEEN_STATUSES))
-        .select("Cust_SSN", month_of(F.col("From_Date")).alias("Dateref"))
-        .distinct()
-    )
+    seen = facts.filter(F.col("Product").isin(OTHER_PRODUCTS) & F.col("Status").isin(SEEN_STATUSES))
+    others = _seen_keys(seen.withColumn("Dateref", month_of(F.col("From_Date"))), ["Cust_SSN", "Dateref"])
     mini = events.filter(F.col("Product") == MINI)
     return _named_mini_only(mini.join(others, ["Cust_SSN", "Dateref"], "left_anti"))
 
@@ -238,9 +246,8 @@ def mini_only_events(events: DataFrame, facts: DataFrame) -> DataFrame:
 def mini_only_recent_events(events: DataFrame, facts: DataFrame, at: AsOf) -> DataFrame:
     """The same for projections: the other products are looked up in the current month only."""
     this_month = (F.col("From_Date") >= F.lit(at.month)) & (F.col("From_Date") < F.lit(month_start(at.month, 1)))
-    others = (
-        facts.filter(F.col("Product").isin(OTHER_PRODUCTS_PROJECTED) & F.col("Status").isin(SEEN_STATUSES) & this_month)
-        .select("Cust_SSN")
-        .distinct()
+    seen = facts.filter(
+        F.col("Product").isin(OTHER_PRODUCTS_PROJECTED) & F.col("Status").isin(SEEN_STATUSES) & this_month
     )
+    others = _seen_keys(seen, ["Cust_SSN"])
     return _named_mini_only(events.filter(F.col("Product") == MINI).join(others, "Cust_SSN", "left_anti"))

@@ -32,6 +32,9 @@ class Books(Sample, AccountingSample):
     def ca_ach_processed(self) -> DataFrame:
         return self._kept("ca_ach_processed", super().ca_ach_processed)
 
+    def loans_of_stores(self) -> DataFrame:
+        return self._kept("accounting-loans", lambda: A.loan_context(self.tables(), P))
+
     def report(self) -> DataFrame:
         return self._kept("accounting-report", lambda: extract.report(self.tables(), P))
 
@@ -44,8 +47,8 @@ def _query(build: Callable[[A.Tables, DataFrame], list[DataFrame]]) -> Query:
     """A block as a query; `build` gets the tables and the loans of the stores."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        tables = Books(spark, folder).tables()
-        return plain(_joined(build(tables, A.loan_context(tables, P))))
+        books = Books(spark, folder)
+        return plain(_joined(build(books.tables(), books.loans_of_stores())))
 
     return query
 

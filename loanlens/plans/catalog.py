@@ -23,7 +23,7 @@ from loanlens.operators import snapshots as S
 from loanlens.operators.status import FACT_COLUMNS, FACT_KEY, classify, loans_with_product, renewals
 from loanlens.plans import monthly as M
 from loanlens.plans.fact import load_facts, voided_loans
-from loanlens.session import written
+from loanlens.session import prepare, written
 from loanlens.sources.calendar import calendar_of, month_starts, window_days
 from loanlens.sources.sample import SampleTables
 
@@ -54,6 +54,9 @@ def plain(df: DataFrame) -> DataFrame:
 class Sample(SampleTables):
     """Sample tables plus the tables a run stores."""
 
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__(prepare(spark), folder)
+
     def _kept(self, name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, self._file_state(), name)
         if key not in _stored:

@@ -86,12 +86,16 @@ class MetricSql:
         return f"{alias}.status IN {OPEN} AND {alias}.d1 < {at} AND {alias}.d2 >= {at}"
 
     def _mini(self, at: str) -> tuple[str, str]:
-        where = (
-            "AND f.product = 'Mini Money' AND NOT EXISTS (SELECT 1 FROM placed o WHERE o.ssn = f.ssn "
-            "AND o.product IN ('Zip', 'Pocket Money', 'Thurlow') AND o.cls = f.cls "
-            f"AND {self._open('o', at)})"
-        )
-        return where, "'Mini Money Only'"
+        elsewhere = "o.product IN ('Zip', 'Pocket Money', 'Thurlow')"
+        if at == AS_OF:
+            seen = f"(f.ssn, f.cls) NOT IN (SELECT o.ssn, o.cls FROM placed o WHERE {elsewhere} AND {self._open('o', at)})"
+        else:
+            then = at.replace("m", "k.m", 1)
+            seen = (
+                "(f.ssn, f.cls, months.m) NOT IN (SELECT o.ssn, o.cls, k.m FROM placed o, months k "
+                f"WHERE {elsewhere} AND {self._open('o', then)})"
+            )
+        return f"AND f.product = 'Mini Money' AND {seen}", "'Mini Money Only'"
 
     def _snap(self, at: str, kind: str, mini: bool) -> str:
         extra, product = self._mini(at) if mini else ("", "product")
@@ -116,9 +120,8 @@ class MetricSql:
         if mini:
             product = "'Mini Money Only'"
             where += (
-                f" AND f.product = 'Mini Money' AND NOT EXISTS (SELECT 1 FROM placed o WHERE o.ssn = f.ssn AND o.status IN {SEEN} "
-                "AND o.product IN ('Zip', 'Pocket Money', 'Thurlow') "
-                "AND o.d1 BETWEEN date_trunc('month', f.d1)::DATE AND last_day(f.d1))"
+                " AND f.product = 'Mini Money' AND (f.ssn, last_day(f.d1)) NOT IN (SELECT o.ssn, last_day(o.d1) FROM placed o "
+                f"WHERE o.status IN {SEEN} AND o.product IN ('Zip', 'Pocket Money', 'Thurlow'))"
             )
         elif not any_default:
             where += " AND product IS NOT NULL"
@@ -247,7 +250,7 @@ class MetricSql:
         if mini:
             product = "'Mini Money Only'"
             where += (
-                f" AND f.product = 'Mini Money' AND NOT EXISTS (SELECT 1 FROM placed o WHERE o.ssn = f.ssn AND o.status IN {SEEN} "
+                f" AND f.product = 'Mini Money' AND f.ssn NOT IN (SELECT o.ssn FROM placed o WHERE o.status IN {SEEN} "
                 f"AND o.product IN ('Zip', 'Pocket Money') AND o.d1 >= {MONTH} AND o.d1 <= last_day({AS_OF}))"
             )
         metric = "'Default (Any) Proj'" if any_default else f"{NAMED} || ' Proj'"

@@ -11,6 +11,8 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
+import pyarrow.parquet as pq
+
 from oracle.compare import TABLES, database
 
 HOT_LOAN = (
@@ -32,7 +34,8 @@ def skewed(source: str, target: str) -> str:
     loan = con.execute(HOT_LOAN).fetchall()
     for name in TABLES:
         query = CHANGED.get(name, f"SELECT * FROM {name}").format(loan=loan[0][0])
-        con.execute(f"COPY ({query}) TO '{target}/{name}.parquet' (FORMAT parquet)")
+        table = con.sql(query).to_arrow_table()
+        pq.write_table(table, f"{target}/{name}.parquet")
     return target
 
 
