@@ -38,6 +38,12 @@ def subproduct(product: Column, charge: Column, amount: Column) -> Column:
     ).otherwise(product)
 
 
+def looked_up(code: Column, values: dict[str, int] | dict[str, str]) -> Column:
+    """The value listed for a code, NULL for other codes."""
+    pairs = ", ".join(f"'{k}', {v!r}" for k, v in values.items())
+    return F.element_at(F.expr(f"map({pairs})"), code)
+
+
 def zero_if_null(col: Column, kind: str = MONEY) -> Column:
     return F.coalesce(col, F.lit(0)).cast(kind)
 

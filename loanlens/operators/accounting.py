@@ -15,7 +15,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.functions.loan import MONEY, cso_share, zero_if_null
+from loanlens.functions.loan import MONEY, cso_share, looked_up, zero_if_null
 
 TIME = "timestamp_ntz"
 
@@ -146,11 +146,6 @@ def has_cso(tables: Tables, p: Params) -> bool:
 # -- layout ------------------------------------------------------------------------------------
 
 
-def lookup(code: Column, values: dict[str, int]) -> Column:
-    pairs = [x for k, v in values.items() for x in (F.lit(k), F.lit(v))]
-    return F.element_at(F.create_map(*pairs), code)
-
-
 @dataclass(frozen=True)
 class Line:
     """One entry of an event: its account and amount, when it is booked, and other own columns."""
@@ -169,7 +164,9 @@ def entries(frame: DataFrame, shared: dict[str, Column], lines: Sequence[Line])
     """Entries of a frame: columns that all lines share, and one row per line that holds."""
 
     def typed(values: dict[str, Column], name: str) -> Column:
-        return values.get(name, F.lit(None)).cast(REPORT[name]).alias(name)
+        if name not in values:
+            return F.expr(f"CAST(NULL AS {REPORT[name]}) AS {name}")
+        return values[name].cast(REPORT[name]).alias(name)
 
     if len(lines) == 1:
         line = lines[0]
@@ -330,7 +327,7 @@ def new_loans(
         **loan_side(),
         "Tran_Date_Time": F.col("loan_created"),
         "Tran_Id": F.col("Appl_No"),
-        "Tran_Type_Id": lookup(F.col("Loan_Type"), NEW_LOAN_TYPES),
+        "Tran_Type_Id": looked_up(F.col("Loan_Type"), NEW_LOAN_TYPES),
         "Tran_Mode": F.col("Disb_Mode"),
         "Loan_Disburse_Subtype": F.col("Cashdisbmode"),
         "Check_Number": F.col("PrintedCheckNo"),
@@ -408,11 +405,11 @@ def _payment_side() -> dict[str, Column]:
         "Tran_Id": F.col("Pmt_Tran_No"),
         "Tran_Lynk_Id": F.col("Refno"),
         "Tran_Type_Id": F.when(F.col("Pmt_Mode") == GIFT_MODE, GIFT_TYPE).otherwise(
-            F.coalesce(lookup(F.col("Pmt_Type"), PAYMENT_TRAN_TYPES), F.lit(OTHER_PAYMENT))
+            F.coalesce(looked_up(F.col("Pmt_Type"), PAYMENT_TRAN_TYPES), F.lit(OTHER_PAYMENT))
         ),
         "Tran_Mode": F.col("Pmt_Mode"),
         "Payment_Sub_Type": F.when(F.col("Pmt_Mode") != "C", F.nullif(sub_type, F.lit(0))).otherwise(sub_type),
-        "Returntype": F.when(F.col("Pmt_Type") == "N", lookup(F.col("ref_type"), RETURN_TYPES)),
+        "Returntype": F.when(F.col("Pmt_Type") == "N", looked_up(F.col("ref_type"), RETURN_TYPES)),
         "Return_Item_Count": F.col("returns"),
         "ACH_No": F.col("ach_no"),
     }
@@ -453,7 +450,7 @@ def prepayments(tables: Tables, frame: DataFrame) -> list[DataFrame]:
     """Payments in advance: booked with their whole amount, as nothing is applied yet."""
     unapplied = (_paid("Principle_Paid") == 0) & (_paid("Fincharge_Paid") == 0) & (_paid("Feecharge_Paid") == 0)
     early = frame.filter(F.col("Pmt_Type").isin(list(PREPAYMENT_TYPES)) & unapplied)
-    shared = {**_payment_side(), "Tran_Type_Id": lookup(F.col("Pmt_Type"), PREPAYMENT_TYPES)}
+    shared = {**_payment_side(), "Tran_Type_Id": looked_up(F.col("Pmt_Type"), PREPAYMENT_TYPES)}
     return [entries(_rated(_with_transfer(early, tables), tables), shared, [Line(None, F.col("Pmt_Amt"))])]
 
 
@@ -678,14 +675,14 @@ def balance_changes(
         new = F.col(f"new{BALANCES[account]}balance")
         diff = new - old
         if kind == "changed":
-            kind_id = F.when(diff > 0, lookup(was, RAISED)).otherwise(lookup(was, LOWERED))
+            kind_id = F.when(diff > 0, looked_up(was, RAISED)).otherwise(looked_up(was, LOWERED))
             holds = (was == now) & was.isin(TRACKED_STATUSES) & (diff != 0)
             return Line(account, diff, holds, {"Tran_Type_Id": kind_id})
         if kind == "old":
             holds = (was != now) & was.isin(TRACKED_STATUSES) & (old != 0)
-            return Line(account, -old, holds, {"Tran_Type_Id": lookup(was, LEFT_STATUS)})
+            return Line(account, -old, holds, {"Tran_Type_Id": looked_up(was, LEFT_STATUS)})
         holds = (was != now) & now.isin(TRACKED_STATUSES) & (new != 0)
-        return Line(account, new, holds, {"Tran_Type_Id": lookup(now, ENTERED_STATUS)})
+        return Line(account, new, holds, {"Tran_Type_Id": looked_up(now, ENTERED_STATUS)})
 
     shared = {
         **loan_side(),

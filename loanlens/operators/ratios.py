@@ -68,19 +68,15 @@ def mini_only_level() -> list[Level]:
     return [Level("Mini Only", F.col("Product") == MINI_ONLY, ())]
 
 
-def _sum_of(value: str) -> Callable[[str], Column]:
-    def total(metric: str) -> Column:
-        return F.sum(F.when(F.col("Metric") == metric, F.col(value)).otherwise(F.lit(0)))
-
-    return total
-
-
 def _column(metric: str, value: str) -> str:
     return f"{metric}|{value}"
 
 
 def _aggregates(metrics: Sequence[str], values: Sequence[str]) -> list[Column]:
-    return [_sum_of(v)(m).alias(_column(m, v)) for m in metrics for v in values]
+    """Each metric's sum as a column of its own; rows of other metrics add nothing."""
+    return [
+        F.expr(f"sum(CASE WHEN Metric = '{m}' THEN {v} ELSE 0 END) AS `{_column(m, v)}`") for m in metrics for v in values
+    ]
 
 
 def _reader(value: str) -> Sums:

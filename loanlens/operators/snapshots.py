@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.dates import AsOf, month_of, month_start, next_month
-from loanlens.functions.loan import METRIC_VALUE, MINI, MINI_ONLY, POCKET, THURLOW, ZIP
+from loanlens.functions.loan import METRIC_VALUE, MINI, MINI_ONLY, POCKET, THURLOW, ZIP, looked_up
 
 # The metric each event status counts into.
 EVENT_METRICS = {
@@ -184,8 +184,7 @@ def event_metrics() -> Column:
     Customers with several kinds of default in a month count once in the latter, so it cannot
     be added up from the former.
     """
-    pairs = [F.lit(x) for pair in EVENT_METRICS.items() for x in pair]
-    own = F.element_at(F.create_map(*pairs), F.col("Status"))
+    own = looked_up(F.col("Status"), EVENT_METRICS)
     return F.array(
         F.when(F.col("Product").isNotNull(), own),
         F.when(F.col("Status").isin(DEFAULT_STATUSES), F.lit(DEFAULT_ANY)),

@@ -185,6 +185,16 @@ def steps(
         yield "closing_mini_only", lambda stored: closing_mini_only(stored, at, kind)
 
 
+# Steps of one stage read what earlier stages stored and nothing of each other, so that a
+# stage is one job with one write.
+STAGES = [
+    ("base", "base_mini_only"),
+    ("derived", "derived_mini_only"),
+    ("churn", "churn_mini_only", "projection", "projection_mini_only"),
+    ("churn_projected", "churn_projected_mini_only", "closing", "closing_mini_only"),
+]
+
+
 def run(
     facts: DataFrame,
     merchants: DataFrame,
@@ -194,22 +204,24 @@ def run(
     until: str | None = None,
     cut: Cut = written,
 ) -> DataFrame:
-    """The metric table after a run, or the rows stored when the step `until` is about to start.
+    """The metric table after a run, or the rows stored when the stage of step `until` is about to start.
 
     `stored` holds the metrics of earlier runs: their projections are purged first, and keys
     that the run reaches again are replaced, all others stay.
     """
     dims = S.facts_with_store(facts, merchants)
     table = None if stored is None else delete_projections(stored)
-    for name, step in steps(dims, at, kind):
-        if name == until:
+    by_name = dict(steps(dims, at, kind))
+    for number, stage in enumerate(STAGES):
+        if until in stage:
             break
-        rows = cut(step(table), f"{kind.name}-{name}")
-        if table is None:
-            table = rows
-        elif stored is None:
-            table = table.unionByName(rows)
+        rows = _union([by_name[name](table) for name in stage if name in by_name], kind)
+        label = f"{kind.name}-stage{number}"
+        if stored is None:
+            rows = cut(rows, label)
+            table = rows if table is None else table.unionByName(rows)
         else:
-            batch = rows.drop("AsOf_Date") if name not in ("base", "base_mini_only") else rows
-            table = cut(upsert(table, batch, metric_key(kind)), f"{kind.name}-{name}-stored")
+            # Derived rows carry no day of their own: the stored one stays.
+            batch = rows if number == 0 else rows.drop("AsOf_Date")
+            table = cut(upsert(table, batch, metric_key(kind)), label)
     return table

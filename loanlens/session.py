@@ -67,8 +67,9 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     Later steps then start from files that outlive any executor, not from a long lineage.
     """
     path = run_path(df.sparkSession, name)
-    writer = df.write.mode("errorifexists")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        # Gather each partition value, splitting large ones, so that not every task writes to every folder.
+        df.hint("rebalance", partition_by).write.mode("errorifexists").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

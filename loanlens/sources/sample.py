@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loanlens.functions.loan import looked_up
+
 # The product sold by store number 0..3 of each nation.
 STORE_PRODUCTS = ["Zip", "Pocket Money", "Mini Money", "Thurlow"]
 
@@ -146,5 +148,4 @@ class SampleTables:
 
 def payment_type() -> Column:
     flags = F.concat("l_returnflag", "l_linestatus")
-    pairs = [F.lit(x) for pair in PAYMENT_TYPES.items() for x in pair]
-    return F.element_at(F.create_map(*pairs), flags)
+    return looked_up(flags, PAYMENT_TYPES)
