@@ -64,4 +64,4 @@ def next_month(col: Column) -> Column:
 def is_midnight(col: Column) -> Column:
     """True where a date-time carries no time of day (always true for a plain date)."""
     stamp = col.cast("timestamp_ntz")
-    return stamp == F.date_trunc("DAY", stamp).cast("timestamp_ntz")
+    return stamp == stamp.cast("date").cast("timestamp_ntz")

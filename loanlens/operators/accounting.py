@@ -116,7 +116,8 @@ class Params:
         return test if self.store is None else test & (F.col(store) == self.store)
 
     def during(self, at: str) -> Column:
-        return (F.col(at) >= F.lit(self.start).cast(TIME)) & (F.col(at) < F.lit(self.end).cast(TIME))
+        start, end = (F.lit(str(t)).cast(TIME) for t in (self.start, self.end))
+        return (F.col(at) >= start) & (F.col(at) < end)
 
 
 def params(
@@ -716,24 +717,30 @@ EXTRACT = [
     "GL_Code_Debit1", "GL_Code_Debit2", "GL_Code_Credit1", "GL_Code_Credit2", "Cust_State", "ACH_No",
     "Emp_Origin_UserID",
 ]
-NO_DATE = datetime(1900, 1, 1)
-DAY_FORM, TIME_FORM = "MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss"
+NO_DATE = "1900-01-01 00:00:00"
 
 
-def formatted(report: DataFrame, p: Params) -> DataFrame:
-    """The report as text: blanks for NULLs, a fixed early date for missing dates, money with cents."""
+def _dated(at: Column, with_time: bool) -> Column:
+    """Month/day/year, with the time of day on request.
+
+    Taken from the date-time's own text, as formatting goes through the session's time zone and
+    would move times that do not exist there.
+    """
+    text = F.coalesce(at, F.lit(NO_DATE).cast(TIME)).cast("string")
+    day = [F.substring(text, 6, 2), F.lit("/"), F.substring(text, 9, 2), F.lit("/"), F.substring(text, 1, 4)]
+    return F.concat(*day, F.lit(" "), F.substring(text, 12, 8)) if with_time else F.concat(*day)
 
-    def dated(name: str, form: str) -> Column:
-        return F.date_format(F.coalesce(F.col(name), F.lit(NO_DATE).cast(TIME)), form)
 
+def formatted(report: DataFrame, p: Params) -> DataFrame:
+    """The report as text: blanks for NULLs, a fixed early date for missing dates, money with cents."""
     special = {
         "Cust_SSN": F.coalesce("Cust_Ssn", F.lit("")),
-        "Loan_Orig_Date": dated("Loan_Orig_Date", DAY_FORM),
-        "Loan_Due_Date": dated("Loan_Due_Date", DAY_FORM),
+        "Loan_Orig_Date": _dated(F.col("Loan_Orig_Date"), False),
+        "Loan_Due_Date": _dated(F.col("Loan_Due_Date"), False),
         "Loan_Status": F.coalesce("Loan_Status", F.lit("I")),
-        "OC_CollectionDate": dated("OC_CollectionDate", TIME_FORM),
-        "Tran_Date_Time": dated("Tran_Date_Time", TIME_FORM),
-        "Report_Date": F.date_format(F.lit(p.report_time).cast(TIME), TIME_FORM),
+        "OC_CollectionDate": _dated(F.col("OC_CollectionDate"), True),
+        "Tran_Date_Time": _dated(F.col("Tran_Date_Time"), True),
+        "Report_Date": _dated(F.lit(p.report_time.strftime("%Y-%m-%d %H:%M:%S")).cast(TIME), True),
         "Total_Amount_Of_Transaction": F.coalesce(
             F.col("Total_Amount_Of_Transaction").cast("decimal(19,2)").cast("string"), F.lit("")
         ),

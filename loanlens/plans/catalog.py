@@ -43,9 +43,9 @@ def plain(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             return col.cast("double").alias(field.name)
         if isinstance(field.dataType, T.DateType):
-            return F.date_format(col, "yyyy-MM-dd").alias(field.name)
+            return col.cast("string").alias(field.name)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(col, "yyyy-MM-dd HH:mm:ss").alias(field.name)
+            return F.substring(col.cast("string"), 1, 19).alias(field.name)
         return col.alias(field.name)
 
     return df.select(*[shown(f) for f in df.schema.fields])
