@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlens.llm import near_dup
+from loanlens.llm import lang_id, mixing, near_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +19,21 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"), width=3, least=85)
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = lang_id.trained(docs, ~lang_id.held_out())
+    return lang_id.identify(docs, model).withColumn("held_out", lang_id.held_out())
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def llm_queries() -> dict[str, Query]:
-    return {"op1_near_duplicates": op1_near_duplicates}
+    own = [op1_near_duplicates, op2_language, op4_mixing]
+    return {f.__name__: f for f in own}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": mixing.ORACLE_SQL}
