@@ -22,6 +22,7 @@ _powers: dict[int, np.ndarray] = {}
 def arrow_batches(spark: SparkSession) -> None:
     """Small Arrow batches, so that a few thousand very long texts never meet in one."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BLOCK_BYTES))
 
 
 def checked_columns(df: DataFrame, *names: str) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanlens.llm import lang_id, mixing, near_dup
+from loanlens.llm import fingerprint, lang_id, mixing, near_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,8 +31,15 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    compared = fingerprint.compare_with_next(table(spark, folder, "documents"))
+    for name in ("fingerprint", "edited_fingerprint"):
+        compared = compared.withColumn(name, F.lower(F.hex(name)))
+    return compared
+
+
 def llm_queries() -> dict[str, Query]:
-    own = [op1_near_duplicates, op2_language, op4_mixing]
+    own = [op1_near_duplicates, op2_language, op4_mixing, op10_fingerprint]
     return {f.__name__: f for f in own}
 
 
