@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import fingerprint, lang_id, mixing, near_dup
+from loanlens.llm import fingerprint, lang_id, mixing, near_dup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     compared = fingerprint.compare_with_next(table(spark, folder, "documents"))
     for name in ("fingerprint", "edited_fingerprint"):
@@ -39,9 +43,9 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    own = [op1_near_duplicates, op2_language, op4_mixing, op10_fingerprint]
+    own = [op1_near_duplicates, op2_language, op4_mixing, op6_warc, op10_fingerprint]
     return {f.__name__: f for f in own}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE_SQL}
+    return {"op4_mixing": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL}
