@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import fingerprint, lang_id, mixing, near_dup, warc
+from loanlens.llm import fingerprint, lang_id, mixing, near_dup, pii, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,15 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return lang_id.identify(docs, model).withColumn("held_out", lang_id.held_out())
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(pii.as_text("base"), 256).alias("base_sha256"),
+        pii.as_text("found").alias("spans"),
+    )
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -43,7 +52,7 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    own = [op1_near_duplicates, op2_language, op4_mixing, op6_warc, op10_fingerprint]
+    own = [op1_near_duplicates, op2_language, op3_pii, op4_mixing, op6_warc, op10_fingerprint]
     return {f.__name__: f for f in own}
 
 
