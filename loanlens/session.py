@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 # A hot key is split at run time even where the split costs one more shuffle: several joins in a
@@ -73,3 +77,20 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     else:
         df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's Python files, once per application.
+
+    Functions that run inside tasks import it there. Spark sends the archive; the file itself is the driver's.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="loanlens-")), "loanlens.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
