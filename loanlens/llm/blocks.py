@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from loanlens.session import ship
+
 BLOCK_BYTES = 4 << 20
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[0x20, *range(0x09, 0x0E)]] = True
@@ -20,7 +22,8 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def arrow_batches(spark: SparkSession) -> None:
-    """Small Arrow batches, so that a few thousand very long texts never meet in one."""
+    """For operators with functions that run in tasks: ship them, and keep very long texts from meeting in one batch."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BLOCK_BYTES))
 
@@ -55,12 +58,17 @@ def fold(data: np.ndarray) -> np.ndarray:
     return _FOLD[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words `[^\\x20\\x09-\\x0D]+`, and the row of each."""
+def words(
+    data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _BREAK
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and the row of each.
+
+    Words are `[^\\x20\\x09-\\x0D]+`, or runs of bytes that `breaks` (by byte) does not mark.
+    """
     if not len(data):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    solid = ~_BREAK[data]
+    solid = ~breaks[data]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import fingerprint, lang_id, mixing, near_dup, pii, warc
+from loanlens.llm import fingerprint, lang_id, mixing, near_dup, pii, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,14 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~lang_id.held_out())
+    return toxicity.score(docs, model).select(
+        "doc_id", lang_id.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending"
+    )
+
+
 def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     compared = fingerprint.compare_with_next(table(spark, folder, "documents"))
     for name in ("fingerprint", "edited_fingerprint"):
@@ -52,7 +60,7 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    own = [op1_near_duplicates, op2_language, op3_pii, op4_mixing, op6_warc, op10_fingerprint]
+    own = [op1_near_duplicates, op2_language, op3_pii, op4_mixing, op6_warc, op7_toxicity, op10_fingerprint]
     return {f.__name__: f for f in own}
 
 
