@@ -21,6 +21,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return spread.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a lesser one, and no centre has such an edge itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    sides = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not sides.where("up > 1 OR (up = 1 AND down = 1)").limit(1).count()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges` (u, v long); root is the least node it reaches.
 
@@ -30,12 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = written(edges, "edges")
-    seen = None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state[0] == 0 or tuple(state) == seen:
-            break
-        seen = tuple(state)
+    while not _stars(edges):
         edges = written(_small_star(_large_star(edges)), "edges")
     return edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").union(
         edges.select("v", F.col("v").alias("root")).distinct()

@@ -1,6 +1,6 @@
 """Near-duplicate groups by b-bit MinHash.
 
-Every text becomes a set of word shingles (64-bit hashes). From 128 minima per set, 25 bands of five
+Every text becomes a set of word shingles (64-bit hashes). From 256 minima per set, 30 bands of five
 name candidate buckets, and the low four bits of each minimum are packed as four bit planes: two sets'
 planes give the share of equal low bits by bit counts, and, corrected for chance collisions, an
 estimate of their similarity. Candidates above a cautious estimate are confirmed on the full sets.
@@ -11,13 +11,13 @@ Links are found without listing a bucket's pairs:
 2. in each bucket, every class is tested against one hub, the class with the smallest share of shingles
    that no other candidate has, and the links found give first components;
 3. what is left are pairs of a bucket that are in different components. A class is left out where its
-   own shingles alone rule out any link; the others are compared within the bucket by packed
-   signatures inside an equi-join whose condition passes only likely links of different components, and
-   those are confirmed on the full sets. The smaller components of a bucket are compared with all of it.
+   own shingles alone rule out any link; the others meet in an equi-join by bucket and block, whose
+   condition compares packed signatures, and then the full sets, in the first bucket that two classes
+   share. It passes links only. The smaller components of a bucket are compared with all of it.
 
-A bucket's unlinked lookalikes are thus still compared with each other (by bit counts, in a join that
-Spark may split); no pair is skipped. A link at the threshold has no common band in about one case of
-three million (0.56 ** 25); beyond that nothing is lost.
+A bucket's unlinked lookalikes are thus still compared with each other (mostly by bit counts, in a join
+that Spark may split); no pair is skipped or listed. A link at the threshold has no common band in about
+one case of forty million (0.556 ** 30); beyond that nothing is lost.
 """
 
 from __future__ import annotations
@@ -33,10 +33,13 @@ from loanlens.llm import blocks
 from loanlens.llm.components import components
 from loanlens.session import prepare, written
 
-MINIMA, BANDS, ROWS, BITS = 128, 25, 5, 4
+MINIMA, BANDS, ROWS, BITS = 256, 30, 5, 4
+LONGS = MINIMA // 64
 # Ids of candidates are sent to every executor up to this many (8 MB); beyond it they are shuffled.
 BROADCAST_IDS = 1_000_000
-PLANES = [f"p{i}" for i in range(2 * BITS)]
+PLANES = [f"p{i}" for i in range(LONGS * BITS)]
+# Classes of a bucket that one task holds at once in the last comparison.
+BLOCK_ROWS = 2048
 _SEEDS = np.random.default_rng(20240601)
 _FACTOR = _SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SHIFT = _SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32)
@@ -98,13 +101,13 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def bit_planes(least: np.ndarray) -> np.ndarray:
-    """The low bits of the minima, one plane of 128 bits (two longs) per bit."""
+    """The low bits of the minima, one plane (a bit of every minimum, as longs) per bit."""
     mixed = least * np.uint32(0x9E3779B1)
     mixed ^= mixed >> np.uint32(15)
-    out = np.empty((len(least), 2 * BITS), np.int64)
+    out = np.empty((len(least), LONGS * BITS), np.int64)
     for bit in range(BITS):
         plane = np.packbits((mixed >> np.uint32(bit)).astype(np.uint8) & 1, axis=1, bitorder="little")
-        out[:, 2 * bit : 2 * bit + 2] = plane.view(np.int64)
+        out[:, LONGS * bit : LONGS * bit + LONGS] = plane.view(np.int64)
     return out
 
 
@@ -123,7 +126,7 @@ def _signatures(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             sets = shingle_sets(data, offsets, width)
             sizes = np.array([len(s) for s in sets], np.int64)
             filled = np.flatnonzero(sizes)
-            planes = np.zeros((len(sets), 2 * BITS), np.int64)
+            planes = np.zeros((len(sets), LONGS * BITS), np.int64)
             keys = np.zeros((len(sets), BANDS), np.int64)
             names = np.array([digest(s) for s in sets], np.int64)
             if len(filled):
@@ -133,7 +136,7 @@ def _signatures(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             lengths = np.where(sizes > 0, BANDS, 0)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sizes), pa.array(names[:, 0]), pa.array(names[:, 1]),
-                 *[pa.array(planes[:, i]) for i in range(2 * BITS)],
+                 *[pa.array(planes[:, i]) for i in range(LONGS * BITS)],
                  blocks.list_column(keys[filled].ravel(), lengths, pa.int64())],
                 names=["doc_id", "n_shingles", "d0", "d1", *PLANES, "bands"],
             )
@@ -165,16 +168,17 @@ def full_sets(docs: DataFrame, width: int = 3) -> DataFrame:
 def estimate(a: str, b: str) -> F.Column:
     """Similarity by equal low bits, corrected for chance: (equal - C) / (1 - C), C = 2 ** -BITS."""
 
-    def equal(half: int) -> F.Column:
+    def equal(part: int) -> F.Column:
         differ = None
         for bit in range(BITS):
-            name = PLANES[2 * bit + half]
+            name = PLANES[LONGS * bit + part]
             here = F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
             differ = here if differ is None else differ.bitwiseOR(here)
         return F.bit_count(F.bitwise_not(differ))
 
     chance = 2.0**-BITS
-    return ((equal(0) + equal(1)) / F.lit(float(MINIMA)) - chance) / (1 - chance)
+    same = sum((equal(part) for part in range(1, LONGS)), equal(0))
+    return (same / F.lit(float(MINIMA)) - chance) / (1 - chance)
 
 
 def _can_link(least: int) -> F.Column:
@@ -234,8 +238,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
     hub = placed.groupBy("key").agg(
         F.min(F.struct((-F.col("shared") / F.col("n")).alias("r"), "doc_id", "n", "shared", *PLANES)).alias("h")
     )
-    # Estimates of linked pairs lie near their similarity (standard error 0.034): five errors below is safe.
-    sure = least / 100 - 0.17
+    # Estimates of linked pairs lie near their similarity (standard error 0.024): five errors below is safe.
+    sure = least / 100 - 0.12
     stars = placed.alias("a").join(hub.select("key", "h.*").alias("b"), "key").where(F.col("a.doc_id") != F.col("b.doc_id"))
     stars = stars.where((estimate("a", "b") >= sure) & _can_link(least))
     stars = stars.select(F.greatest("a.doc_id", "b.doc_id").alias("u"), F.least("a.doc_id", "b.doc_id").alias("v")).distinct()
@@ -247,18 +251,32 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
         "root", F.coalesce("root", "doc_id")
     )
     by_root = rooted.groupBy("key", "root").agg(F.count("*").alias("c"))
-    mixed = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("most")).where("roots > 1")
-    rest = written(rooted.join(mixed.select("key", F.col("most.root").alias("main")), "key"), "rest")
-    minor = rest.where("root <> main")
+    mixed = by_root.groupBy("key").agg(
+        F.count("*").alias("roots"), F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("most")
+    )
+    count = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
+    mixed = mixed.where("roots > 1").select("key", F.col("most.root").alias("main"), count.alias("count"))
+    rest = written(rooted.join(mixed, "key"), "rest")
+    # What a comparison needs of each class: its buckets, to meet once, and its full set.
+    whole = rest.groupBy("doc_id").agg(F.collect_set("key").alias("keys")).join(sets.select("doc_id", "shingles"), "doc_id")
+    rest = rest.join(whole, "doc_id")
+    block = F.pmod(F.xxhash64("doc_id"), F.col("count")).cast("int")
+    minor = rest.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+    met = F.size(F.array_intersect("a.shingles", "b.shingles"))
     pairs = minor.alias("a").join(
-        rest.alias("b"),
+        rest.withColumn("block", block).alias("b"),
         (F.col("a.key") == F.col("b.key"))
+        & (F.col("a.block") == F.col("b.block"))
         & (F.col("a.root") != F.col("b.root"))
         & _can_link(least)
-        & (estimate("a", "b") >= sure),
+        & (estimate("a", "b") >= sure)
+        & (F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key"))
+        & (met * (100 + least) >= (F.size("a.shingles") + F.size("b.shingles")) * least),
+    )
+    late = written(
+        pairs.select(F.greatest("a.doc_id", "b.doc_id").alias("u"), F.least("a.doc_id", "b.doc_id").alias("v")).distinct(),
+        "links",
     )
-    pairs = pairs.select(F.greatest("a.doc_id", "b.doc_id").alias("u"), F.least("a.doc_id", "b.doc_id").alias("v")).distinct()
-    late = written(_confirmed(pairs, sets, least), "links")
     if late.limit(1).count():
         # Later links join the roots found first, so the second search starts from stars.
         roots = components(late.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
