@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import fingerprint, lang_id, mixing, near_dup, pii, toxicity, warc
+from loanlens.llm import fertility, fingerprint, lang_id, lattice, mixing, near_dup, pii, toxicity, warc, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return wordpiece.count_tokens(table(spark, folder, "documents"))
+
+
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -52,6 +56,23 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    judged = fertility.judge(table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "script", "n_tokens", "chars_per_token", "byte_share", "token_entropy",
+    )
+
+
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("text_sha256", F.sha2("text", 256))
+    decoded = lattice.decode(lattice.encode(docs, carry=("text_sha256",)))
+    return decoded.select(
+        "doc_id", F.size("ids").alias("n_pieces"), "ids",
+        F.coalesce(F.sha2("decoded", 256) == F.col("text_sha256"), F.col("text_sha256").isNull()).alias("lossless"),
+    )
+
+
 def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     compared = fingerprint.compare_with_next(table(spark, folder, "documents"))
     for name in ("fingerprint", "edited_fingerprint"):
@@ -60,7 +81,8 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    own = [op1_near_duplicates, op2_language, op3_pii, op4_mixing, op6_warc, op7_toxicity, op10_fingerprint]
+    own = [op1_near_duplicates, op2_language, op3_pii, op4_mixing, op5_token_counts, op6_warc, op7_toxicity,
+           op8_fertility, op9_sentencepiece, op10_fingerprint]
     return {f.__name__: f for f in own}
 
 
