@@ -28,9 +28,20 @@ def arrow_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BLOCK_BYTES))
 
 
-def checked_columns(df: DataFrame, *names: str) -> DataFrame:
-    """Only the columns an operator reads, whatever else the table carries."""
-    return df.select(*[df[n] for n in names])
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of `df` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+def column_types(df: DataFrame, names: list[str]) -> str:
+    """The named columns as a schema string."""
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

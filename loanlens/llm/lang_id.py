@@ -340,31 +340,37 @@ def trained(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> Model |
     return calibrated(model, held["text"].tolist(), held["lang"].tolist())
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, lang_pred, score, cross_entropy and rejected of each row of docs (doc_id, text).
+def identify(docs: DataFrame, model: Model | None, carry: list[str] | None = None) -> DataFrame:
+    """lang_pred, score, cross_entropy and rejected of each row of docs (doc_id, text), after its columns `carry`.
 
-    Only the text is read. A null text and one without letters are `und`, with score 0, a null
+    Only the text is read; `carry` is doc_id alone unless given, and where a name is taken there, the new
+    column gets underscores before it. A null text and one without letters are `und`, with score 0, a null
     cross-entropy and rejected; so is every text if there is no model. Repeated rows each give a row.
     """
     blocks.arrow_batches(docs.sparkSession)
     names = np.array([*(model.languages if model else []), UNKNOWN], dtype=object)
+    carry = ["doc_id"] if carry is None else carry
+    wanted = docs.select(*carry)
+    added = blocks.fresh(wanted, "lang_pred", "score", "cross_entropy", "rejected")
+    text = blocks.fresh(wanted, "read_text")[0]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column(text).to_pylist()
             if model is None or not texts:
                 best, entropy = np.full(len(texts), -1), np.full(len(texts), np.nan)
                 score, rejected = np.zeros(len(texts)), np.ones(len(texts), bool)
             else:
                 best, entropy, score, rejected = model.predict(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names[best].tolist(), pa.string()), pa.array(score),
+                [*[batch.column(c) for c in carry], pa.array(names[best].tolist(), pa.string()), pa.array(score),
                  pa.array(entropy, mask=np.isnan(entropy)), pa.array(rejected)],
-                names=["doc_id", "lang_pred", "score", "cross_entropy", "rejected"],
+                names=[*carry, *added],
             )
 
-    schema = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    kinds = ", ".join(f"`{c}` {k}" for c, k in zip(added, ("string", "double", "double", "boolean"), strict=True))
+    source = docs.select(*carry, docs["text"].alias(text))
+    return source.mapInArrow(run, f"{blocks.column_types(docs, carry)}, {kinds}")
 
 
 def held_out(key: str = "doc_id") -> F.Column:

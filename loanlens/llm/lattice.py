@@ -227,8 +227,7 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, seed: int = 0, carr
                 kept = [part.column(c) for c in ("doc_id", *carry)]
                 yield pa.RecordBatch.from_arrays([*kept, lists], names=["doc_id", *carry, "ids"])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", *carry))
-    return source.mapInArrow(run, f"{kinds}, ids array<int>")
+    return source.mapInArrow(run, f"{blocks.column_types(docs, ['doc_id', *carry])}, ids array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str = DEFAULT_MODEL, keep_ids: bool = True) -> DataFrame:
@@ -250,5 +249,4 @@ def decode(encoded: DataFrame, model_path: str = DEFAULT_MODEL, keep_ids: bool =
                 texts = pa.array([None if gone else t for gone, t in zip(lists.is_null().to_pylist(), texts.to_pylist(), strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], texts.cast(pa.string())], names=[*names, "decoded"])
 
-    kinds = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in names)
-    return encoded.mapInArrow(run, f"{kinds}, decoded string")
+    return encoded.mapInArrow(run, f"{blocks.column_types(encoded, names)}, decoded string")

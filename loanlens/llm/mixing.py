@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlens.llm import blocks
 from loanlens.session import prepare, written
 
 # Three levels of 12 bits: the last bucket is one of 2**36 hash values.
@@ -18,6 +19,7 @@ LEVELS, LEVEL_BITS = 3, 12
 HASH_DIGITS = LEVELS * LEVEL_BITS // 4
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2
+BROADCAST_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -55,11 +57,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
         .withColumn("stopped", F.coalesce(F.sum("stop").over(before), F.lit(0)))
         .withColumn("spent", F.coalesce(F.sum("weight").over(before), F.lit(0)))
     )
-    # If all sources before this one stop, this is what is left per weight; the first that is not above
-    # its own stop sets the level for all from there on.
+    # If all sources before this one stop, this is what is left per weight. The first source that it does
+    # not lift above its own stop sets the level; behind it the value falls, so the first is the greatest.
     level = (F.col("total") * share - F.col("stopped")) / (F.col("weights") - F.col("spent"))
     placed = placed.withColumn("level", level)
-    settled = F.min(F.when(F.col("level") * F.col("weight") <= F.col("stop"), F.col("level"))).over(everything)
+    settled = F.max(F.when(F.col("level") * F.col("weight") <= F.col("stop"), F.col("level"))).over(everything)
     target = F.when(settled.isNull(), F.col("stop").cast("double")).otherwise(
         F.least(settled * F.col("weight"), F.col("stop").cast("double"))
     )
@@ -67,10 +69,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def thresholds(hashed: DataFrame, budgets: DataFrame) -> DataFrame:
-    """source and limit: all documents of the source with hash < limit together fit its budget.
+    """source and limit: the documents of the source with hash < limit come nearest to its budget.
 
-    hashed: source, h, size; budgets: source, budget (long). No hash value is split, so the sum stays below
-    the budget by less than the sizes at one of the 2**36 hash values.
+    hashed: source, h, size; budgets: source, budget (long, below the source's sum). No hash value is split:
+    the one in which the budget ends is taken if that comes nearer, so the sum is off by at most half the
+    sizes at one of the 2**36 hash values.
     """
     state = budgets.withColumn("low", F.lit(0).cast("long")).withColumn("left", F.col("budget"))
     for level in range(LEVELS):
@@ -85,33 +88,22 @@ def thresholds(hashed: DataFrame, budgets: DataFrame) -> DataFrame:
         sums = sums.withColumn("upto", F.sum("sum").over(running))
         # Whole buckets within what is left are taken; the next one is the boundary.
         cut = sums.groupBy("source", "low", "left").agg(
-            F.min(F.when(F.col("upto") > F.col("left"), F.col("bucket"))).alias("edge"),
+            F.min(F.when(F.col("upto") > F.col("left"), F.struct("bucket", "sum"))).alias("edge"),
             F.max(F.when(F.col("upto") <= F.col("left"), F.col("upto"))).alias("fits"),
         )
-        # Without a boundary all of the interval fits.
-        edge = F.coalesce("edge", F.lit(1 << LEVEL_BITS))
-        cut = cut.select(
-            "source",
-            (F.col("low") + edge * width).cast("long").alias("low"),
-            (F.col("left") - F.coalesce("fits", F.lit(0))).alias("left"),
-        )
+        left = F.col("left") - F.coalesce("fits", F.lit(0))
+        # The last boundary is one hash value.
+        taken = F.when(F.col("edge.sum") < left * 2, 1).otherwise(0) if width == 1 else F.lit(0)
+        low = F.col("low") + F.col("edge.bucket") * width + taken
+        cut = cut.select("source", low.cast("long").alias("low"), left.alias("left"))
         state = written(cut, "thresholds")
     return state.select("source", F.col("low").alias("limit"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken of each row of docs (doc_id, text, source).
-
-    size is the number of words (null text: 0); a source takes every document floor(target / source_size)
-    times, and documents with a hash below the source's threshold once more; taken is size * copies. The
-    hash depends on the doc_id alone, so reruns agree and rows that repeat an id are taken or left together.
-    A source without words has target 0 and takes each document no times. A null source is a source of
-    its own, the last. An empty table gives an empty table. More columns are ignored.
-    """
-    prepare(docs.sparkSession)
-    sized = docs.select(
-        F.col("doc_id"), F.col("source"), document_hash(F.col("doc_id")).alias("h"), n_words(F.col("text")).alias("size")
-    )
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """One row per source: source, source_size, target, whole (copies of every document) and limit (hash below
+    which a document is taken once more)."""
+    sized = docs.select("source", document_hash(F.col("doc_id")).alias("h"), n_words(F.col("text")).alias("size"))
     sized = written(sized, "sized")
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = written(targets(sums, weights, share, most), "targets")
@@ -123,14 +115,52 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     goal = goal.alias("g").join(limit.alias("l"), F.col("g.source").eqNullSafe(F.col("l.source")), "left").select(
         "g.*", F.coalesce("limit", F.lit(0)).alias("limit")
     )
-    full = sized.alias("d").join(goal.alias("g"), F.col("d.source").eqNullSafe(F.col("g.source")))
-    copies = F.col("whole") + F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
+    return written(goal, "plan")
+
+
+def _with_plan(docs: DataFrame, goal: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """docs joined to its source's row of the plan, and the new columns by their names in the plan."""
+    names = dict(zip(goal.columns, blocks.fresh(docs, *[f"mix_{c}" for c in goal.columns]), strict=True))
+    goal = goal.select(*[F.col(c).alias(n) for c, n in names.items()])
+    # The plan is sent along up to a known size; more sources than that are met by a shuffle.
+    goal = F.broadcast(goal) if goal.count() <= BROADCAST_SOURCES else goal
+    full = docs.join(goal, docs["source"].eqNullSafe(F.col(names["source"])))
+    return full, {c: F.col(n) for c, n in names.items()}
+
+
+def _copies(doc_id: Column, own: dict[str, Column]) -> Column:
+    return (own["whole"] + F.when(document_hash(doc_id) < own["limit"], 1).otherwise(0)).cast("long")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken of each row of docs (doc_id, text, source).
+
+    size is the number of words (null text: 0); a source takes every document floor(target / source_size)
+    times, and documents with a hash below the source's threshold once more; taken is size * copies. The
+    hash depends on the doc_id alone, so reruns agree and rows that repeat an id are taken or left together.
+    A source without words has target 0 and takes each document no times. A null source is a source of
+    its own, the last. An empty table gives an empty table. More columns are ignored.
+    """
+    prepare(docs.sparkSession)
+    goal = plan(docs, weights, share, most)
+    full, own = _with_plan(docs.select("doc_id", "source", n_words(docs["text"]).alias("size")), goal)
+    copies = _copies(F.col("doc_id"), own)
     return full.select(
-        "d.doc_id", "d.source", "d.size", "g.source_size", "g.target", copies.cast("long").alias("copies"),
-        (F.col("size") * copies).cast("long").alias("taken"),
+        "doc_id", "source", "size", own["source_size"].alias("source_size"), own["target"].alias("target"),
+        copies.alias("copies"), (F.col("size") * copies).alias("taken"),
     )
 
 
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """docs with each row as often as the mix takes it, by the rules of `mix`; all columns stay."""
+    prepare(docs.sparkSession)
+    full, own = _with_plan(docs, plan(docs, weights, share, most))
+    times = _copies(docs["doc_id"], own)
+    place = blocks.fresh(full, "copy")[0]
+    taken = full.where(times > 0).withColumn(place, F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    return taken.select(*docs.columns)
+
+
 ORACLE_SQL = """
 WITH sized AS (
   SELECT doc_id, source,
@@ -151,7 +181,7 @@ ranked AS (
 levelled AS (
   SELECT *, (total * 1.5::DOUBLE - stopped) / (weights - spent) AS lvl FROM ranked),
 settled AS (
-  SELECT min(lvl) FILTER (WHERE lvl * weight <= stop) AS common FROM levelled),
+  SELECT max(lvl) FILTER (WHERE lvl * weight <= stop) AS common FROM levelled),
 goal AS (
   SELECT source, source_size,
          CASE WHEN common IS NULL THEN stop::DOUBLE ELSE least(common * weight, stop::DOUBLE) END AS target
@@ -161,9 +191,11 @@ parts AS (
 ordered AS (
   SELECT d.doc_id, d.size, g.source_size, g.target, g.whole,
          floor(g.target - g.whole * g.source_size)::BIGINT AS budget,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h RANGE UNBOUNDED PRECEDING) AS upto
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h RANGE UNBOUNDED PRECEDING) AS upto,
+         sum(d.size) OVER (PARTITION BY d.source, d.h) AS here
   FROM sized d JOIN parts g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN upto <= budget THEN 1 ELSE 0 END))::BIGINT AS taken
+       (size * (whole + CASE WHEN upto <= budget OR (upto - here <= budget AND here < 2 * (budget - (upto - here)))
+                             THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM ordered
 """

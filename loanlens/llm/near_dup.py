@@ -1,7 +1,7 @@
 """Near-duplicate groups by b-bit MinHash.
 
-Every text becomes a set of word shingles (64-bit hashes). From 256 minima per set, 30 bands of five
-name candidate buckets, and the low four bits of each minimum are packed as four bit planes: two sets'
+Every text becomes a set of word shingles (64-bit hashes). From 256 minima per set, bands of five name
+candidate buckets, and the low four bits of each minimum are packed as four bit planes: two sets'
 planes give the share of equal low bits by bit counts, and, corrected for chance collisions, an
 estimate of their similarity. Candidates above a cautious estimate are confirmed on the full sets.
 
@@ -16,25 +16,27 @@ Links are found without listing a bucket's pairs:
    share. It passes links only. The smaller components of a bucket are compared with all of it.
 
 A bucket's unlinked lookalikes are thus still compared with each other (mostly by bit counts, in a join
-that Spark may split); no pair is skipped or listed. A link at the threshold has no common band in about
-one case of forty million (0.556 ** 30); beyond that nothing is lost.
+that Spark may split); no pair is skipped or listed. There are so many bands that a link at the threshold
+has no common band in less than MISS of all cases; beyond that nothing is lost.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
 from loanlens.llm.components import components
 from loanlens.session import prepare, written
 
-MINIMA, BANDS, ROWS, BITS = 256, 30, 5, 4
+MINIMA, ROWS, BITS = 256, 5, 4
 LONGS = MINIMA // 64
+MISS = 1e-7
 # Ids of candidates are sent to every executor up to this many (8 MB); beyond it they are shuffled.
 BROADCAST_IDS = 1_000_000
 PLANES = [f"p{i}" for i in range(LONGS * BITS)]
@@ -91,10 +93,16 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
+def bands(least: int) -> int:
+    """Bands for which pairs of a similarity of `least` percent are missed in less than MISS of all cases."""
+    wanted = math.ceil(math.log(MISS) / math.log(1 - (least / 100) ** ROWS)) if least < 100 else 1
+    return min(wanted, MINIMA // ROWS)
+
+
+def band_keys(least: np.ndarray, count: int) -> np.ndarray:
     """One 64-bit key per band; the band's number is part of the key."""
-    part = least[:, : BANDS * ROWS].reshape(len(least), BANDS, ROWS).astype(np.uint64)
-    key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(least), 1))
+    part = least[:, : count * ROWS].reshape(len(least), count, ROWS).astype(np.uint64)
+    key = np.tile(np.arange(1, count + 1, dtype=np.uint64), (len(least), 1))
     for i in range(ROWS):
         key = blocks.mix(key * np.uint64(0xE7037ED1A0B428DB) + part[:, :, i])
     return key.view(np.int64)
@@ -120,20 +128,20 @@ def digest(own: np.ndarray) -> tuple[int, int]:
     return one, two
 
 
-def _signatures(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _signatures(width: int, count: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks.rows_per_batch(frames):
             sets = shingle_sets(data, offsets, width)
             sizes = np.array([len(s) for s in sets], np.int64)
             filled = np.flatnonzero(sizes)
             planes = np.zeros((len(sets), LONGS * BITS), np.int64)
-            keys = np.zeros((len(sets), BANDS), np.int64)
+            keys = np.zeros((len(sets), count), np.int64)
             names = np.array([digest(s) for s in sets], np.int64)
             if len(filled):
                 chosen = [sets[i] for i in filled]
                 least = minima(chosen)
-                planes[filled], keys[filled] = bit_planes(least), band_keys(least)
-            lengths = np.where(sizes > 0, BANDS, 0)
+                planes[filled], keys[filled] = bit_planes(least), band_keys(least, count)
+            lengths = np.where(sizes > 0, count, 0)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sizes), pa.array(names[:, 0]), pa.array(names[:, 1]),
                  *[pa.array(planes[:, i]) for i in range(LONGS * BITS)],
@@ -144,11 +152,11 @@ def _signatures(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
-def signatures(docs: DataFrame, width: int = 3) -> DataFrame:
+def signatures(docs: DataFrame, width: int = 3, least: int = 85) -> DataFrame:
     """doc_id, n_shingles, a 128-bit digest of the set (d0, d1), bit planes and band keys of each text."""
     blocks.arrow_batches(docs.sparkSession)
     schema = f"doc_id long, n_shingles long, d0 long, d1 long, {', '.join(p + ' long' for p in PLANES)}, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signatures(width), schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signatures(width, bands(least)), schema)
 
 
 def full_sets(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -207,7 +215,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
     """
     spark = prepare(docs.sparkSession)
     docs = docs.where(F.col("doc_id").isNotNull())
-    marks = written(signatures(docs, width), "signatures")
+    marks = written(signatures(docs, width, least), "signatures")
     name = ["n_shingles", "d0", "d1"]
     classes = marks.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("rep"))
     members = marks.select("doc_id", *name, F.col("n_shingles").alias("size")).join(classes, name, "left")
@@ -284,3 +292,21 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
         "doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id")
     )
     return result.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def deduplicate(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest doc_id, with all its columns.
+
+    Of rows that repeat a kept doc_id, the one with the least text stays (null first). Rows with a null
+    doc_id are of no group and stay.
+    """
+    found = written(near_duplicates(docs, width, least), "groups")
+    kept = found.where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("times"))
+    id_name, times, place = blocks.fresh(docs, "kept_id", "times", "place")
+    kept = kept.select(F.col("kept_id").alias(id_name), F.col("times").alias(times))
+    stays = docs.join(kept, docs["doc_id"].cast("long") == F.col(id_name))
+    once = stays.where(F.col(times) == 1).select(*docs.columns)
+    order = Window.partitionBy("doc_id").orderBy("text")
+    again = stays.where(F.col(times) > 1).withColumn(place, F.row_number().over(order))
+    again = again.where(F.col(place) == 1).select(*docs.columns)
+    return once.unionByName(again).unionByName(docs.where(F.col("doc_id").isNull()))

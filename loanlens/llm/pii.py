@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlens.llm import blocks
 from loanlens.session import prepare, written
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -220,29 +221,30 @@ def redact(docs: DataFrame) -> DataFrame:
     cuts = islands.groupBy("row", "doc_id", "text_key").agg(
         F.sort_array(F.collect_list(F.struct("start", "end", F.get(names, F.col("kind")).alias("name")))).alias("cuts")
     )
-    cuts = cuts.select(F.col("doc_id").alias("pii_doc"), F.col("text_key").alias("pii_key"), F.col("cuts").alias("pii_cuts"))
+    doc, key, spots = blocks.fresh(docs, "pii_doc", "pii_key", "pii_cuts")
+    cuts = cuts.select(F.col("doc_id").alias(doc), F.col("text_key").alias(key), F.col("cuts").alias(spots))
     text = F.coalesce(docs["text"], F.lit(""))
     marked = text.rlike("[0-9@]")
     plain = docs.where(~marked)
     some = docs.where(marked).join(
-        cuts, docs["doc_id"].cast("long").eqNullSafe(F.col("pii_doc")) & (F.md5("text") == F.col("pii_key")), "left"
+        cuts, docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.md5("text") == F.col(key)), "left"
     )
 
     def around(whole: Column) -> Column:
         """The pieces between the cuts, each but the last with the name of the cut after it."""
-        ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("pii_cuts", lambda c: c["end"]))
+        ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(spots, lambda c: c["end"]))
 
         def piece(c: Column, i: Column) -> Column:
             prior = F.get(ends, i)
             return F.concat(F.substring(whole, (prior + 1).cast("int"), (c["start"] - prior).cast("int")), c["name"])
 
         last = F.substring(whole, (F.element_at(ends, -1) + 1).cast("int"), F.length(whole))
-        return F.concat(F.array_join(F.transform("pii_cuts", piece), ""), last)
+        return F.concat(F.array_join(F.transform(spots, piece), ""), last)
 
-    some = some.withColumn("text", F.when(F.col("pii_cuts").isNull(), F.col("text")).otherwise(around(F.col("text"))))
+    some = some.withColumn("text", F.when(F.col(spots).isNull(), F.col("text")).otherwise(around(F.col("text"))))
     if "n_chars" in docs.columns:
         some = some.withColumn(
             "n_chars",
-            F.when(F.col("pii_cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)),
+            F.when(F.col(spots).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)),
         )
     return plain.unionByName(some.select(*docs.columns))
