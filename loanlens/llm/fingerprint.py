@@ -9,7 +9,7 @@
    chained on.
 5. Likeness: every filter of the digest with fewer filters is held against all of the other one; the bits
    in common beyond those expected by chance, over the most that could be, give 0 to 1, and the mean of the
-   best values is the result, weighted by the filters' features.
+   best values is the result, weighted by the filters' bits (both ways between digests of one length).
 """
 
 from __future__ import annotations
@@ -167,8 +167,13 @@ def likeness(one: bytes, two: bytes) -> float:
         return 1.0
     if not one or not two:
         return 0.0
-    if len(one) > len(two):
-        one, two = two, one
+    if len(one) == len(two):
+        return (_mean_best(one, two) + _mean_best(two, one)) / 2
+    return _mean_best(*sorted((one, two), key=len))
+
+
+def _mean_best(one: bytes, two: bytes) -> float:
+    """Mean of the best values of the first digest's filters, weighted by their bits."""
     a = np.frombuffer(one, np.uint64).reshape(-1, FILTER_BYTES // 8)
     b = np.frombuffer(two, np.uint64).reshape(-1, FILTER_BYTES // 8)
     set_a, set_b = np.bitwise_count(a).sum(axis=1, dtype=np.int64), np.bitwise_count(b).sum(axis=1, dtype=np.int64)

@@ -30,7 +30,8 @@ from loanlens.llm.vocabulary import DEFAULT_MODEL, Trie, Vocabulary, load, trie
 
 CUT_BYTES = 256
 SHARPNESS = 1.0
-_ROOM = 4 << 20
+# Bytes of text taken together: more would share more segments, at some 150 bytes of memory each.
+_ROOM = 1 << 20
 
 
 @dataclass
@@ -213,17 +214,18 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, seed: int = 0, carr
     blocks.arrow_batches(spark)
     shared = spark.sparkContext.broadcast(lattice(load(model_path)))
     key = F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed))
-    source = docs.select("doc_id", *carry, key.alias("row_key"), "text")
+    row_key, text = blocks.fresh(docs, "row_key", "read_text")
+    source = docs.select("doc_id", *carry, key.alias(row_key), docs["text"].alias(text))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in blocks.merged(frames, _ROOM):
-            for part, data, offsets in blocks.rows_per_batch(iter([batch]), _ROOM):
-                keys = part.column("row_key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        for batch in blocks.merged(frames, _ROOM, text):
+            for part, data, offsets in blocks.rows_per_batch(iter([batch]), _ROOM, text):
+                keys = part.column(row_key).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
                 ids, lengths = sample(model, data, offsets, keys)
                 lists = blocks.list_column(ids, lengths, pa.int32())
-                if part.column("text").null_count:
-                    lists = pa.ListArray.from_arrays(lists.offsets, lists.values, mask=part.column("text").is_null())
+                if part.column(text).null_count:
+                    lists = pa.ListArray.from_arrays(lists.offsets, lists.values, mask=part.column(text).is_null())
                 kept = [part.column(c) for c in ("doc_id", *carry)]
                 yield pa.RecordBatch.from_arrays([*kept, lists], names=["doc_id", *carry, "ids"])
 

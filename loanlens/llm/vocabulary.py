@@ -57,6 +57,8 @@ class Trie:
 
     def step(self, states: np.ndarray, data: np.ndarray) -> np.ndarray:
         """The next state of each, -1 where no edge fits."""
+        if not len(self.keys):
+            return np.full(len(states), -1, np.int64)
         wanted = states * 256 + data
         at = np.searchsorted(self.keys, wanted)
         at[at == len(self.keys)] = 0
