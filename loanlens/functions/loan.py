@@ -21,7 +21,8 @@ ZIP_FLEX = "Zip Flex"
 ZIP_30_RATE = "0.21"
 MINI_ONLY = "Mini Money Only"
 
-METRIC_VALUE = "decimal(11,3)"
+# Three decimals, as the metrics are rounded; wide enough for any count.
+METRIC_VALUE = "decimal(21,3)"
 MONEY = "decimal(19,4)"
 
 
@@ -56,7 +57,7 @@ def cso_share(paid: Column, charge: Column, fee: Column) -> Column:
     because the third case needs a charge below zero.
     """
     paid, charge, fee = zero_if_null(paid), zero_if_null(charge), zero_if_null(fee)
-    share = F.round(F.try_divide(paid.cast("decimal(15,4)") * fee.cast("decimal(11,4)"), charge), 2).cast(MONEY)
+    share = _share(paid, charge, fee)
     return (
         F.when((paid > 0) & (paid >= charge), fee)
         .when((paid > 0) & (paid < charge), share)
@@ -67,6 +68,22 @@ def cso_share(paid: Column, charge: Column, fee: Column) -> Column:
     )
 
 
+def _share(paid: Column, charge: Column, fee: Column) -> Column:
+    """paid * fee / charge in cents, halves away from zero; NULL for a charge of zero.
+
+    Done in whole ten-thousandths, so that the product keeps every digit of two money amounts.
+    """
+    top, bottom = _units(paid) * _units(fee), _units(charge) * 100
+    cents = F.call_function("div", F.abs(top) * 2 + F.abs(bottom), F.nullif(F.abs(bottom) * 2, F.lit(0)))
+    return (cents * F.signum(top).cast("int") * F.signum(bottom).cast("int")).cast("decimal(19,0)") * F.lit("0.01").cast(
+        "decimal(2,2)"
+    )
+
+
+def _units(amount: Column) -> Column:
+    return (amount * 10000).cast("decimal(19,0)")
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """A metric ratio: NULL over zero, seven digits in between, stored with three."""
-    return F.try_divide(top, bottom).cast("decimal(18,7)").cast(METRIC_VALUE)
+    return F.try_divide(top, bottom).cast("decimal(28,7)").cast(METRIC_VALUE)

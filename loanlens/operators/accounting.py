@@ -280,7 +280,16 @@ def _with_disbursement(context: DataFrame, tables: Tables) -> DataFrame:
         & (F.col("ACH_Sent_Status") == "S")
         & ~F.col("IsDeleted")
     ).select("Appl_No", F.col("ACH_No").alias("ach_no"))
-    return context.join(sent, "Appl_No", "left")
+    return context.join(_wanted(sent, "Appl_No", context.select("Appl_No")), "Appl_No", "left")
+
+
+def _wanted(large: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of a whole table whose key is asked for.
+
+    A left outer join can't send its small left side to the large right one; this semi-join can.
+    """
+    asked = keys.select(F.col(keys.columns[0]).alias("asked_key")).filter("asked_key IS NOT NULL").distinct()
+    return large.join(asked, F.col(key) == F.col("asked_key"), "left_semi")
 
 
 def _paid_out_by() -> Column:
@@ -377,6 +386,7 @@ def payment_frame(tables: Tables, p: Params, context: DataFrame) -> DataFrame:
         "Date_Created"
     )
     referred = tables.payments.select(F.col("Pmt_Tran_No").alias("ref_key"), F.col("Pmt_Type").alias("ref_type"))
+    referred = _wanted(referred, "ref_key", pay.select("Refno"))
     ref_key = F.coalesce(F.col("Refno"), -F.col("Pmt_Tran_No"))
     return (
         pay.join(context, "Appl_No")
@@ -391,6 +401,7 @@ def _with_transfer(frame: DataFrame, tables: Tables) -> DataFrame:
     sent = tables.ach.filter(~F.col("IsDeleted") & F.col("Pmt_No").isNotNull()).select(
         "Pmt_No", F.col("ACH_No").alias("ach_no")
     )
+    sent = _wanted(sent, "Pmt_No", frame.select("ref_key"))
     found = F.coalesce(F.col("ref_key"), -F.col("Pmt_Tran_No"))
     return frame.withColumn("transfer_of", found).join(
         sent, (F.col("transfer_of") == F.col("Pmt_No")) & F.col("ref_key").isNotNull(), "left"
@@ -521,7 +532,9 @@ def ach_sent(tables: Tables, p: Params) -> list[DataFrame]:
         "Appl_No", "Merch_Store_Id", "Cust_Id", "Cust_SSN", "Origin_Date", "Date_Created", "Req_Due_Date",
         "Loan_Type", "Loan_Status", "User_Id", "origin_user",
     )
+    loans = _wanted(loans, "Appl_No", sent.select("Appl_No"))
     customers = tables.customers.select("Cust_Id", "Cust_MerchantID", "Cust_State")
+    customers = _wanted(customers, "Cust_Id", loans.select("Cust_Id"))
     staff = tables.users.select("Merch_Id", "User_Id", "Merchant_Userid")
     with_loan = (
         sent.drop("Appl_No")

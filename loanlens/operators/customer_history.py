@@ -69,6 +69,11 @@ def _span_days(spans: DataFrame) -> DataFrame:
     )
 
 
+def first_granted(loans: DataFrame) -> DataFrame:
+    """The day of each customer's first granted loan of a product; combined on each mapper before the shuffle."""
+    return loans.filter(granted()).groupBy(*KEYS).agg(F.min("Origin_Date").alias("first_day"))
+
+
 def customer_history(loans: DataFrame, at: AsOf, open_spans: DataFrame | None = None) -> DataFrame:
     """One row per customer, product and day, with
 

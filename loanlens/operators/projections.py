@@ -33,8 +33,8 @@ def flow_projection(events: DataFrame, at: AsOf, with_subproduct: bool) -> DataF
     days_left = (at.month_close - at.yesterday).days
 
     def projected(counted: str) -> Column:
-        rate = F.count_distinct(counted).cast("decimal(18,0)") * F.lit(days_left) / F.lit(RATE_DAYS)
-        return rate.cast("decimal(18,4)").cast(METRIC_VALUE)
+        rate = F.count_distinct(counted).cast("decimal(20,0)") * F.lit(days_left) / F.lit(RATE_DAYS)
+        return rate.cast("decimal(28,4)").cast(METRIC_VALUE)
 
     return events.groupBy(*dimensions(with_subproduct), "Metric").agg(
         F.lit(at.month).alias("Dateref"),
@@ -53,7 +53,7 @@ def delta_projection(metrics: DataFrame, at: AsOf, with_subproduct: bool, names:
         .groupBy(*dimensions(with_subproduct), F.concat("Metric", F.lit(" Proj")).alias("Metric"))
         .agg(
             F.lit(at.month).alias("Dateref"),
-            F.avg("Value_Cust").cast("decimal(18,7)").cast(METRIC_VALUE).alias("Value_Cust"),
+            F.avg("Value_Cust").cast("decimal(28,7)").cast(METRIC_VALUE).alias("Value_Cust"),
             F.lit(None).cast(METRIC_VALUE).alias("Value_Loan"),
         )
     )

@@ -85,8 +85,11 @@ def write_version(df: DataFrame, path: str, partition_by: str | None = None) ->
 
 
 def write_database(df: DataFrame, url: str, table: str, properties: dict[str, str], writers: int = 16) -> None:
-    """Append a result to a database table with a bounded number of connections."""
-    df.coalesce(writers).write.option("batchsize", "10000").jdbc(url, table, mode="append", properties=properties)
+    """Append rows to a database table; a repeated run appends them again.
+
+    The rows are dealt to `writers` connections by a shuffle, so the work before it keeps all its tasks.
+    """
+    df.repartition(writers).write.option("batchsize", "10000").jdbc(url, table, mode="append", properties=properties)
 
 
 def write_extract(df: DataFrame, path: str, form: str = "csv") -> None:

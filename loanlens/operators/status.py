@@ -16,11 +16,16 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.dates import AsOf, is_midnight, month_of
 from loanlens.functions.loan import NOT_A_RENEWAL, granted, subproduct
-from loanlens.operators.customer_history import customer_history
+from loanlens.operators.customer_history import customer_history, first_granted
+from loanlens.sources.tables import clean_codes
 
 FACT_KEY = ["Merch_Store_Id", "Subproduct", "Appl_No", "Cust_SSN", "Status"]
 FACT_COLUMNS = [*FACT_KEY, "From_Date", "To_Date", "Ref_Date"]
 
+# Columns whose values are compared without regard to case or trailing blanks.
+LOAN_CODES = ["Loan_Status", "Loan_Type"]
+PAYMENT_CODES = ["Pmt_Type"]
+
 PAYMENTS, RENEWED, HISTORY = "payments", "renewed", "history"
 
 
@@ -258,6 +263,7 @@ def classify(
     `stored_facts` are fact rows of earlier runs: an Active row in there keeps a customer from
     counting as reactivated, just as the Active rows of this run do.
     """
+    loans, payments = clean_codes(loans, LOAN_CODES), clean_codes(payments, PAYMENT_CODES)
     table = rules(at)
     chosen = [table[name] for name in statuses]
     needs = {need for rule in chosen for need in rule.needs}
@@ -267,7 +273,11 @@ def classify(
         wide = wide.join(payment_profile(payments), "Appl_No", "left")
     if RENEWED in needs:
         wide = _with_renewed(wide, loans)
-    if HISTORY in needs:
+    if HISTORY in needs and set(statuses) == {"New"}:
+        # Whether a customer had an earlier loan needs the first one's day only.
+        wide = wide.join(first_granted(spine), ["Cust_SSN", "Product"], "left")
+        wide = wide.withColumn("good_before", F.coalesce(F.col("first_day") < F.col("Origin_Date"), F.lit(False)))
+    elif HISTORY in needs:
         spans = None
         if "React" in statuses:
             spans = active_spans(spine, payments, merchants, at, stored_facts)
@@ -355,6 +365,7 @@ def renewals(loans: DataFrame, merchants: DataFrame, at: AsOf, statuses: Sequenc
     One join on the loan number gives both; loans without a predecessor leave before it.
     """
     kept = ["Merch_Store_Id", "Subproduct", "Appl_No", "Cust_SSN"]
+    loans = clean_codes(loans, LOAN_CODES)
     spine = loans_with_product(loans, merchants, "left").filter(granted())
     old = spine.filter(F.col("Product").isNotNull()).select(*[F.col(c).alias(f"old_{c}") for c in kept])
     new = spine.filter(

@@ -9,6 +9,26 @@ from pyspark.sql import DataFrame
 
 from loanlens.operators import accounting as A
 from loanlens.session import written
+from loanlens.sources.tables import clean_codes
+
+
+# Code columns by table; the source databases compare them without regard to case or trailing blanks.
+CODES = {
+    "loans": ["Loan_Type", "Loan_Status", "Appl_Status", "Disb_Mode"],
+    "payments": ["Pmt_Type", "Pmt_Mode"],
+    "ach": ["Tran_Code", "ACH_For", "ACH_Code", "ACH_Sent_Status"],
+}
+
+
+class Cleaned:
+    """The tables with their codes in capitals and without trailing blanks."""
+
+    def __init__(self, tables: A.Tables) -> None:
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        table = getattr(self._tables, name)
+        return clean_codes(table, CODES[name]) if name in CODES else table
 
 
 def report(
@@ -20,6 +40,7 @@ def report(
     stored once; the sources are small unions over them.
     """
     keep = cut or (lambda df, name: df)
+    tables = Cleaned(tables)
     cso = A.has_cso(tables, p)
     context = keep(A.loan_context(tables, p), "extract-loans")
     paid = keep(A.payment_frame(tables, p, context), "extract-payments")

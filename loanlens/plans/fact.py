@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.dates import AsOf
 from loanlens.operators.sinks import delete_by_key, delete_status_window, last_per_key, upsert
-from loanlens.operators.status import FACT_KEY, classify, renewals
+from loanlens.operators.status import FACT_KEY, LOAN_CODES, classify, renewals
+from loanlens.sources.tables import clean_codes
 
 SPAN_STATUSES = ["Active", "Collections", "Collections_M"]
 # Two passes: the second needs the customer history, the first does not.
@@ -44,7 +45,7 @@ def fact_batch(
 
 
 def voided_loans(loans: DataFrame) -> DataFrame:
-    return loans.filter(F.col("Loan_Status") == "V").select("Appl_No")
+    return clean_codes(loans, LOAN_CODES).filter(F.col("Loan_Status") == "V").select("Appl_No")
 
 
 def load_facts(
@@ -57,6 +58,7 @@ def load_facts(
     """The fact table after one run over `stored` (nothing stored: a first run)."""
     batch = fact_batch(loans, payments, merchants, at, stored)
     if stored is None:
-        return delete_by_key(batch, voided_loans(loans), "Appl_No")
+        return batch
+    # No rule gives a voided loan a row, so only stored rows can be of one.
     kept = delete_status_window(stored, RELOADED, at.window_opens_after)
-    return delete_by_key(upsert(kept, batch, FACT_KEY), voided_loans(loans), "Appl_No")
+    return upsert(delete_by_key(kept, voided_loans(loans), "Appl_No"), batch, FACT_KEY)

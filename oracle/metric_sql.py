@@ -29,7 +29,7 @@ months AS (
   WHERE d > %s AND d <= %s
 )""" % (OPENS_AFTER, AS_OF)  # noqa: UP031
 
-COUNTS = "count(DISTINCT ssn)::DECIMAL(11,3) AS vc, count(DISTINCT appl)::DECIMAL(11,3) AS vl"
+COUNTS = "count(DISTINCT ssn)::DECIMAL(21,3) AS vc, count(DISTINCT appl)::DECIMAL(21,3) AS vl"
 
 RATIOS = {
     "Default (Principal)": ["Active BOM"],
@@ -53,7 +53,7 @@ def both(*metrics: str) -> list[str]:
 
 
 def divided(top: str, bottom: str) -> str:
-    return f"(({top}) / nullif({bottom}, 0))::DECIMAL(18,7)"
+    return f"(({top}) / nullif({bottom}, 0))::DECIMAL(28,7)"
 
 
 class MetricSql:
@@ -104,7 +104,7 @@ class MetricSql:
         )
 
     def eom_zero(self):
-        zero = "0::DECIMAL(11,3) AS vc, 0::DECIMAL(11,3) AS vl"
+        zero = "0::DECIMAL(21,3) AS vc, 0::DECIMAL(21,3) AS vl"
         return self.row("placed f", "cls || ' EOM'", MONTH, zero, f"status IN {OPEN}")
 
     def eom_to_date(self, mini=False):
@@ -155,19 +155,19 @@ class MetricSql:
         out = []
         for suffix, takes, keeps in at_levels:
             dims = ", ".join(d if d in keeps else f"' ' AS {d}" for d in self.dims)
-            vl = f"{value('vl')}::DECIMAL(11,3)" if loans else "NULL::DECIMAL(11,3)"
+            vl = f"{value('vl')}::DECIMAL(21,3)" if loans else "NULL::DECIMAL(21,3)"
             group = ", ".join([*keeps, "dateref"])
             out.append(
-                f"SELECT {dims}, '{name}{suffix}{tail}' AS metric, dateref, {value('vc')}::DECIMAL(11,3) AS vc, {vl} AS vl, "
+                f"SELECT {dims}, '{name}{suffix}{tail}' AS metric, dateref, {value('vc')}::DECIMAL(21,3) AS vc, {vl} AS vl, "
                 f"NULL::DATE AS counted_to FROM {source} WHERE {takes} AND {where} GROUP BY {group}"
             )
         return out
 
     def stored(self, name: str, value, source: str, loans=False, where="TRUE") -> str:
         dims = ", ".join(self.dims)
-        vl = f"({value('vl')})::DECIMAL(11,3)" if loans else "NULL::DECIMAL(11,3)"
+        vl = f"({value('vl')})::DECIMAL(21,3)" if loans else "NULL::DECIMAL(21,3)"
         return (
-            f"SELECT {dims}, '{name}' AS metric, dateref, ({value('vc')})::DECIMAL(11,3) AS vc, {vl} AS vl, "
+            f"SELECT {dims}, '{name}' AS metric, dateref, ({value('vc')})::DECIMAL(21,3) AS vc, {vl} AS vl, "
             f"NULL::DATE AS counted_to FROM {source} WHERE region <> ' ' AND {where} GROUP BY {dims}, dateref"
         )
 
@@ -255,7 +255,7 @@ class MetricSql:
             )
         metric = "'Default (Any) Proj'" if any_default else f"{NAMED} || ' Proj'"
         values = ", ".join(
-            f"(count(DISTINCT {c}) * {DAYS_LEFT} / 30.0)::DECIMAL(18,4)::DECIMAL(11,3) AS {n}"
+            f"(count(DISTINCT {c}) * {DAYS_LEFT} / 30.0)::DECIMAL(28,4)::DECIMAL(21,3) AS {n}"
             for c, n in (("ssn", "vc"), ("appl", "vl"))
         )
         return self.row("placed f", metric, MONTH, values, where, product)
@@ -263,8 +263,8 @@ class MetricSql:
     def delta_proj(self, metric: str, source: str) -> str:
         dims = ", ".join(self.dims)
         return (
-            f"SELECT {dims}, '{metric} Proj' AS metric, {MONTH} AS dateref, avg(vc)::DECIMAL(18,7)::DECIMAL(11,3) AS vc, "
-            f"NULL::DECIMAL(11,3) AS vl, NULL::DATE AS counted_to FROM {source} WHERE metric = '{metric}' "
+            f"SELECT {dims}, '{metric} Proj' AS metric, {MONTH} AS dateref, avg(vc)::DECIMAL(28,7)::DECIMAL(21,3) AS vc, "
+            f"NULL::DECIMAL(21,3) AS vl, NULL::DATE AS counted_to FROM {source} WHERE metric = '{metric}' "
             f"AND dateref < {MONTH} AND dateref > last_day({AS_OF} - INTERVAL 6 MONTH) GROUP BY {dims}"
         )
 

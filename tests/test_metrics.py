@@ -97,7 +97,7 @@ def test_default_of_two_kinds_counts_once_in_any(spark):
 def stored(spark, *values, dims=("Retail", "Zip", "R1", "P1", "S1")):
     schema = (
         "Business_Unit string, Product string, Region string, Province string, Store string, Metric string, "
-        "Dateref date, Value_Cust decimal(11,3), Value_Loan decimal(11,3), AsOf_Date date"
+        "Dateref date, Value_Cust decimal(21,3), Value_Loan decimal(21,3), AsOf_Date date"
     )
     return spark.createDataFrame([(*dims, m, d, Decimal(v), Decimal(v), None) for m, d, v in values], schema)
 
@@ -149,7 +149,7 @@ def test_second_run_replaces_its_keys_and_keeps_stale_ones(spark, sample):
     first = sample.stored_before(M.V1, None)
     stale = stored(spark, ("Retired", date(2001, 5, 1), 7), dims=(" ", " ", " ", " ", " "))
     old_projection = stored(spark, ("Retired Proj", date(2001, 5, 1), 7), dims=(" ", " ", " ", " ", " "))
-    wrong = first.withColumn("Value_Cust", (first.Value_Cust + 1).cast("decimal(11,3)"))
+    wrong = first.withColumn("Value_Cust", (first.Value_Cust + 1).cast("decimal(21,3)"))
     before = wrong.unionByName(stale).unionByName(old_projection)
     again = M.run(sample.facts(), sample.dim_merchant(), AT, M.V1, stored=before)
     columns = [c for c in first.columns if c != "AsOf_Date"]
