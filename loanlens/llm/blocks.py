@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanlens.session import ship
 
-BLOCK_BYTES = 4 << 20
+# Bytes of text that a task takes together. Its arrays need up to 200 bytes for each, and workers keep memory.
+BLOCK_BYTES = 1 << 20
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)

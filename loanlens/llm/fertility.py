@@ -28,7 +28,7 @@ WIDTH = 4.0
 # The least distance of the lower and upper bound from its quartile, so that a uniform corpus does not reject
 # small differences. Many characters a token speak for a text in the vocabulary's own language: a wide bound.
 FLOORS = {"chars_per_token": (0.5, 2.0), "byte_share": (1.0, 0.05), "token_entropy": (1.0, 2.0)}
-_ROOM = 4 << 20
+_ROOM = 2 << 20
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _SPACE = np.zeros(256, bool)

@@ -33,7 +33,7 @@ LEAST_COUNT = 2
 REJECT_MARGIN = 0.25
 BLANK = 0x20
 UNKNOWN = "und"
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 
 
 def _letter_tables() -> tuple[np.ndarray, np.ndarray]:

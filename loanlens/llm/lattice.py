@@ -31,7 +31,7 @@ from loanlens.llm.vocabulary import DEFAULT_MODEL, Trie, Vocabulary, load, trie
 CUT_BYTES = 256
 SHARPNESS = 1.0
 # Bytes of text taken together: more would share more segments, at some 150 bytes of memory each.
-_ROOM = 1 << 20
+_ROOM = 1 << 19
 
 
 @dataclass
@@ -122,7 +122,7 @@ def edges(model: Lattice, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarra
     froms.append(bare)
     tos.append(bare + 1)
     ids.append(model.byte_ids[data[bare]])
-    return np.concatenate(froms), np.concatenate(tos), np.concatenate(ids)
+    return tuple(np.concatenate(x).astype(np.int32) for x in (froms, tos, ids))
 
 
 def sample(model: Lattice, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,41 +133,46 @@ def sample(model: Lattice, data: np.ndarray, offsets: np.ndarray, keys: np.ndarr
     starts = segments(data, offsets)
     hashes = blocks.span_hash(blocks.prefix_hash(data), starts[:-1], starts[1:])
     _, first, same = np.unique(hashes, return_index=True, return_inverse=True)
+    del hashes
     # The distinct segments, one after the other; a place between two is the end of one and the start of the next.
     size = starts[1:][first] - starts[first]
     home = np.concatenate([[0], np.cumsum(size)])
     source = np.repeat(starts[first] - home[:-1], size) + np.arange(home[-1])
-    own = data[source]
+    own_bytes = data[source]
+    n_own = len(own_bytes)
     seg_end = np.repeat(home[1:], size)
-    begin, end, piece = edges(model, own, seg_end)
-    # Forward: edges in the order of how far into its segment each ends.
-    seg_start = np.repeat(home[:-1], size)
-    depth = end - seg_start[begin]
-    order = np.lexsort((end, depth))
+    begin, end, piece = edges(model, own_bytes, seg_end)
+    # Edges in the order of how far into its segment each ends, then by end, the longest first. A segment
+    # has at most CUT_BYTES bytes and a character, so a length takes nine bits.
+    depth = end - np.repeat(home[:-1], size)[begin]
+    key = (depth.astype(np.int64) * (n_own + 1) + end) * 512 + (511 - (end - begin))
+    order = np.argsort(key)
     begin, end, piece, depth = begin[order], end[order], piece[order], depth[order]
+    del order, key, seg_end, source, own_bytes
     weight = model.log_weight[piece]
-    at_start = np.zeros(len(own) + 1, bool)
+    at_start = np.zeros(n_own + 1, bool)
     at_start[home] = True
-    total = np.full(len(own) + 1, -np.inf)  # by end place; a segment's start counts as 0
-    cuts = np.concatenate([[0], np.flatnonzero(depth[1:] != depth[:-1]) + 1, [len(depth)]])
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+    lead = np.concatenate([[0], np.flatnonzero(end[1:] != end[:-1]) + 1, [len(end)]])
+    counts = np.diff(lead)
+    # Forward, one depth after the other: the weight of all ways to each place.
+    total = np.full(n_own + 1, -np.inf)  # by end place; a segment's start counts as 0
+    levels = np.flatnonzero(np.append(np.diff(depth[lead[:-1]]), 1)) + 1
+    first = 0
+    for last in levels.tolist():
+        a, b = int(lead[first]), int(lead[last])
         came = np.where(at_start[begin[a:b]], 0.0, total[begin[a:b]]) + weight[a:b]
-        to = end[a:b]
-        lead = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1])
-        top = np.maximum.reduceat(came, lead)
-        counts = np.diff(np.append(lead, b - a))
-        total[to[lead]] = top + np.log(np.add.reduceat(np.exp(came - np.repeat(top, counts)), lead))
-    # Backward: the incoming edges of each place, the likeliest first, with the running sum of their shares.
-    share = np.exp(np.where(at_start[begin], 0.0, total[begin]) + weight - total[end])
-    order = np.lexsort((-share, end))
-    begin, end, piece, share = begin[order], end[order], piece[order], share[order]
-    upto = np.cumsum(share)
-    lead = np.concatenate([[0], np.flatnonzero(end[1:] != end[:-1]) + 1])
-    counts = np.diff(np.append(lead, len(end)))
-    upto -= np.repeat(upto[lead] - share[lead], counts)
-    upto[lead + counts - 1] = 2.0
-    first_edge = np.zeros(len(own) + 1, np.int64)
-    first_edge[end[lead]] = lead
+        group = lead[first:last] - a
+        top = np.maximum.reduceat(came, group)
+        summed = np.add.reduceat(np.exp(came - np.repeat(top, counts[first:last])), group)
+        total[end[lead[first:last]]] = top + np.log(summed)
+        first = last
+    # Backward: the running share of each place's incoming edges.
+    upto = np.cumsum(np.exp(np.where(at_start[begin], 0.0, total[begin]) + weight - total[end]))
+    upto -= np.repeat(np.concatenate([[0.0], upto[lead[1:-1] - 1]]), counts)
+    upto[lead[1:] - 1] = 2.0
+    first_edge = np.zeros(n_own + 1, np.int32)
+    first_edge[end[lead[:-1]]] = lead[:-1]
+    del weight, depth, total
     chosen = np.zeros(n + 1, np.int32)
     row = np.searchsorted(offsets, starts[:-1], side="right") - 1
     node = home[same + 1]
@@ -204,11 +209,25 @@ def joined(model: Lattice, ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
-def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, seed: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
+def _same(model: Lattice, ids: np.ndarray, lengths: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each row's pieces, decoded, are its bytes."""
+    back = joined(model, ids, lengths)
+    found, at = blocks.text_bytes(back)
+    if not np.array_equal(at, offsets):
+        whole = data.tobytes()
+        return np.array([back[i].as_py() == whole[offsets[i] : offsets[i + 1]] for i in range(len(lengths))], bool)
+    wrong = np.concatenate([[0], np.cumsum(found != data)])
+    return wrong[offsets[1:]] == wrong[offsets[:-1]]
+
+
+def encode(
+    docs: DataFrame, model_path: str = DEFAULT_MODEL, seed: int = 0, carry: tuple[str, ...] = (), verify: bool = False
+) -> DataFrame:
     """doc_id, the columns in `carry`, and ids (array of int): a sampled segmentation of each row's text.
 
     docs: doc_id (the row key; any number of rows may share one), text. A null text has null ids, an empty
-    text none. Equal keys and texts give equal ids.
+    text none. Equal keys and texts give equal ids. With `verify`, the pieces are decoded on the spot and
+    `lossless` says whether they gave the text back.
     """
     spark = docs.sparkSession
     blocks.arrow_batches(spark)
@@ -227,9 +246,13 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, seed: int = 0, carr
                 if part.column(text).null_count:
                     lists = pa.ListArray.from_arrays(lists.offsets, lists.values, mask=part.column(text).is_null())
                 kept = [part.column(c) for c in ("doc_id", *carry)]
-                yield pa.RecordBatch.from_arrays([*kept, lists], names=["doc_id", *carry, "ids"])
+                names = ["doc_id", *carry, "ids"]
+                if verify:
+                    kept, lists, names = [*kept, lists], pa.array(_same(model, ids, lengths, data, offsets)), [*names, "lossless"]
+                yield pa.RecordBatch.from_arrays([*kept, lists], names=names)
 
-    return source.mapInArrow(run, f"{blocks.column_types(docs, ['doc_id', *carry])}, ids array<int>")
+    kinds = f"{blocks.column_types(docs, ['doc_id', *carry])}, ids array<int>"
+    return source.mapInArrow(run, f"{kinds}, lossless boolean" if verify else kinds)
 
 
 def decode(encoded: DataFrame, model_path: str = DEFAULT_MODEL, keep_ids: bool = True) -> DataFrame:

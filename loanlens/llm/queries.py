@@ -65,12 +65,8 @@ def op8_fertility(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").withColumn("text_sha256", F.sha2("text", 256))
-    decoded = lattice.decode(lattice.encode(docs, carry=("text_sha256",)))
-    return decoded.select(
-        "doc_id", F.size("ids").alias("n_pieces"), "ids",
-        F.coalesce(F.sha2("decoded", 256) == F.col("text_sha256"), F.col("text_sha256").isNull()).alias("lossless"),
-    )
+    encoded = lattice.encode(table(spark, folder, "documents"), verify=True)
+    return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "lossless")
 
 
 def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from loanlens.llm import blocks
 from loanlens.llm.vocabulary import DEFAULT_MODEL, Trie, load
 
-_ROOM = 4 << 20
+_ROOM = 2 << 20
 DEAD = -1
 
 
