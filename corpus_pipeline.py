@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import blocks, lang_id, lattice, mixing, near_dup, pii
+from loanlens.llm import lang_id, lattice, mixing, near_dup, pii
 from loanlens.session import written
 
 ORACLE_SQL = None
@@ -49,11 +49,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids (sampled pieces of the text), n_pieces, and whether decoding gives the text back."""
-    digest = blocks.fresh(docs, "text_digest")[0]
-    marked = docs.select("doc_id", "lang", "source", "text", F.sha2("text", 256).alias(digest))
-    decoded = lattice.decode(lattice.encode(marked, carry=("lang", "source", digest)))
-    lossless = F.sha2("decoded", 256).eqNullSafe(F.col(digest))
-    return decoded.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_pieces"), lossless.alias("lossless"))
+    encoded = lattice.encode(docs, carry=("lang", "source"), verify=True)
+    return encoded.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_pieces"), "lossless")
 
 
 STAGES = [
