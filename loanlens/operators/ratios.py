@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from loanlens.functions.loan import METRIC_VALUE, MINI, MINI_ONLY, POCKET, ZIP, ratio
 from loanlens.operators.snapshots import dimensions
 
+# Metric names.
 ACTIVE_BOM, ACTIVE_EOM, ACTIVE_DELTA = "Active BOM", "Active EOM", "Active EOM Delta"
 COLL_BOM, COLL_EOM, COLL_DELTA = "Collections BOM", "Collections EOM", "Collections EOM Delta"
 NEW, REACTIVATED, RELOANED = "New", "Reactivated", "Reloaned"

@@ -31,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AT = AsOf(date(2001, 6, 15))
 EARLIER = AsOf(date(2001, 5, 15))
+SIX_MONTHS = AsOf(AT.day, months_back=6)
 
 _stored: dict[tuple, DataFrame] = {}
 
@@ -319,9 +320,9 @@ def mini_only_queries() -> dict[str, Query]:
     return {op: metric(kind, build) for op, build in builds.items()}
 
 
-def monthly_run(kind: M.MetricSet) -> Query:
+def monthly_run(kind: M.MetricSet, at: AsOf = AT) -> Query:
     """A whole run over the stored facts; nothing of it is kept from earlier queries."""
-    return metric(kind, lambda t: M.run(t.facts(), t.dim_merchant(), AT, kind))
+    return metric(kind, lambda t: M.run(t.facts(), t.dim_merchant(), at, kind))
 
 
 STATUS_OPS = {
@@ -365,4 +366,6 @@ def loan_queries() -> dict[str, Query]:
         "monthly_run_v1": monthly_run(M.V1),
         "monthly_run_v2": monthly_run(M.V2),
         "monthly_run_v2_plain": monthly_run(M.V2_PLAIN),
+        "monthly_run_v2_six_months": monthly_run(M.V2, SIX_MONTHS),
+        "pipeline_monthly": monthly_run(M.V1),
     }

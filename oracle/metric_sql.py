@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from oracle.loan_sql import AS_OF, FACT, OPENS_AFTER, day
+from oracle.loan_sql import AS_OF, FACT, MONTHS_BACK, day
 
 MONTH = f"date_trunc('month', {AS_OF})::DATE"
 DAYS_LEFT = f"date_diff('day', {AS_OF} - 1, last_day({AS_OF}))"
 
+# The metric names, the status codes and which metric a status counts for.
 SEEN = "('New', 'React', 'Paid_D', 'Default_P', 'Default_M', 'Default_C', 'Paid_P', 'PaidRel_1', 'PaidRel_2', 'Renewed_1', 'Renewed_2', 'Due')"
-EVENTS = SEEN[:-1] + ", 'Charged off', 'Bankrupt')"
+EVENTS = "('New', 'React', 'Paid_D', 'Default_P', 'Default_M', 'Default_C', 'Paid_P', 'PaidRel_1', 'PaidRel_2', 'Renewed_1', 'Renewed_2', 'Due', 'Charged off', 'Bankrupt')"
 DEFAULTS = "('Default_P', 'Default_M', 'Default_C')"
 OPEN = "('Active', 'Collections', 'Collections_M')"
 NAMED = """CASE status WHEN 'New' THEN 'New' WHEN 'React' THEN 'Reactivated' WHEN 'Paid_D' THEN 'Paid Off'
@@ -16,6 +17,10 @@ NAMED = """CASE status WHEN 'New' THEN 'New' WHEN 'React' THEN 'Reactivated' WHE
   WHEN 'Default_P' THEN 'Default (Principal)' WHEN 'Default_M' THEN 'Default (Principal)'
   WHEN 'Charged off' THEN 'Charged Off' WHEN 'Bankrupt' THEN 'Charged Off' ELSE 'Reloaned' END"""
 
+def opens_after(months_back: int) -> str:
+    return f"last_day({AS_OF} - INTERVAL {months_back} MONTH)"
+
+
 PLACED = """placed AS MATERIALIZED (
   SELECT f.*, s.unit, s.product, s.region,
          CASE WHEN s.unit = 'Online' AND s.product = 'Mini Money' THEN ' ' ELSE s.province END AS province,
@@ -27,7 +32,7 @@ months AS (
   SELECT DISTINCT date_trunc('month', d)::DATE AS m
   FROM (SELECT unnest(generate_series(DATE '1994-01-01', DATE '2003-12-31', INTERVAL 1 DAY))::DATE AS d)
   WHERE d > %s AND d <= %s
-)""" % (OPENS_AFTER, AS_OF)  # noqa: UP031
+)"""
 
 COUNTS = "count(DISTINCT ssn)::DECIMAL(21,3) AS vc, count(DISTINCT appl)::DECIMAL(21,3) AS vl"
 
@@ -59,7 +64,8 @@ def divided(top: str, bottom: str) -> str:
 class MetricSql:
     """Branches of one metric set; `sub` adds the sub-product to the dimensions."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, months_back: int = MONTHS_BACK):
+        self.opens = opens_after(months_back)
         self.v2 = name.startswith("v2")
         self.mini_only = name == "v2"
         self.sub = self.v2
@@ -115,7 +121,7 @@ class MetricSql:
 
     def flows(self, any_default=False, mini=False):
         wanted = DEFAULTS if any_default else EVENTS
-        where = f"status IN {wanted} AND d1 > {OPENS_AFTER} AND d2 < {AS_OF}"
+        where = f"status IN {wanted} AND d1 > {self.opens} AND d2 < {AS_OF}"
         product = "product"
         if mini:
             product = "'Mini Money Only'"
@@ -384,7 +390,7 @@ class MetricSql:
 
     def upto(self, step: str | None) -> tuple[str, str]:
         """CTEs that build the stored rows before `step`, and the name of the last one."""
-        ctes, last = [f"WITH {FACT},\n{PLACED}"], "none"
+        ctes, last = [f"WITH {FACT},\n{PLACED % (self.opens, AS_OF)}"], "none"
         for i, (name, build) in enumerate(self.steps()):
             if name == step:
                 break

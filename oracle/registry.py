@@ -134,6 +134,9 @@ def _mini_only() -> dict[str, str]:
 
 def loan_oracles() -> dict[str, str]:
     runs = {f"monthly_run_{n}": MetricSql(n).whole() for n in ("v1", "v2", "v2_plain")}
+    # The second metric set may look back less far than the facts do.
+    runs["monthly_run_v2_six_months"] = MetricSql("v2", months_back=6).whole()
+    runs["pipeline_monthly"] = runs["monthly_run_v1"]
     pattern = f"SELECT * FROM ({runs['monthly_run_v2']}) WHERE Metric NOT LIKE '%Proj'"
     return {
         **_tables(), "sink_delete_pattern": pattern, **_status(),

@@ -14,7 +14,7 @@ COMPARED = [
     "L02_collections", "L09_default_m_payment", "L12_react", "L16_paidrel_2", "L18_renewed_2", "L20_fact_load",
     "M01_bom_snapshot_v1", "M04_eom_mtd_v2", "M05_flow_counts_v1", "M12_charged_off_pct_v2", "M18_collections_eom_delta_v2",
     "M24_flow_projection_v2", "M37_mini_only_snapshots", "M38_mini_only_flows", "M42_mini_only_churn_pct_proj",
-    "monthly_run_v1",
+    "monthly_run_v1", "monthly_run_v2_six_months",
     "A02_loan_fincharge", "A09_pay_fincharge", "A11_pay_fees", "A22_ach_processed", "A35_status_new_principal",
     "A39_return_item_count", "A41_accounting_extract",
 ]
@@ -31,7 +31,10 @@ def con(folder):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """All but training-data operators that SQL can't express, where these are present."""
+    missing = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(name == "pipeline" or name.startswith("op") for name in missing)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", COMPARED)
