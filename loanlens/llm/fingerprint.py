@@ -254,7 +254,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     blocks.arrow_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ranks = rarity(docs)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
     dealt = docs.repartitionByRange(parts, F.col("doc_id").desc_nulls_last()).sortWithinPartitions(*order)
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
+from loanlens.session import written
 
 ORDER = 4
 LEARN_DOCS = 1500
@@ -33,6 +34,7 @@ LEAST_COUNT = 2
 REJECT_MARGIN = 0.25
 BLANK = 0x20
 UNKNOWN = "und"
+BROADCAST_IDS = 1_000_000
 BLOCK_CHARS = 1 << 18
 
 
@@ -213,7 +215,10 @@ def learning_rows(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> D
     some = some.join(size, "lang").where((F.pmod("h", F.lit(1 << 20)) / (1 << 20)) * F.col("n") < 2 * bound)
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     chosen = some.withColumn("r", F.row_number().over(order)).where(F.col("r") <= bound).select("doc_id", "lang")
-    return docs.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"], "left_semi").select("lang", "text")
+    chosen = written(chosen.distinct(), "learning-ids")
+    # Few languages make few ids; a column of very many values is met by a shuffle instead.
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+    return docs.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
 
 def fit(learning: DataFrame) -> Model | None:
@@ -332,11 +337,11 @@ def calibrated(model: Model, texts: list[str], langs: list[str]) -> Model:
 
 def trained(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> Model | None:
     """A calibrated model from the rows of docs (doc_id, text, lang) that `keep` marks."""
-    learning = learning_rows(docs, keep, bound)
+    learning = written(learning_rows(docs, keep, bound), "learning")
     model = fit(learning)
     if model is None:
         return None
-    held = learning.select("lang", F.col("text")).where(F.pmod(F.xxhash64("text"), F.lit(8)) == 0).limit(1000).toPandas()
+    held = learning.select("lang", "text").where(F.pmod(F.xxhash64("text"), F.lit(8)) == 0).limit(1000).toPandas()
     return calibrated(model, held["text"].tolist(), held["lang"].tolist())
 
 

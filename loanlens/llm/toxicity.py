@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
+from loanlens.session import written
 
 LEARN_DOCS, LEAST_Z, LEAST_DOCS, MOST_WORDS = 4000, 5.0, 5, 4000
 QUIET = -9.0
@@ -139,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: F.Column, bound: int = LEARN
     Without labels of both kinds, or without telling words, the model has no words and calls nothing toxic.
     """
     blocks.arrow_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, keep, bound)
+    sample = written(labelled_sample(docs, labels, keep, bound), "labelled")
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     nothing = Model(np.zeros(1, np.uint64), np.zeros(1), QUIET)
