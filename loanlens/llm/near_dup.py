@@ -258,6 +258,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
     rooted = rooted.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "root", F.coalesce("root", "doc_id")
     )
+    # A link needs enough common shingles for the smallest partner that the bucket, and the threshold, allow.
+    smallest = rooted.groupBy("key").agg(F.min("n").alias("smallest"))
+    partner = F.greatest(F.col("smallest") * 100, F.col("n") * least)
+    rooted = rooted.join(smallest, "key").where(
+        (F.col("n") * 100 + partner) * least <= F.col("shared") * (100 + least) * 100
+    )
+    rooted = written(rooted.drop("smallest"), "rooted")
     by_root = rooted.groupBy("key", "root").agg(F.count("*").alias("c"))
     mixed = by_root.groupBy("key").agg(
         F.count("*").alias("roots"), F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("most")
