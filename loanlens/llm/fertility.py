@@ -1,10 +1,12 @@
 """Quality rules by tokeniser fertility.
 
-A public vocabulary measures each text: characters per token, the share of byte-fallback tokens, and the
-entropy of its tokens. Rejection bands are set per script (that of most of a text's letters) and, as a longer
-text has more kinds of tokens, per power of two of its length: Spark takes the quartiles of each measure over
-all texts of a class that pass the base rules, and a text is rejected where a measure lies more than WIDTH
-interquartile ranges (and at least a floor) beyond its quartiles.
+A public vocabulary measures each text: characters and symbols per token, the share of byte-fallback tokens,
+tokens per word (fertility), and the entropy of its tokens. Rejection bands are set per script (that of most of a
+text's letters), language (`lang`, where the table has it) and, as a longer text has more kinds of tokens, power of
+two of its length: Spark takes the quartiles of each measure over the texts of a class that pass the base rules, and
+a text is rejected where a measure lies more than WIDTH interquartile ranges (and at least a floor) beyond its
+quartiles. A class of fewer than LEAST_TEXTS texts takes the quartiles of more: of its language with up to
+NEAR_LENGTHS lengths at either side, then of its script, then of the corpus, at last of the corpus in any length.
 
 Base rules count words, symbols, repeated lines and words in repeated five-word windows.
 """
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
@@ -24,10 +26,19 @@ from loanlens.session import prepare, written
 
 WINDOW = 5
 LEAST_WORDS, MOST_REPEATED = 10, 20
-WIDTH = 4.0
+WIDTH = 3.0
+LEAST_TEXTS, NEAR_LENGTHS, BROADCAST_CLASSES = 30, 2, 100_000
+# The least entropy of a text judged by other lengths, as a share of the most that its tokens allow.
+SHORT_ENTROPY = 0.8
 # The least distance of the lower and upper bound from its quartile, so that a uniform corpus does not reject
-# small differences. Many characters a token speak for a text in the vocabulary's own language: a wide bound.
-FLOORS = {"chars_per_token": (0.5, 2.0), "byte_share": (1.0, 0.05), "token_entropy": (1.0, 2.0)}
+# small differences. Many characters a token speak for a text in the vocabulary's own language: a wider bound.
+FLOORS = {
+    "chars_per_token": (0.2, 0.75),
+    "byte_share": (1.0, 0.05),
+    "token_entropy": (0.3, 1.0),
+    "tokens_per_word": (4.0, 1.0),
+    "symbols_per_token": (9.0, 0.05),
+}
 _ROOM = 2 << 20
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -140,11 +151,11 @@ def scripts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_byte_tokens"]
-_MEASURED = "doc_id long, " + ", ".join(f"{c} long" for c in _COUNTS) + ", token_entropy double, script string"
+_MEASURED = "doc_id long, " + ", ".join(f"{c} long" for c in _COUNTS) + ", token_entropy double, script string, lang string"
 
 
 def measure(docs: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFrame:
-    """Base counts, token counts, token entropy and script of each row of docs (doc_id, text)."""
+    """Base counts, token counts, token entropy and script of each row of docs (doc_id, text), and its lang if docs has it."""
     spark = docs.sparkSession
     blocks.arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model_bytes(model_path))
@@ -161,18 +172,44 @@ def measure(docs: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFrame:
                 names = [SCRIPTS[i] for i in scripts(data, offsets).tolist()]
                 columns = [pa.array(counts[c].astype(np.int64)) for c in _COUNTS]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *columns, pa.array(counts["token_entropy"]), pa.array(names)],
+                    [part.column("doc_id"), *columns, pa.array(counts["token_entropy"]), pa.array(names), part.column("lang")],
                     names=[x.split()[0] for x in _MEASURED.split(", ")],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _MEASURED)
+    lang = docs["lang"].cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", lang.alias("lang")).mapInArrow(run, _MEASURED)
+
+
+def _keys(script: str = "script", lang: str = "lang") -> Column:
+    """The groups that a text's class may take its quartiles from: its language, its script, the corpus."""
+    levels = [F.struct(script, lang), F.struct(script, F.lit(None).cast("string")), F.struct(*[F.lit(None).cast("string")] * 2)]
+    return F.array(*[F.to_json(level, {"ignoreNullFields": "false"}) for level in levels])
+
+
+def pools(sizes: DataFrame) -> DataFrame:
+    """sizes (script, lang, length_class, n) with the group (key) and lengths (least, most) whose quartiles a class takes."""
+    keyed = sizes.select("*", F.posexplode(_keys()).alias("level", "key"))
+    cells = keyed.groupBy("key", F.col("length_class").alias("other")).agg(F.sum("n").alias("texts"))
+    apart = F.abs(F.col("length_class") - F.col("other"))
+    within = [F.sum(F.when(apart <= r, F.col("texts")).otherwise(0)).alias(f"n{r}") for r in range(NEAR_LENGTHS + 1)]
+    near = keyed.join(cells, "key").groupBy("script", "lang", "length_class", "level", "key").agg(*within)
+    reach = F.lit(None).cast("int")
+    for r in range(NEAR_LENGTHS, -1, -1):
+        reach = F.when(F.col(f"n{r}") >= LEAST_TEXTS, F.lit(r)).otherwise(reach)
+    reach = F.coalesce(reach, F.when(F.col("level") == 2, F.lit(1000)))
+    near = near.withColumn("reach", reach).where(F.col("reach").isNotNull())
+    first = near.groupBy("script", "lang", "length_class").agg(F.min(F.struct("level", "reach", "key")).alias("p"))
+    return first.select(
+        "script", "lang", "length_class", F.col("p.key").alias("key"),
+        (F.col("length_class") - F.col("p.reach")).alias("least"), (F.col("length_class") + F.col("p.reach")).alias("most"),
+    )
 
 
 def judge(docs: DataFrame, model_path: str = DEFAULT_MODEL, width: float = WIDTH) -> DataFrame:
-    """The measures of each row of docs (doc_id, text) with base_failed and kept.
+    """The measures of each row of docs (doc_id, text, and lang where there is one) with base_failed and kept.
 
     base_failed: fewer than LEAST_WORDS words, or more than MOST_REPEATED percent of the words in windows found
-    twice. kept: passes the base rules and lies within the bands of its script and length. A null or empty text has zeros
+    twice. kept: passes the base rules and lies within the bands of its class. A null or empty text has zeros
     and fails; repeated rows each give a row; an empty table gives an empty table.
     """
     prepare(docs.sparkSession)
@@ -182,21 +219,38 @@ def judge(docs: DataFrame, model_path: str = DEFAULT_MODEL, width: float = WIDTH
         measure(docs, model_path)
         .withColumn("chars_per_token", F.col("word_chars") / some)
         .withColumn("byte_share", F.col("n_byte_tokens") / some)
+        .withColumn("tokens_per_word", F.col("n_tokens") / F.greatest(F.col("n_words"), F.lit(1)))
+        .withColumn("symbols_per_token", F.col("n_symbols") / some)
+        .withColumn("lang", F.coalesce("lang", F.lit("")))
         .withColumn("length_class", F.floor(F.log2(some.cast("double"))).cast("int"))
         .withColumn("base_failed", failed)
     )
     rows = written(rows, "measures")
+    classes = ["script", "lang", "length_class"]
+    passing = rows.where(~F.col("base_failed"))
+    sizes = passing.groupBy(*classes).agg(F.count("*").alias("n"))
+    own = written(pools(sizes), "pools")
+    few = own.count() <= BROADCAST_CLASSES
+    small = F.broadcast if few else (lambda table: table)
+    # Which pools a class's texts count in: its own, and those of classes with few texts near it.
+    kinds = own.select(F.col("key").alias("pool"), "least", "most").distinct()
+    feeds = own.select(*classes, F.explode(_keys()).alias("pool")).join(kinds, "pool")
+    feeds = feeds.where(F.col("length_class").between(F.col("least"), F.col("most")))
     quartiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 1000).alias(m) for m in FLOORS]
-    bands = rows.where(~F.col("base_failed")).groupBy("script", "length_class").agg(*quartiles)
-    # One row per script and power of two: a few hundred at most.
+    bands = passing.select(*classes, *FLOORS).join(small(feeds), classes).groupBy("pool", "least", "most").agg(*quartiles)
     limits = []
     for m, (below, above) in FLOORS.items():
         low, high = F.get(m, F.lit(0)), F.get(m, F.lit(1))
         reach = (high - low) * width
         limits.append((low - F.greatest(reach, F.lit(below))).alias(f"{m}_low"))
         limits.append((high + F.greatest(reach, F.lit(above))).alias(f"{m}_high"))
-    bands = bands.select("script", "length_class", *limits)
-    judged = rows.join(F.broadcast(bands), ["script", "length_class"], "left")
+    bands = bands.select(F.col("pool").alias("key"), "least", "most", *limits)
+    bands = written(own.join(bands, ["key", "least", "most"]).drop("key"), "bands")
+    judged = rows.join(small(bands), classes, "left")
+    # A text can't have more entropy than its tokens allow, which longer neighbours do not know.
+    most = F.log2(some.cast("double")) * SHORT_ENTROPY
+    low = F.when(F.col("least") < F.col("most"), F.least(F.col("token_entropy_low"), most)).otherwise(F.col("token_entropy_low"))
+    judged = judged.withColumn("token_entropy_low", low).drop("least", "most")
     within = F.lit(True)
     for m in FLOORS:
         within = within & F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high"))

@@ -56,5 +56,21 @@ def test_bands_keep_prose_and_reject_codes(spark):
     assert all(kept[i] for i in range(200)) and not kept[500] and not kept[501]
 
 
+def test_bands_reject_symbol_junk_and_lone_classes(spark):
+    rng = random.Random(4)
+    french = "le la que eau ai oi é en ou ent"
+    rows = [(i, helpers.prose(rng, rng.randint(30, 60)), "en") for i in range(150)]
+    rows += [(200 + i, helpers.prose(rng, rng.randint(30, 60), french), "fr") for i in range(150)]
+    junk = " ".join(w + rng.choice(["$$$", "###", "&&&"]) for w in helpers.prose(rng, 45).split())
+    rows += [(500, junk, "en"), (501, junk, "fr"), (502, " | ".join(helpers.prose(rng, 40).split()), "en")]
+    # Alone in their length, script or language: these must not set their own bands.
+    rows += [(503, " ".join(w + "$$$" for w in helpers.prose(rng, 5000).split()), "en")]
+    rows += [(504, " ".join("".join(chr(rng.randrange(0x2C80, 0x2CE0)) for _ in range(9)) for _ in range(30)), "en")]
+    rows += [(505, junk, "xx"), (506, helpers.prose(rng, 40), "yy"), (507, helpers.prose(rng, 11), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in fertility.judge(docs).collect()}
+    assert [i for i, k in kept.items() if k != (i < 500 or i > 505)] == []
+
+
 def test_empty_table(spark):
     assert fertility.judge(helpers.empty_docs(spark)).count() == 0
