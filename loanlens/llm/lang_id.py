@@ -10,8 +10,11 @@ Spark sums by language. N-grams seen fewer than LEAST_COUNT times are dropped fr
 
 Rejection: the bits per character under the best model are compared with those of a model that knows
 nothing but the alphabet (log2 of the number of letters the models know). A text that the best language
-describes no better than that is rejected, as is a text without letters. The slack REJECT_MARGIN is
-widened, if needed, until at most one in a thousand of the learning texts would be rejected.
+describes no better than that is rejected, as is a text without letters. One in HELD_SHARE of the labelled rows is
+kept out of the fit; these rows and all others beyond the bound are scored, and raise each language's ceiling
+to the entropy that one in a thousand of them exceeds, but not beyond RAISE_WIDTH interquartile ranges over
+their third quartile: noise under a label, if it is less than a quarter of a language's rows, raises nothing.
+Those scores also set the scale of the score. REJECT_MARGIN is added to either ceiling.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ ORDER = 4
 LEARN_DOCS = 1500
 LEAST_COUNT = 2
 REJECT_MARGIN = 0.25
+HELD_SHARE, RAISE_WIDTH = 8, 3.0
+SCALES = (1.0, 0.5, 0.25, 0.1, 0.05, 0.02)
 BLANK = 0x20
 UNKNOWN = "und"
 BROADCAST_IDS = 1_000_000
@@ -107,7 +112,7 @@ class Model:
     back: list[np.ndarray]
     unseen: np.ndarray  # bits of a character that no language has seen
     alphabet_bits: float
-    ceiling: float = math.inf
+    ceilings: np.ndarray | None = None  # by language
     scale: float = 1.0
 
     def find(self, keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,10 +140,10 @@ class Model:
         total[rest] += self.unseen
         return np.add.reduceat(total, starts[:-1], axis=0).astype(np.float64)
 
-    def predict(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Index of the language (-1 without letters), cross-entropy, score, and rejection of each text."""
+    def measured(self, texts: list[str | None], scales: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the language (-1 without letters), cross-entropy, and the score by scale of each text."""
         best = np.full(len(texts), -1)
-        entropy, score = np.full(len(texts), np.nan), np.zeros(len(texts))
+        entropy, score = np.full(len(texts), np.nan), np.zeros((len(scales), len(texts)))
         lengths = np.cumsum([0] + [len(t or "") + 1 for t in texts])
         for lo, hi in blocks.slices(lengths, BLOCK_CHARS):
             codes, starts, lettered = normalised(texts[lo:hi])
@@ -147,13 +152,20 @@ class Model:
             rate = sums / size[:, None]
             top = rate.argmin(axis=1)
             # Log odds of the best language, in nats, over a bounded number of characters.
-            gap = (rate - rate.min(axis=1, keepdims=True)) * np.minimum(size, 200)[:, None] * math.log(2) * self.scale
-            sure = 1.0 / np.exp(-gap).sum(axis=1)
+            gap = (rate - rate.min(axis=1, keepdims=True)) * np.minimum(size, 200)[:, None] * math.log(2)
             best[lo:hi] = np.where(lettered, top, -1)
             entropy[lo:hi] = np.where(lettered, rate.min(axis=1), np.nan)
-            score[lo:hi] = np.where(lettered, sure, 0.0)
-        rejected = (best < 0) | (entropy > self.ceiling)
-        return best, entropy, score, rejected
+            for i, scale in enumerate(scales):
+                score[i, lo:hi] = np.where(lettered, 1.0 / np.exp(-gap * scale).sum(axis=1), 0.0)
+        return best, entropy, score
+
+    def predict(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the language (-1 without letters), cross-entropy, score, and rejection of each text."""
+        best, entropy, score = self.measured(texts, (self.scale,))
+        rejected = best < 0
+        if self.ceilings is not None:
+            rejected = rejected | (entropy > self.ceilings[best])
+        return best, entropy, score[0], rejected
 
     def _sums(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         if len(codes) <= 2 * BLOCK_CHARS:
@@ -206,9 +218,14 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return summed.where((F.col("n") < ORDER - 1) | (F.col("count") >= LEAST_COUNT))
 
 
-def learning_rows(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> DataFrame:
-    """(lang, text): up to `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
-    some = docs.where(keep & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("lang") != UNKNOWN))
+def eligible(docs: DataFrame, keep: F.Column) -> DataFrame:
+    """The labelled rows that may be learned from."""
+    return docs.where(keep & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("lang") != UNKNOWN))
+
+
+def learning_ids(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> DataFrame:
+    """(doc_id, lang) of up to `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
+    some = eligible(docs, keep)
     some = some.select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang")).alias("h"))
     # First a cut by the hash, so that the ordering below sees few rows: twice the bound is left of a large language.
     size = some.groupBy("lang").agg(F.count("*").alias("n"))
@@ -217,8 +234,12 @@ def learning_rows(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> D
     chosen = some.withColumn("r", F.row_number().over(order)).where(F.col("r") <= bound).select("doc_id", "lang")
     chosen = written(chosen.distinct(), "learning-ids")
     # Few languages make few ids; a column of very many values is met by a shuffle instead.
-    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
-    return docs.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    return F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+
+
+def learning_rows(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> DataFrame:
+    """(lang, text): up to `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
+    return docs.join(learning_ids(docs, keep, bound), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
 
 def fit(learning: DataFrame) -> Model | None:
@@ -319,30 +340,54 @@ def _prob(table: tuple[list[dict], list[dict], float], gram: str) -> float:
     return value
 
 
-def calibrated(model: Model, texts: list[str], langs: list[str]) -> Model:
-    """Set the rejection ceiling and the scale of the score on learning texts."""
-    best, entropy, _, _ = model.predict(texts)
-    known = np.sort(entropy[best >= 0])
-    model.ceiling = model.alphabet_bits + REJECT_MARGIN
-    if len(known):
-        model.ceiling = max(model.ceiling, float(known[min(len(known) - 1, int(len(known) * 0.999))]) + REJECT_MARGIN)
-    # The score's scale: the mean score of the learning texts should be their share of right answers.
-    right = np.mean([best[i] >= 0 and model.languages[best[i]] == langs[i] for i in range(len(langs))]) if langs else 1.0
-    for scale in (1.0, 0.5, 0.25, 0.1, 0.05, 0.02):
+def calibrated(model: Model, held: DataFrame) -> Model:
+    """Set the rejection ceilings and the scale of the score from all of (lang, text), which the model has not seen."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.array([*model.languages, UNKNOWN], dtype=object)
+        for batch in frames:
+            best, entropy, score = model.measured(batch.column("text").to_pylist(), SCALES)
+            right = names[best] == np.array(batch.column("lang").to_pylist(), dtype=object)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(best.astype(np.int32)), pa.array(entropy, mask=np.isnan(entropy)), pa.array(right.astype(bool)),
+                 *[pa.array(s) for s in score]],
+                names=["best", "entropy", "right", *[f"score{i}" for i in range(len(SCALES))]],
+            )
+
+    columns = ", ".join(f"score{i} double" for i in range(len(SCALES)))
+    scored = held.select("lang", "text").mapInArrow(run, f"best int, entropy double, right boolean, {columns}")
+    # One row per language of the model, and one for texts without letters.
+    sums = scored.groupBy("best").agg(
+        F.count("*").alias("n"), F.sum(F.col("right").cast("long")).alias("right"),
+        F.percentile_approx("entropy", F.array(F.lit(0.25), F.lit(0.75), F.lit(0.999)), 100_000).alias("q"),
+        *[F.sum(f"score{i}").alias(f"score{i}") for i in range(len(SCALES))],
+    ).collect()
+    least = model.alphabet_bits + REJECT_MARGIN
+    model.ceilings = np.full(len(model.languages), least)
+    for r in sums:
+        if r["best"] >= 0:
+            low, high, most = r["q"]
+            raised = min(most, high + RAISE_WIDTH * (high - low)) + REJECT_MARGIN
+            model.ceilings[r["best"]] = max(least, raised)
+    # The score's scale: the mean score of the texts should be their share of right answers.
+    total = sum(r["n"] for r in sums)
+    right = sum(r["right"] for r in sums) / total if total else 1.0
+    for i, scale in enumerate(SCALES):
         model.scale = scale
-        if model.predict(texts)[2].mean() <= max(right, 0.5) + 0.005:
+        if sum(r[f"score{i}"] for r in sums) <= (max(right, 0.5) + 0.005) * total:
             break
     return model
 
 
 def trained(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> Model | None:
     """A calibrated model from the rows of docs (doc_id, text, lang) that `keep` marks."""
-    learning = written(learning_rows(docs, keep, bound), "learning")
+    aside = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("held")), F.lit(HELD_SHARE)) == 0
+    ids = learning_ids(docs, keep & ~aside, bound)
+    learning = written(docs.join(ids, ["doc_id", "lang"], "left_semi").select("lang", "text"), "learning")
     model = fit(learning)
     if model is None:
         return None
-    held = learning.select("lang", "text").where(F.pmod(F.xxhash64("text"), F.lit(8)) == 0).limit(1000).toPandas()
-    return calibrated(model, held["text"].tolist(), held["lang"].tolist())
+    return calibrated(model, eligible(docs, keep).join(ids, ["doc_id", "lang"], "left_anti"))
 
 
 def identify(docs: DataFrame, model: Model | None, carry: list[str] | None = None) -> DataFrame:

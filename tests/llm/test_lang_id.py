@@ -63,6 +63,19 @@ def test_held_out_texts_and_edges(spark, model):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_noise_in_a_corpus_is_rejected(spark):
+    rng = random.Random(2)
+    rows = [(i, helpers.prose(rng, 40), "en") for i in range(600)]
+    rows += [(1000 + i, "".join(rng.choice("theangirosd") for _ in range(80)), "en") for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.trained(docs, F.lit(True))
+    got = {r.doc_id: r.rejected for r in lang_id.identify(docs.where("doc_id < 1000"), model).collect()}
+    assert not any(got.values())
+    new = [(i, "".join(rng.choice("theangirosd") for _ in range(80)), None) for i in range(40)]
+    got = lang_id.identify(spark.createDataFrame(new, docs.schema), model).collect()
+    assert all(r.rejected for r in got)
+
+
 def test_carried_columns_keep_their_names(spark, model):
     docs = helpers.edge_docs(spark)
     found = lang_id.identify(docs, model, carry=docs.columns)
