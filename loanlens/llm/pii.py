@@ -9,7 +9,8 @@ and its left and right neighbours. Spark scores the graph of patterns and values
     confidence(value, kind) = 1 - product over its patterns of (1 - score(pattern, kind))
 
 Seeds keep confidence 1 for their kind. A pattern counts once the confidences under it add up to
-LEAST_SUPPORT. Values that reach ACCEPT after ROUNDS rounds are personal data, wherever they occur.
+LEAST_SUPPORT and it holds a seed or a value that has reached ACCEPT: values found in one round bring in the
+patterns they stand in with the next. Values that reach ACCEPT after ROUNDS rounds are personal data, wherever they occur.
 
 Positions come from the pieces between matches: a match starts after all earlier pieces and matches, a
 running sum over one text's matches. Patterns are written so that a text is scanned in linear time.
@@ -135,29 +136,30 @@ def discovered(found: DataFrame) -> DataFrame:
     )
     # One row per pattern and value, however often they meet.
     links = links.groupBy("pattern", "kind", "value").agg(F.lit(1).alias("one")).drop("one")
-    # Only patterns with enough seeds can ever score, and only values under them matter.
-    seeded = links.groupBy("pattern").agg(
-        F.sum(F.when(F.col("kind") != OTHER, 1).otherwise(0)).alias("seeds"), F.count("*").alias("values")
-    )
-    seeded = seeded.where((F.col("seeds") >= 1) & (F.col("values") >= LEAST_SUPPORT)).select("pattern", "values")
-    links = written(links.join(seeded, "pattern"), "links")
+    # Confidences are at most 1, so only patterns with enough values can ever score; seeds may come in later rounds.
+    sizes = links.groupBy("pattern").agg(F.count("*").alias("values")).where(F.col("values") >= LEAST_SUPPORT)
+    links = written(links.join(sizes, "pattern"), "links")
     fixed = links.where(F.col("kind") != OTHER).groupBy("pattern", "values", F.col("kind").alias("as_kind")).agg(
         F.count("*").cast("double").alias("trust")
     )
     open_links = links.where(F.col("kind") == OTHER).select("pattern", "values", "value")
+    seeded = fixed.select("pattern").distinct()
     trusted = None
     for _ in range(ROUNDS):
-        sums = fixed
+        sums, active = fixed, seeded
         if trusted is not None:
             more = open_links.join(trusted, "value").select("pattern", "values", "as_kind", F.col("confidence").alias("trust"))
             sums = fixed.unionByName(more)
+            sure = trusted.where(F.col("confidence") >= ACCEPT).select("value").distinct()
+            active = seeded.unionByName(open_links.join(sure, "value", "left_semi").select("pattern")).distinct()
         score = sums.groupBy("pattern", "values", "as_kind").agg(F.sum("trust").alias("trust"))
-        score = score.where(F.col("trust") >= LEAST_SUPPORT).select(
+        score = score.where(F.col("trust") >= LEAST_SUPPORT).join(active, "pattern", "left_semi").select(
             "pattern", "as_kind", (F.col("trust") / (F.col("values") + SMOOTHING)).alias("score")
         )
         trusted = open_links.join(score, "pattern").groupBy("value", "as_kind").agg(
             (1 - F.exp(F.sum(F.log(1 - F.col("score"))))).alias("confidence")
         )
+        trusted = written(trusted, "trusted")
     best = trusted.groupBy("value").agg(F.max(F.struct("confidence", (-F.col("as_kind")).alias("k"))).alias("b"))
     return best.where(F.col("b.confidence") >= ACCEPT).select("value", (-F.col("b.k")).alias("as_kind"))
 

@@ -85,6 +85,19 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[102].found == [] and got[103].found == []
 
 
+def test_discovered_values_bring_in_new_patterns(spark):
+    rows = [(i, f"you reach me at user{i}x@mail.org today and more") for i in range(40)]
+    # Found beside the seeds, these names stand in a second context too, which holds no seed.
+    rows += [(100 + i, f"you reach me at name{i}@intranet today and more") for i in range(12)]
+    rows += [(200 + i, f"then ping desk via name{i}@intranet promptly or wait") for i in range(12)]
+    rows += [(300, "then ping desk via zed9@intranet promptly or wait"), (301, "only zed9@intranet again")]
+    rows += [(400 + i, f"the build has version 12.{i} since then") for i in range(12)]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        at = re.search(r"[a-z0-9]+@[a-z.]+", text)
+        assert [tuple(s) for s in got[i].found] == ([(0, at.start(), at.end())] if at else [])
+
+
 def redacted(text: str | None) -> str | None:
     spans = sorted(((a, b, k) for k, a, b in base(text)))
     islands: list[list] = []
