@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import fertility, fingerprint, lang_id, lattice, mixing, near_dup, pii, toxicity, warc, wordpiece
+from loanlens.llm import fertility, fingerprint, lang_id, lattice, mixing, near_dup, negatives, pii, toxicity, warc, wordpiece
+from loanlens.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,11 +77,17 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return compared
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    rows = negatives.vectors(table(spark, folder, "embeddings").withColumn("label", moved))
+    return negatives.mine(written(rows, "vectors"), F.col("vec_id") % 100 == 0)
+
+
 def llm_queries() -> dict[str, Query]:
     own = [op1_near_duplicates, op2_language, op3_pii, op4_mixing, op5_token_counts, op6_warc, op7_toxicity,
-           op8_fertility, op9_sentencepiece, op10_fingerprint]
+           op8_fertility, op9_sentencepiece, op10_fingerprint, op12_hard_negatives]
     return {f.__name__: f for f in own}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL}
+    return {"op4_mixing": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL, "op12_hard_negatives": negatives.ORACLE_SQL}
