@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import fertility, fingerprint, lang_id, lattice, mixing, near_dup, negatives, pii, toxicity, warc, wordpiece
+from loanlens.llm import fertility, fingerprint, lang_id, lattice, mixing, near_dup, negatives, pii, prefix_trie, quality, toxicity, warc, wordpiece
 from loanlens.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,17 +77,31 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return compared
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.build(prefix_trie.opened(table(spark, folder, "conversations")))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
     rows = negatives.vectors(table(spark, folder, "embeddings").withColumn("label", moved))
     return negatives.mine(written(rows, "vectors"), F.col("vec_id") % 100 == 0)
 
 
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    stats = written(quality.measure(table(spark, folder, "documents")), "stats")
+    model = quality.train(stats, table(spark, folder, "labels"), ~lang_id.held_out())
+    return quality.score(stats, model).select(
+        "doc_id", lang_id.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     own = [op1_near_duplicates, op2_language, op3_pii, op4_mixing, op5_token_counts, op6_warc, op7_toxicity,
-           op8_fertility, op9_sentencepiece, op10_fingerprint, op12_hard_negatives]
+           op8_fertility, op9_sentencepiece, op10_fingerprint, op11_prefix_trie, op12_hard_negatives,
+           op13_quality]
     return {f.__name__: f for f in own}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL, "op12_hard_negatives": negatives.ORACLE_SQL}
+    return {"op4_mixing": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL, "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+            "op12_hard_negatives": negatives.ORACLE_SQL}
