@@ -9,7 +9,7 @@ and the state of its files.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +22,8 @@ from loanlens.operators import sinks as K
 from loanlens.operators import snapshots as S
 from loanlens.operators.status import FACT_COLUMNS, FACT_KEY, classify, loans_with_product, renewals
 from loanlens.plans import monthly as M
-from loanlens.plans.fact import load_facts, voided_loans
-from loanlens.session import prepare, written
+from loanlens.plans.fact import fact_table, load_facts, store_changes, store_run, voided_loans
+from loanlens.session import prepare, run_path, written
 from loanlens.sources.calendar import calendar_of, month_starts, window_days
 from loanlens.sources.sample import SampleTables
 
@@ -123,14 +123,57 @@ def fact_load(spark: SparkSession, folder: str) -> DataFrame:
     return plain(load_facts(t.loan_appl(), t.payment(), t.dim_merchant(), AT).select(*FACT_COLUMNS))
 
 
+RAN, RAN_EARLIER = datetime(2001, 6, 15, 4, 30), datetime(2001, 5, 15, 4, 30)
+
+
+def _before_voids(loans: DataFrame) -> DataFrame:
+    """The loans of a time when today's voided ones were still open."""
+    opened = F.when(F.col("Loan_Status") == "V", "O").otherwise(F.col("Loan_Status"))
+    return loans.withColumn("Loan_Status", opened)
+
+
+def fact_load_second_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Last month's run stored by status and month, then today's into the same folder."""
+    t = Sample(spark, folder)
+    loans = t.loan_appl()
+    table = fact_table(spark, run_path(spark, "fact_table"), loans)
+    store_run(table, _before_voids(loans), t.payment(), t.dim_merchant(), EARLIER, RAN_EARLIER, first=True)
+    store_run(table, loans, t.payment(), t.dim_merchant(), AT, RAN)
+    return plain(table.read().drop("Ref_Month"))
+
+
+def fact_load_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored run of a time before some loans were voided, granted or paid on; then only what these reach."""
+    t = Sample(spark, folder)
+    loans, payments = t.loan_appl(), t.payment()
+    granted, paid = F.col("Appl_No") % 50 == 7, F.col("Appl_No") % 40 == 3
+    loans_before = _before_voids(loans).filter(~granted)
+    table = fact_table(spark, run_path(spark, "fact_table"), loans)
+    store_run(table, loans_before, payments.filter(~paid), t.dim_merchant(), AT, RAN_EARLIER, first=True)
+    changed = loans.filter(granted | paid | (F.col("Loan_Status") == "V"))
+    store_changes(table, loans, payments, t.dim_merchant(), AT, RAN, changed)
+    return plain(table.read().drop("Ref_Month", "RunTimeStamp"))
+
+
+def monthly_second_run(kind: M.MetricSet) -> Query:
+    """Last month's run stored by month, then today's into the same folder."""
+
+    def second(t: Sample) -> DataFrame:
+        before = load_facts(_before_voids(t.loan_appl()), t.payment(), t.dim_merchant(), EARLIER)
+        before = written(before, "facts_before", "Status")
+        table = M.metric_table(t.spark, run_path(t.spark, "metric_table"), kind)
+        table.create(M.run(before, t.dim_merchant(), EARLIER, kind))
+        M.store_run(table, t.facts(), t.dim_merchant(), AT, kind)
+        return table.read()
+
+    return metric(kind, second)
+
+
 def void_purge(spark: SparkSession, folder: str) -> DataFrame:
     """Due rows of a time when today's voided loans were still open, without the voided loans."""
     t = Sample(spark, folder)
     loans = t.loan_appl()
-    before = loans.withColumn(
-        "Loan_Status", F.when(F.col("Loan_Status") == "V", "O").otherwise(F.col("Loan_Status"))
-    )
-    due = classify(before, t.payment(), t.dim_merchant(), AT, ["Due"])
+    due = classify(_before_voids(loans), t.payment(), t.dim_merchant(), AT, ["Due"])
     return plain(K.delete_by_key(due, voided_loans(loans), "Appl_No").select(*FACT_COLUMNS))
 
 
@@ -360,6 +403,8 @@ def loan_queries() -> dict[str, Query]:
         "L18_renewed_2": renewal("Renewed_2"),
         "L19_void_purge": void_purge,
         "L20_fact_load": fact_load,
+        "fact_load_second_run": fact_load_second_run,
+        "fact_load_changes": fact_load_changes,
         **metric_set_queries(M.V1),
         **metric_set_queries(M.V2),
         **mini_only_queries(),
@@ -368,4 +413,6 @@ def loan_queries() -> dict[str, Query]:
         "monthly_run_v2_plain": monthly_run(M.V2_PLAIN),
         "monthly_run_v2_six_months": monthly_run(M.V2, SIX_MONTHS),
         "pipeline_monthly": monthly_run(M.V1),
+        "monthly_run_second_v1": monthly_second_run(M.V1),
+        "monthly_run_second_v2": monthly_second_run(M.V2),
     }

@@ -9,13 +9,16 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loanlens.functions.dates import AsOf
+from loanlens.functions.dates import AsOf, month_start
+from loanlens.functions.loan import METRIC_VALUE
 from loanlens.operators import projections as P
 from loanlens.operators import ratios as R
 from loanlens.operators import snapshots as S
+from loanlens.operators.partitioned import PartitionedTable, equal
 from loanlens.operators.sinks import delete_projections, upsert
 from loanlens.session import written
 
@@ -207,21 +210,55 @@ def run(
     """The metric table after a run, or the rows stored when the stage of step `until` is about to start.
 
     `stored` holds the metrics of earlier runs: their projections are purged first, and keys
-    that the run reaches again are replaced, all others stay.
+    that the run reaches again are replaced, all others stay. A stage writes its own rows only; the
+    stored ones are read past those that new rows replace.
     """
     dims = S.facts_with_store(facts, merchants)
-    table = None if stored is None else delete_projections(stored)
+    old = None if stored is None else delete_projections(stored)
+    key = metric_key(kind)
+    fresh = None
     by_name = dict(steps(dims, at, kind))
     for number, stage in enumerate(STAGES):
         if until in stage:
             break
+        table = _seen(old, fresh, key)
         rows = _union([by_name[name](table) for name in stage if name in by_name], kind)
-        label = f"{kind.name}-stage{number}"
-        if stored is None:
-            rows = cut(rows, label)
-            table = rows if table is None else table.unionByName(rows)
-        else:
+        if old is not None and number:
             # Derived rows carry no day of their own: the stored one stays.
-            batch = rows if number == 0 else rows.drop("AsOf_Date")
-            table = cut(upsert(table, batch, metric_key(kind)), label)
-    return table
+            days = old.select(*key, "AsOf_Date").alias("t")
+            rows = rows.drop("AsOf_Date").alias("b").join(days, equal(key, "t", "b"), "left").select("b.*", "t.AsOf_Date")
+        rows = cut(_shaped(rows, kind), f"{kind.name}-stage{number}")
+        fresh = rows if fresh is None else fresh.unionByName(rows)
+    return _seen(old, fresh, key)
+
+
+def _seen(old: DataFrame | None, fresh: DataFrame | None, key: list[str]) -> DataFrame | None:
+    """What is stored once `fresh` has replaced rows of `old`."""
+    if old is None or fresh is None:
+        return old if fresh is None else fresh
+    return old.alias("t").join(fresh.select(*key).alias("b"), equal(key, "t", "b"), "left_anti").unionByName(fresh)
+
+
+# -- the stored metric table, split by month -------------------------------------------------
+
+
+def metric_table(spark: SparkSession, path: str, kind: MetricSet) -> PartitionedTable:
+    text, day, value = T.StringType(), T.DateType(), T._parse_datatype_string(METRIC_VALUE)
+    kinds = {c: text for c in S.metric_columns(kind.with_subproduct)}
+    kinds |= {"Value_Cust": value, "Value_Loan": value, "AsOf_Date": day}
+    kinds.pop("Dateref")
+    kinds["Dateref"] = day
+    return PartitionedTable(spark, path, T.StructType([T.StructField(n, k) for n, k in kinds.items()]), ("Dateref",))
+
+
+def store_run(table: PartitionedTable, facts: DataFrame, merchants: DataFrame, at: AsOf, kind: MetricSet) -> set[tuple]:
+    """One run into the stored table; returns the months that were rewritten.
+
+    A run reaches the months of its window and nothing before; it also purges projections, wherever
+    they are. Rows of a month depend on rows of that month, and projections on those of the window.
+    """
+    window = {(month_start(at.month, -k),) for k in range(at.months_back)}
+    projected = table.partitions(table.outside(window).filter(F.col("Metric").endswith("Proj")))
+    rows = run(facts, merchants, at, kind, stored=table.within(window)).select(*table.schema.names)
+    table.replace(window | projected, rows.unionByName(delete_projections(table.within(projected))))
+    return window | projected

@@ -193,3 +193,51 @@ def status_sql(*names: str) -> str:
 
 def fact_sql(where: str = "TRUE") -> str:
     return f"WITH {FACT}\nSELECT {FACT_OUT} FROM fact WHERE {where}"
+
+
+# Statuses whose stored rows of the window a run drops first.
+RELOADED = (
+    "('Bankrupt', 'Charged off', 'Default_C', 'Default_M', 'Default_P', 'Due', 'New', 'PaidRel_1', 'PaidRel_2', "
+    "'Paid_D', 'Paid_P', 'React', 'Renewed_1', 'Renewed_2')"
+)
+SAME_KEY = "f.store_id = o.store_id AND f.sub = o.sub AND f.appl = o.appl AND f.ssn = o.ssn AND f.status = o.status"
+
+
+def before_voids(sql: str) -> str:
+    return sql.replace("WHEN '4' THEN 'V'", "WHEN '4' THEN 'O'")
+
+
+def a_month_ago(sql: str) -> str:
+    return sql.replace(AS_OF, "DATE '2001-05-15'")
+
+
+def stored_sql(old: str, ran_old: str, ran: str) -> str:
+    """The facts of `old` after one more run. `old` is SQL for fact rows; the run counts its Active rows, too."""
+    now = "\nUNION ALL\n".join("SELECT * FROM active_now" if k == "Active" else v for k, v in STATUS.items())
+    return f"""WITH old AS MATERIALIZED ({old}), {TABLES},
+active_now AS MATERIALIZED ({STATUS['Active']}),
+active AS MATERIALIZED (
+  SELECT * FROM active_now UNION ALL SELECT * FROM old o
+  WHERE status = 'Active' AND NOT EXISTS (SELECT 1 FROM active_now f WHERE {SAME_KEY})
+), fact AS MATERIALIZED ({now})
+SELECT *, '{ran}' AS ran FROM fact UNION ALL
+SELECT *, '{ran_old}' AS ran FROM old o
+WHERE NOT (status IN {RELOADED} AND d3 > {OPENS_AFTER}) AND appl NOT IN (SELECT appl FROM loan WHERE status = 'V')
+  AND NOT EXISTS (SELECT 1 FROM fact f WHERE {SAME_KEY})"""
+
+
+def second_run_sql() -> str:
+    old = f"SELECT * FROM ({before_voids(a_month_ago(f'WITH {FACT} SELECT * FROM fact'))})"
+    rows_ = stored_sql(old, "2001-05-15 04:30:00", "2001-06-15 04:30:00")
+    return f"SELECT {FACT_OUT}, ran AS RunTimeStamp FROM ({rows_})"
+
+
+def changes_sql() -> str:
+    old = before_voids(f"WITH {FACT} SELECT * FROM fact")
+    old = old.replace("loan AS MATERIALIZED (", "all_loans AS MATERIALIZED (").replace(
+        PAY,
+        "loan AS (SELECT * FROM all_loans WHERE appl % 50 <> 7), "
+        + PAY.replace("pay AS MATERIALIZED (", "all_pay AS MATERIALIZED (")
+        + ", pay AS (SELECT * FROM all_pay WHERE appl % 40 <> 3)",
+    )
+    return f"SELECT {FACT_OUT} FROM ({stored_sql(f'SELECT * FROM ({old})', 'before', 'now')})"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.loan_sql import AS_OF, FACT, MONTHS_BACK, day
+from oracle.loan_sql import AS_OF, FACT, MONTHS_BACK, a_month_ago, before_voids, day
 
 MONTH = f"date_trunc('month', {AS_OF})::DATE"
 DAYS_LEFT = f"date_diff('day', {AS_OF} - 1, last_day({AS_OF}))"
@@ -410,3 +410,23 @@ class MetricSql:
     def whole(self) -> str:
         ctes, last = self.upto(None)
         return f"{ctes}\nSELECT {self.out()} FROM {last}"
+
+    def second(self) -> str:
+        """The rows after two runs: last month's, and today's over what that one stored."""
+        ctes, last = self.upto(None)
+        old = before_voids(a_month_ago(f"{ctes}\nSELECT * FROM {last} WHERE metric NOT LIKE '%Proj'"))
+        parts = [f"WITH old AS MATERIALIZED (SELECT * FROM ({old})),\n{FACT},\n{PLACED % (self.opens, AS_OF)}"]
+        key = " AND ".join(f"n.{c} IS NOT DISTINCT FROM o.{c}" for c in [*self.dims, "metric", "dateref"])
+        columns = ", ".join(f"n.{c}" for c in [*self.dims, "metric", "dateref", "vc", "vl"])
+        last = "old"
+        for i, (name, build) in enumerate(self.steps()):
+            rows = "\nUNION ALL\n".join(build(last))
+            new = "SELECT * FROM fresh n"
+            if not name.startswith("base"):  # derived rows keep the stored day
+                new = f"SELECT {columns}, o.counted_to FROM fresh n LEFT JOIN old o ON {key}"
+            parts.append(
+                f"t{i} AS MATERIALIZED (\nWITH fresh AS MATERIALIZED ({rows})\n{new} UNION ALL "
+                f"SELECT * FROM {last} o WHERE NOT EXISTS (SELECT 1 FROM fresh n WHERE {key})\n)"
+            )
+            last = f"t{i}"
+        return ",\n".join(parts) + f"\nSELECT {self.out()} FROM {last}"

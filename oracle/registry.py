@@ -20,6 +20,8 @@ def _status() -> dict[str, str]:
     due = L.status_sql("Due").replace("WHEN '4' THEN 'V'", "WHEN '4' THEN 'O'")
     found["L19_void_purge"] = f"SELECT * FROM ({due}) WHERE Appl_No NOT IN ({void})"
     found["L20_fact_load"] = L.fact_sql()
+    found["fact_load_second_run"] = L.second_run_sql()
+    found["fact_load_changes"] = L.changes_sql()
     return found
 
 
@@ -136,6 +138,7 @@ def loan_oracles() -> dict[str, str]:
     runs = {f"monthly_run_{n}": MetricSql(n).whole() for n in ("v1", "v2", "v2_plain")}
     # The second metric set may look back less far than the facts do.
     runs["monthly_run_v2_six_months"] = MetricSql("v2", months_back=6).whole()
+    runs |= {f"monthly_run_second_{n}": MetricSql(n).second() for n in ("v1", "v2")}
     runs["pipeline_monthly"] = runs["monthly_run_v1"]
     pattern = f"SELECT * FROM ({runs['monthly_run_v2']}) WHERE Metric NOT LIKE '%Proj'"
     return {
