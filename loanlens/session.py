@@ -76,7 +76,17 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
         df.hint("rebalance", partition_by).write.mode("errorifexists").partitionBy(partition_by).parquet(path)
     else:
         df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    table = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    table._written_to = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove the files of tables made by `written`, once every table that was derived from them is written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(table._written_to)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ship(spark: SparkSession) -> None:

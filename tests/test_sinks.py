@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 
 from conftest import rows
 
 from loanlens.operators import sinks as K
+from loanlens.session import forget, written
 
 
 def test_upsert_replaces_keeps_and_adds(spark):
@@ -56,3 +58,11 @@ def test_extract_as_csv(spark, tmp_path):
     path = str(tmp_path / "csv")
     K.write_extract(spark.createDataFrame([("", "a")], "x string, y string"), path)
     assert spark.read.option("header", "true").csv(path).columns == ["x", "y"]
+
+
+def test_a_written_table_can_be_removed(spark):
+    table = written(spark.range(5), "gone")
+    folder = Path(table.inputFiles()[0].replace("file:", "").replace("///", "/")).parent
+    assert folder.exists() and table.count() == 5
+    forget(table)
+    assert not folder.exists()
