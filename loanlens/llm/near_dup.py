@@ -8,16 +8,19 @@ estimate of their similarity. Candidates above a cautious estimate are confirmed
 Links are found without listing a bucket's pairs:
 
 1. equal sets are one class, stood for by the smallest id;
-2. in each bucket, every class is tested against one hub, the class with the smallest share of shingles
-   that no other candidate has, and the links found give first components;
-3. what is left are pairs of a bucket that are in different components. A class is left out where its
-   own shingles alone rule out any link; the others meet in an equi-join by bucket and block, whose
-   condition compares packed signatures, and then the full sets, in the first bucket that two classes
-   share. It passes links only. The smaller components of a bucket are compared with all of it.
-
-A bucket's unlinked lookalikes are thus still compared with each other (mostly by bit counts, in a join
-that Spark may split); no pair is skipped or listed. There are so many bands that a link at the threshold
-has no common band in less than MISS of all cases; beyond that nothing is lost.
+2. a class leaves its buckets where the shingles that it has alone rule out any link there;
+3. in each bucket, every class is tested against one hub, first the class with the smallest share of
+   shingles of its own, and the links found give components. HUB_ROUNDS times the bucket is tested
+   against a new hub, drawn from the classes outside its largest component; a hub whose turn is over has
+   all its links in the bucket and leaves it, and so does a bucket that is one component;
+4. what is left are pairs of a bucket in different components. They meet in an equi-join by bucket and
+   block, whose condition compares sizes and packed signatures; the smaller components of a bucket are
+   compared with all of it. The pairs that pass are confirmed by id on the full sets.
+
+Rows that are shuffled for comparisons carry signatures, never sets; sets are fetched for pairs that passed.
+A bucket's unlinked lookalikes are compared with each other (by bit counts, in a join that Spark may split);
+no pair is skipped. There are so many bands that a link at the threshold has no common band in less than
+MISS of all cases; beyond that nothing is lost.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
 from loanlens.llm.components import components
-from loanlens.session import prepare, written
+from loanlens.session import forget, prepare, written
 
 MINIMA, ROWS, BITS = 256, 5, 4
 LONGS = MINIMA // 64
@@ -41,7 +44,8 @@ MISS = 1e-7
 BROADCAST_IDS = 1_000_000
 PLANES = [f"p{i}" for i in range(LONGS * BITS)]
 # Classes of a bucket that one task holds at once in the last comparison.
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 16384
+HUB_ROUNDS = 4
 _SEEDS = np.random.default_rng(20240601)
 _FACTOR = _SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SHIFT = _SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32)
@@ -195,13 +199,65 @@ def _can_link(least: int) -> F.Column:
     return common * (100 + least) >= (F.col("a.n") + F.col("b.n")) * least
 
 
+def _sent(ids: DataFrame, count: int) -> DataFrame:
+    """The ids, sent to every executor where their number allows it."""
+    return F.broadcast(ids) if count <= BROADCAST_IDS else ids
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The pairs (u, v) whose full sets have 100 * intersection >= least * union."""
-    one = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
-    two = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
+    pairs = written(pairs, "pairs")
+    count = 2 * pairs.count()
+    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
+    some = sets.join(_sent(ids, count), "doc_id", "left_semi")
+    one = some.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
+    two = some.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
     met = F.size(F.array_intersect("su", "sv"))
     both = F.size("su") + F.size("sv") - met
-    return pairs.join(one, "u").join(two, "v").where(met * 100 >= both * least).select("u", "v")
+    found = two.join(_sent(pairs, count), "v").join(one, "u").where(met * 100 >= both * least).select("u", "v")
+    found = written(found, "links")
+    forget(pairs)
+    return found
+
+
+def _ends(one: str, two: str) -> list[F.Column]:
+    return [F.greatest(one, two).alias("u"), F.least(one, two).alias("v")]
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, with the largest one (main) and the bucket's size."""
+    by_root = rows.groupBy("key", "root").agg(F.count("*").alias("c"))
+    mixed = by_root.groupBy("key").agg(
+        F.count("*").alias("roots"), F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("most")
+    )
+    mixed = mixed.where("roots > 1").select("key", F.col("most.root").alias("main"), "size")
+    return rows.drop("main", "size").join(mixed, "key")
+
+
+def _hub_pairs(rows: DataFrame, rank: F.Column, least: int, sure: float) -> tuple[DataFrame, DataFrame]:
+    """The hubs (key, doc_id) of the buckets, least by `rank`, and the pairs of a hub with classes of other components."""
+    sign = ["doc_id", "root", "n", "shared", *PLANES]
+    hub = rows.where(rank.isNotNull()).groupBy("key").agg(F.min(F.struct(rank.alias("r"), *sign)).alias("h"))
+    hub = written(hub.select("key", *[F.col(f"h.{c}").alias(c) for c in sign]), "hubs")
+    stars = rows.select("key", *sign).alias("a").join(hub.alias("b"), "key").where(F.col("a.root") != F.col("b.root"))
+    stars = stars.where(_can_link(least) & (estimate("a", "b") >= sure))
+    return hub, stars.select(*_ends("a.doc_id", "b.doc_id")).distinct()
+
+
+def _block_pairs(rows: DataFrame, least: int, sure: float) -> DataFrame:
+    """Pairs of a bucket in different components that may be linked; each bucket is cut into blocks."""
+    count = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
+    minor = rows.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), count - 1)))
+    every = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), count).cast("int"))
+    pairs = minor.alias("a").join(
+        every.alias("b"),
+        (F.col("a.key") == F.col("b.key"))
+        & (F.col("a.block") == F.col("b.block"))
+        & (F.col("a.root") != F.col("b.root"))
+        & _can_link(least)
+        & (estimate("a", "b") >= sure),
+    )
+    return pairs.select(*_ends("a.doc_id", "b.doc_id")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFrame:
@@ -222,16 +278,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
     members = members.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
     members = written(members, "members")
     reps = marks.join(classes.withColumnRenamed("rep", "doc_id"), [*name, "doc_id"], "left_semi")
-    reps = reps.dropDuplicates(["doc_id", "d0"])
+    reps = written(reps.dropDuplicates(["doc_id", "d0"]), "classes")
+    forget(marks)
     spread = reps.select("doc_id", "d0", F.explode("bands").alias("key"))
-    wide = spread.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    bucket = written(spread.join(wide, "key"), "buckets")
+    wide = written(spread.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "keys")
+    bucket = written(spread.join(_sent(wide, wide.count()), "key", "left_semi"), "buckets")
     candidates = written(bucket.select("doc_id", "d0").distinct(), "candidates")
-    ids = candidates.select("doc_id").distinct()
-    few = candidates.count() <= BROADCAST_IDS
-    some = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    sets = full_sets(some, width).dropDuplicates(["doc_id", "d0"]).join(candidates, ["doc_id", "d0"], "left_semi")
-    sets = written(sets, "sets")
+    ids = _sent(candidates.select("doc_id").distinct(), candidates.count())
+    sets = full_sets(docs.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["doc_id", "d0"])
+    sets = written(sets.join(candidates, ["doc_id", "d0"], "left_semi"), "sets")
 
     # Shingles that only one candidate has can't be common to two.
     crowd = sets.select("doc_id", "d0", F.explode("shingles").alias("s"))
@@ -239,62 +294,42 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
     alone = single.where("n = 1").groupBy("doc_id", "d0").agg(F.count("*").alias("own"))
     nodes = reps.select("doc_id", F.col("n_shingles").alias("n"), "d0", *PLANES).join(candidates, ["doc_id", "d0"], "left_semi")
     nodes = nodes.join(alone, ["doc_id", "d0"], "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
-
-    placed = written(
-        bucket.join(nodes, ["doc_id", "d0"]).select("key", "doc_id", "n", "shared", *PLANES), "placed"
-    )
-    hub = placed.groupBy("key").agg(
-        F.min(F.struct((-F.col("shared") / F.col("n")).alias("r"), "doc_id", "n", "shared", *PLANES)).alias("h")
-    )
-    # Estimates of linked pairs lie near their similarity (standard error 0.024): five errors below is safe.
-    sure = least / 100 - 0.12
-    stars = placed.alias("a").join(hub.select("key", "h.*").alias("b"), "key").where(F.col("a.doc_id") != F.col("b.doc_id"))
-    stars = stars.where((estimate("a", "b") >= sure) & _can_link(least))
-    stars = stars.select(F.greatest("a.doc_id", "b.doc_id").alias("u"), F.least("a.doc_id", "b.doc_id").alias("v")).distinct()
-    links = written(_confirmed(stars, sets, least), "links")
-    roots = components(links)
-
-    rooted = placed.where(F.col("shared") * 100 >= F.col("n") * least)
-    rooted = rooted.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "root", F.coalesce("root", "doc_id")
-    )
+    nodes = nodes.where(F.col("shared") * 100 >= F.col("n") * least)
+    placed = written(bucket.join(nodes, ["doc_id", "d0"]).select("key", "doc_id", "n", "shared", *PLANES), "placed")
+    forget(reps, wide, bucket, candidates)
     # A link needs enough common shingles for the smallest partner that the bucket, and the threshold, allow.
-    smallest = rooted.groupBy("key").agg(F.min("n").alias("smallest"))
+    smallest = placed.groupBy("key").agg(F.min("n").alias("smallest"))
     partner = F.greatest(F.col("smallest") * 100, F.col("n") * least)
-    rooted = rooted.join(smallest, "key").where(
+    rows = placed.join(smallest, "key").where(
         (F.col("n") * 100 + partner) * least <= F.col("shared") * (100 + least) * 100
     )
-    rooted = written(rooted.drop("smallest"), "rooted")
-    by_root = rooted.groupBy("key", "root").agg(F.count("*").alias("c"))
-    mixed = by_root.groupBy("key").agg(
-        F.count("*").alias("roots"), F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("most")
-    )
-    count = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    mixed = mixed.where("roots > 1").select("key", F.col("most.root").alias("main"), count.alias("count"))
-    rest = written(rooted.join(mixed, "key"), "rest")
-    # What a comparison needs of each class: its buckets, to meet once, and its full set.
-    whole = rest.groupBy("doc_id").agg(F.collect_set("key").alias("keys")).join(sets.select("doc_id", "shingles"), "doc_id")
-    rest = rest.join(whole, "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("count")).cast("int")
-    minor = rest.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-    met = F.size(F.array_intersect("a.shingles", "b.shingles"))
-    pairs = minor.alias("a").join(
-        rest.withColumn("block", block).alias("b"),
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.block") == F.col("b.block"))
-        & (F.col("a.root") != F.col("b.root"))
-        & _can_link(least)
-        & (estimate("a", "b") >= sure)
-        & (F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key"))
-        & (met * (100 + least) >= (F.size("a.shingles") + F.size("b.shingles")) * least),
-    )
-    late = written(
-        pairs.select(F.greatest("a.doc_id", "b.doc_id").alias("u"), F.least("a.doc_id", "b.doc_id").alias("v")).distinct(),
-        "links",
-    )
-    if late.limit(1).count():
-        # Later links join the roots found first, so the second search starts from stars.
-        roots = components(late.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+    rows = written(_mixed(rows.drop("smallest").withColumn("root", F.col("doc_id"))), "rows")
+    forget(placed)
+
+    # Estimates of linked pairs lie near their similarity (standard error 0.024): five errors below is safe.
+    sure = least / 100 - 0.12
+    roots = spark.createDataFrame([], "node long, root long")
+    for turn in range(HUB_ROUNDS + 1):
+        if not rows.limit(1).count():
+            break
+        if turn == HUB_ROUNDS:
+            links = _confirmed(_block_pairs(rows, least, sure), sets, least)
+        else:
+            rank = F.when(F.col("root") != F.col("main"), F.xxhash64("doc_id", F.lit(turn)).cast("double"))
+            rank = rank if turn else -F.col("shared") / F.col("n")
+            hub, pairs = _hub_pairs(rows, rank, least, sure)
+            links = _confirmed(pairs, sets, least)
+        if links.limit(1).count():
+            # New links join the roots found so far, so the search starts from stars.
+            roots = components(links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        if turn == HUB_ROUNDS:
+            break
+        left = rows.drop("root").join(hub.select("key", "doc_id"), ["key", "doc_id"], "left_anti")
+        left = left.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        left = written(_mixed(left.withColumn("root", F.coalesce("root", "doc_id"))), "rows")
+        forget(rows, hub)
+        rows = left
+    forget(rows, sets)
     result = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id")
     )
