@@ -57,10 +57,6 @@ def month_of(col: Column) -> Column:
     return F.trunc(col, "MM").cast("date")
 
 
-def next_month(col: Column) -> Column:
-    return F.add_months(month_of(col), 1)
-
-
 def is_midnight(col: Column) -> Column:
     """True where a date-time carries no time of day (always true for a plain date)."""
     stamp = col.cast("timestamp_ntz")

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
@@ -28,6 +28,8 @@ WINDOW = 5
 LEAST_WORDS, MOST_REPEATED = 10, 20
 WIDTH = 3.0
 LEAST_TEXTS, NEAR_LENGTHS, BROADCAST_CLASSES = 30, 2, 100_000
+# Measures are rounded to 1 / GRID where quartiles are found.
+GRID = 10_000
 # The least entropy of a text judged by other lengths, as a share of the most that its tokens allow.
 SHORT_ENTROPY = 0.8
 # The least distance of the lower and upper bound from its quartile, so that a uniform corpus does not reject
@@ -205,6 +207,26 @@ def pools(sizes: DataFrame) -> DataFrame:
     )
 
 
+def quartiles(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The lower and upper quartile of each measure, as a list of two, by `keys`.
+
+    Measures are rounded to 1 / GRID and counted, and the counts added up in order: the result is exact for the
+    rounded values, and the same however the rows are dealt out. A group has no more cells than there are values.
+    """
+    values = [F.struct(F.lit(m).alias("measure"), F.round(F.col(m) * GRID).cast("long").alias("at")) for m in FLOORS]
+    cells = rows.select(*keys, F.explode(F.array(*values)).alias("v")).groupBy(*keys, "v.measure", "v.at")
+    cells = cells.agg(F.count("*").alias("texts"))
+    group = Window.partitionBy(*keys, "measure")
+    upto = F.sum("texts").over(group.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cells = cells.withColumn("upto", upto).withColumn("all", F.sum("texts").over(group))
+
+    def quartile(share: int) -> Column:
+        return F.min(F.when(F.col("upto") * 4 >= F.col("all") * share, F.col("at"))) / F.lit(float(GRID))
+
+    each = cells.groupBy(*keys, "measure").agg(F.array(quartile(1), quartile(3)).alias("q"))
+    return each.groupBy(*keys).agg(*[F.max(F.when(F.col("measure") == m, F.col("q"))).alias(m) for m in FLOORS])
+
+
 def judge(docs: DataFrame, model_path: str = DEFAULT_MODEL, width: float = WIDTH) -> DataFrame:
     """The measures of each row of docs (doc_id, text, and lang where there is one) with base_failed and kept.
 
@@ -236,8 +258,7 @@ def judge(docs: DataFrame, model_path: str = DEFAULT_MODEL, width: float = WIDTH
     kinds = own.select(F.col("key").alias("pool"), "least", "most").distinct()
     feeds = own.select(*classes, F.explode(_keys()).alias("pool")).join(kinds, "pool")
     feeds = feeds.where(F.col("length_class").between(F.col("least"), F.col("most")))
-    quartiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 1000).alias(m) for m in FLOORS]
-    bands = passing.select(*classes, *FLOORS).join(small(feeds), classes).groupBy("pool", "least", "most").agg(*quartiles)
+    bands = quartiles(passing.select(*classes, *FLOORS).join(small(feeds), classes), ["pool", "least", "most"])
     limits = []
     for m, (below, above) in FLOORS.items():
         low, high = F.get(m, F.lit(0)), F.get(m, F.lit(1))

@@ -5,8 +5,9 @@ characters as one blank. The n-grams of all languages stand in one sorted hash a
 log probability that each language gives them; contexts have sorted arrays of back-off weights. A text
 is scored by array lookups only: the language with the lowest cross-entropy (bits per character) wins.
 
-Training: documents are ordered by a hash of their id within each language; the first LEARN_DOCS (the bound) of them, whole, give the n-gram counts, which
-Spark sums by language. N-grams seen fewer than LEAST_COUNT times are dropped from the two highest orders.
+Training: of each language, the share of documents that makes about LEARN_DOCS (the bound; by a hash of the id, so
+give or take its square root) gives, whole, the n-gram counts, which Spark sums by language. No count is cut
+before the discounts are estimated from those of n-grams seen once and twice.
 
 Rejection: the bits per character under the best model are compared with those of a model that knows
 nothing but the alphabet (log2 of the number of letters the models know). A text that the best language
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
@@ -33,7 +34,6 @@ from loanlens.session import written
 
 ORDER = 4
 LEARN_DOCS = 1500
-LEAST_COUNT = 2
 REJECT_MARGIN = 0.25
 HELD_SHARE, RAISE_WIDTH = 8, 3.0
 SCALES = (1.0, 0.5, 0.25, 0.1, 0.05, 0.02)
@@ -214,8 +214,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     )
 
     parts = docs.select("lang", "text").mapInArrow(run, "lang string, n int, gram string, count long")
-    summed = parts.groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
-    return summed.where((F.col("n") < ORDER - 1) | (F.col("count") >= LEAST_COUNT))
+    return parts.groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
 
 
 def eligible(docs: DataFrame, keep: F.Column) -> DataFrame:
@@ -224,21 +223,21 @@ def eligible(docs: DataFrame, keep: F.Column) -> DataFrame:
 
 
 def learning_ids(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> DataFrame:
-    """(doc_id, lang) of up to `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
+    """(doc_id, lang) of about `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
     some = eligible(docs, keep)
-    some = some.select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang")).alias("h"))
-    # First a cut by the hash, so that the ordering below sees few rows: twice the bound is left of a large language.
-    size = some.groupBy("lang").agg(F.count("*").alias("n"))
-    some = some.join(size, "lang").where((F.pmod("h", F.lit(1 << 20)) / (1 << 20)) * F.col("n") < 2 * bound)
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = some.withColumn("r", F.row_number().over(order)).where(F.col("r") <= bound).select("doc_id", "lang")
-    chosen = written(chosen.distinct(), "learning-ids")
+    part = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
+    some = some.select("lang", "doc_id", part.alias("part"))
+    # One row per language; the share that makes about `bound` rows is taken where the rows are.
+    size = written(some.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    size = F.broadcast(size) if size.count() <= BROADCAST_IDS else size
+    chosen = some.join(size, "lang").where(F.col("part") * F.col("n") < bound).select("doc_id", "lang").distinct()
+    chosen = written(chosen, "learning-ids")
     # Few languages make few ids; a column of very many values is met by a shuffle instead.
     return F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
 
 
 def learning_rows(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> DataFrame:
-    """(lang, text): up to `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
+    """(lang, text): about `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
     return docs.join(learning_ids(docs, keep, bound), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
 
@@ -305,7 +304,7 @@ def _probabilities(counts: list[dict[str, int]], alphabet: int) -> tuple[list[di
         before: dict[str, int] = {}
         for gram in counts[n + 1]:
             before[gram[1:]] = before.get(gram[1:], 0) + 1
-        # Where the wider order was cut, a gram counts as having come after one character.
+        # A gram that only opens texts counts as having come after one character.
         used[n] = {g: before.get(g, 1) for g in counts[n]}
     shares: list[dict[str, float]] = [{} for _ in range(ORDER + 1)]
     weights: list[dict[str, float]] = [{} for _ in range(ORDER + 1)]

@@ -8,7 +8,7 @@ power `sharpness`, with the rank that the model's score states (bytes rank last)
 
 No piece reaches over a line feed or from a non-space to a space, so a text falls into segments whose
 lattices are independent; equal segments of a block share one lattice, in which each draws for itself.
-Stretches without such places are cut every CUT_BYTES bytes at a character, over which no piece reaches.
+A stretch without such places, however long, is one segment: filtering goes through it place by place.
 
 Draws come from a hash of seed, row key and place in the text: the same key and text give the same pieces
 in any batch, partition or run. Spaces are kept one by one and the mark U+2581 itself becomes bytes, so
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from loanlens.llm import blocks
 from loanlens.llm.vocabulary import DEFAULT_MODEL, Trie, Vocabulary, load, trie
 
-CUT_BYTES = 256
 SHARPNESS = 1.0
 # Bytes of text taken together: more would share more segments, at some 150 bytes of memory each.
 _ROOM = 1 << 19
@@ -65,20 +64,7 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     first[1:n] |= space[1:] & ~space[:-1]
     first[:n] |= line
     first[1:n] |= line[:-1]
-    starts = np.flatnonzero(first)
-    long = np.flatnonzero(np.diff(starts) > CUT_BYTES)
-    if len(long):
-        more = []
-        for i in long.tolist():
-            at, end = int(starts[i]) + CUT_BYTES, int(starts[i + 1])
-            while at < end:
-                cut = at
-                while (data[cut] & 0xC0) == 0x80 and cut > at - 4:
-                    cut -= 1
-                more.append(cut)
-                at = cut + CUT_BYTES
-        starts = np.union1d(starts, np.array(more, np.int64))
-    return starts
+    return np.flatnonzero(first)
 
 
 def edges(model: Lattice, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,13 +128,17 @@ def sample(model: Lattice, data: np.ndarray, offsets: np.ndarray, keys: np.ndarr
     n_own = len(own_bytes)
     seg_end = np.repeat(home[1:], size)
     begin, end, piece = edges(model, own_bytes, seg_end)
-    # Edges in the order of how far into its segment each ends, then by end, the longest first. A segment
-    # has at most CUT_BYTES bytes and a character, so a length takes nine bits.
-    depth = end - np.repeat(home[:-1], size)[begin]
-    key = (depth.astype(np.int64) * (n_own + 1) + end) * 512 + (511 - (end - begin))
-    order = np.argsort(key)
+    # Edges in the order of how far into its segment each ends, then by end, the longest first.
+    depth = (end - np.repeat(home[:-1], size)[begin]).astype(np.int64)
+    longest = int(model.lengths.max()) + 1
+    if int(depth.max()) < (1 << 62) // (longest * (n_own + 1)):
+        key = (depth * (n_own + 1) + end) * longest + (longest - 1 - (end - begin))
+        order = np.argsort(key)
+        del key
+    else:  # numbers that would not fit in one key: a text of some hundred megabytes without a space
+        order = np.lexsort((begin, end, depth))
     begin, end, piece, depth = begin[order], end[order], piece[order], depth[order]
-    del order, key, seg_end, source, own_bytes
+    del order, seg_end, source, own_bytes
     weight = model.log_weight[piece]
     at_start = np.zeros(n_own + 1, bool)
     at_start[home] = True

@@ -10,14 +10,15 @@ Links are found without listing a bucket's pairs:
 1. equal sets are one class, stood for by the smallest id;
 2. a class leaves its buckets where the shingles that it has alone rule out any link there;
 3. in each bucket, every class is tested against one hub, first the class with the smallest share of
-   shingles of its own, and the links found give components. HUB_ROUNDS times the bucket is tested
-   against a new hub, drawn from the classes outside its largest component; a hub whose turn is over has
-   all its links in the bucket and leaves it, and so does a bucket that is one component;
-4. what is left are pairs of a bucket in different components. They meet in an equi-join by bucket and
-   block, whose condition compares sizes and packed signatures; the smaller components of a bucket are
-   compared with all of it. The pairs that pass are confirmed by id on the full sets.
-
-Rows that are shuffled for comparisons carry signatures, never sets; sets are fetched for pairs that passed.
+   shingles of its own, and the links found give components. As long as many comparisons are left, up to
+   HUB_ROUNDS times, the bucket is tested against a new hub, drawn from the classes outside its largest
+   component; a hub whose turn is over has all its links in the bucket and leaves it, and so does a bucket
+   that is one component;
+4. what is left are pairs of a bucket in different components: the smaller ones are compared with all of it, in
+   an equi-join by bucket and block. Sizes and packed signatures first tell which classes have any partner
+   that may be linked; these classes then meet with their full sets, and links come out.
+
+Rows that are shuffled for comparisons carry signatures; sets are fetched for what passed by signature.
 A bucket's unlinked lookalikes are compared with each other (by bit counts, in a join that Spark may split);
 no pair is skipped. There are so many bands that a link at the threshold has no common band in less than
 MISS of all cases; beyond that nothing is lost.
@@ -40,12 +41,14 @@ from loanlens.session import forget, prepare, written
 MINIMA, ROWS, BITS = 256, 5, 4
 LONGS = MINIMA // 64
 MISS = 1e-7
-# Ids of candidates are sent to every executor up to this many (8 MB); beyond it they are shuffled.
+# Tables of two or three numbers are sent to every executor up to so many rows (24 MB); beyond it they are shuffled.
 BROADCAST_IDS = 1_000_000
 PLANES = [f"p{i}" for i in range(LONGS * BITS)]
 # Classes of a bucket that one task holds at once in the last comparison.
 BLOCK_ROWS = 16384
 HUB_ROUNDS = 4
+# So few comparisons are made at once, without more hubs first; the result is the same.
+FEW_PAIRS = 20_000_000
 _SEEDS = np.random.default_rng(20240601)
 _FACTOR = _SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SHIFT = _SEEDS.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32)
@@ -220,44 +223,50 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return found
 
 
-def _ends(one: str, two: str) -> list[F.Column]:
-    return [F.greatest(one, two).alias("u"), F.least(one, two).alias("v")]
-
-
 def _mixed(rows: DataFrame) -> DataFrame:
     """Rows of the buckets that hold several components, with the largest one (main) and the bucket's size."""
     by_root = rows.groupBy("key", "root").agg(F.count("*").alias("c"))
     mixed = by_root.groupBy("key").agg(
         F.count("*").alias("roots"), F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("most")
     )
-    mixed = mixed.where("roots > 1").select("key", F.col("most.root").alias("main"), "size")
-    return rows.drop("main", "size").join(mixed, "key")
+    mixed = written(mixed.where("roots > 1").select("key", F.col("most.root").alias("main"), "size"), "mixed")
+    return rows.drop("main", "size").join(_sent(mixed, mixed.count()), "key")
 
 
-def _hub_pairs(rows: DataFrame, rank: F.Column, least: int, sure: float) -> tuple[DataFrame, DataFrame]:
-    """The hubs (key, doc_id) of the buckets, least by `rank`, and the pairs of a hub with classes of other components."""
+def _met(rows: DataFrame, rank: F.Column, least: int, sure: float) -> DataFrame:
+    """Rows with the hub of their bucket, the class that is least by `rank`: its id (hub), and whether the two may be
+    linked and are in different components (passes)."""
     sign = ["doc_id", "root", "n", "shared", *PLANES]
     hub = rows.where(rank.isNotNull()).groupBy("key").agg(F.min(F.struct(rank.alias("r"), *sign)).alias("h"))
-    hub = written(hub.select("key", *[F.col(f"h.{c}").alias(c) for c in sign]), "hubs")
-    stars = rows.select("key", *sign).alias("a").join(hub.alias("b"), "key").where(F.col("a.root") != F.col("b.root"))
-    stars = stars.where(_can_link(least) & (estimate("a", "b") >= sure))
-    return hub, stars.select(*_ends("a.doc_id", "b.doc_id")).distinct()
+    hub = hub.select("key", *[F.col(f"h.{c}").alias(c) for c in sign])
+    passes = (F.col("a.root") != F.col("b.root")) & _can_link(least) & (estimate("a", "b") >= sure)
+    met = rows.alias("a").join(hub.alias("b"), "key").select("key", *[f"a.{c}" for c in sign], F.col("b.doc_id").alias("hub"), passes.alias("passes"))
+    return written(met, "met")
 
 
-def _block_pairs(rows: DataFrame, least: int, sure: float) -> DataFrame:
-    """Pairs of a bucket in different components that may be linked; each bucket is cut into blocks."""
+def _block_links(rows: DataFrame, sets: DataFrame, least: int, sure: float) -> DataFrame:
+    """Links between classes of a bucket in different components; each bucket is cut into blocks.
+
+    First the classes are found that have any partner by size and signature; they alone then meet with their full
+    sets, in a join that passes links only.
+    """
     count = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    minor = rows.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), count - 1)))
-    every = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), count).cast("int"))
-    pairs = minor.alias("a").join(
-        every.alias("b"),
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.block") == F.col("b.block"))
-        & (F.col("a.root") != F.col("b.root"))
-        & _can_link(least)
-        & (estimate("a", "b") >= sure),
-    )
-    return pairs.select(*_ends("a.doc_id", "b.doc_id")).distinct()
+    block = F.pmod(F.xxhash64("doc_id"), count).cast("int").alias("block")
+    spread = F.explode(F.sequence(F.lit(0), count - 1)).alias("block")
+    same = (F.col("a.key") == F.col("b.key")) & (F.col("a.block") == F.col("b.block"))
+    maybe = same & (F.col("a.root") != F.col("b.root")) & _can_link(least) & (estimate("a", "b") >= sure)
+    minor, every = rows.where("root <> main").select("*", spread), rows.select("*", block)
+    some = written(minor.alias("a").join(every.alias("b"), maybe, "left_semi"), "minor")
+    others = written(every.alias("b").join(some.alias("a"), maybe, "left_semi"), "partners")
+    ids = some.select("doc_id").union(others.select("doc_id")).distinct()
+    whole = written(sets.join(_sent(ids, some.count() + others.count()), "doc_id", "left_semi").select("doc_id", "shingles"), "whole")
+    met = F.size(F.array_intersect("a.shingles", "b.shingles"))
+    linked = met * (100 + least) >= (F.size("a.shingles") + F.size("b.shingles")) * least
+    pairs = some.join(whole, "doc_id").alias("a").join(others.join(whole, "doc_id").alias("b"), maybe & linked)
+    ends = [F.greatest("a.doc_id", "b.doc_id").alias("u"), F.least("a.doc_id", "b.doc_id").alias("v")]
+    links = written(pairs.select(*ends).distinct(), "links")
+    forget(some, others, whole)
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFrame:
@@ -286,48 +295,53 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
     candidates = written(bucket.select("doc_id", "d0").distinct(), "candidates")
     ids = _sent(candidates.select("doc_id").distinct(), candidates.count())
     sets = full_sets(docs.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["doc_id", "d0"])
-    sets = written(sets.join(candidates, ["doc_id", "d0"], "left_semi"), "sets")
+    known = _sent(candidates, candidates.count())
+    sets = written(sets.join(known, ["doc_id", "d0"], "left_semi"), "sets")
 
     # Shingles that only one candidate has can't be common to two.
     crowd = sets.select("doc_id", "d0", F.explode("shingles").alias("s"))
     single = crowd.groupBy("s").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.min("d0").alias("d0"))
     alone = single.where("n = 1").groupBy("doc_id", "d0").agg(F.count("*").alias("own"))
-    nodes = reps.select("doc_id", F.col("n_shingles").alias("n"), "d0", *PLANES).join(candidates, ["doc_id", "d0"], "left_semi")
+    nodes = reps.select("doc_id", F.col("n_shingles").alias("n"), "d0", *PLANES).join(known, ["doc_id", "d0"], "left_semi")
     nodes = nodes.join(alone, ["doc_id", "d0"], "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
     nodes = nodes.where(F.col("shared") * 100 >= F.col("n") * least)
     placed = written(bucket.join(nodes, ["doc_id", "d0"]).select("key", "doc_id", "n", "shared", *PLANES), "placed")
     forget(reps, wide, bucket, candidates)
     # A link needs enough common shingles for the smallest partner that the bucket, and the threshold, allow.
-    smallest = placed.groupBy("key").agg(F.min("n").alias("smallest"))
+    smallest = placed.groupBy("key").agg(F.min("n").alias("smallest"), F.count("*").alias("size")).where("size > 1")
+    smallest = written(smallest, "smallest")
     partner = F.greatest(F.col("smallest") * 100, F.col("n") * least)
-    rows = placed.join(smallest, "key").where(
+    rows = placed.join(_sent(smallest, smallest.count()), "key").where(
         (F.col("n") * 100 + partner) * least <= F.col("shared") * (100 + least) * 100
     )
-    rows = written(_mixed(rows.drop("smallest").withColumn("root", F.col("doc_id"))), "rows")
-    forget(placed)
+    rows = written(rows.drop("smallest", "size").withColumn("root", F.col("doc_id")), "rows")
+    forget(placed, smallest)
 
     # Estimates of linked pairs lie near their similarity (standard error 0.024): five errors below is safe.
     sure = least / 100 - 0.12
     roots = spark.createDataFrame([], "node long, root long")
     for turn in range(HUB_ROUNDS + 1):
-        if not rows.limit(1).count():
+        pairs_left = rows.where("root <> main").agg(F.sum("size")).first()[0] or 0 if turn else None
+        if pairs_left == 0:
             break
-        if turn == HUB_ROUNDS:
-            links = _confirmed(_block_pairs(rows, least, sure), sets, least)
+        if turn == HUB_ROUNDS or (turn and pairs_left <= FEW_PAIRS):
+            links = _block_links(rows, sets, least, sure)
+            met = None
         else:
-            rank = F.when(F.col("root") != F.col("main"), F.xxhash64("doc_id", F.lit(turn)).cast("double"))
-            rank = rank if turn else -F.col("shared") / F.col("n")
-            hub, pairs = _hub_pairs(rows, rank, least, sure)
-            links = _confirmed(pairs, sets, least)
+            rank = F.when(F.col("root") != F.col("main"), F.xxhash64("doc_id", F.lit(turn)).cast("double")) if turn else None
+            met = _met(rows, -F.col("shared") / F.col("n") if rank is None else rank, least, sure)
+            ends = [F.greatest("doc_id", "hub").alias("u"), F.least("doc_id", "hub").alias("v")]
+            links = _confirmed(met.where("passes").select(*ends).distinct(), sets, least)
         if links.limit(1).count():
             # New links join the roots found so far, so the search starts from stars.
             roots = components(links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
-        if turn == HUB_ROUNDS:
+        if met is None:
             break
-        left = rows.drop("root").join(hub.select("key", "doc_id"), ["key", "doc_id"], "left_anti")
-        left = left.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        # A hub has all its links in the bucket now, and leaves it.
+        left = met.where("doc_id <> hub").drop("hub", "passes", "root")
+        left = left.join(_sent(roots.withColumnRenamed("node", "doc_id"), roots.count()), "doc_id", "left")
         left = written(_mixed(left.withColumn("root", F.coalesce("root", "doc_id"))), "rows")
-        forget(rows, hub)
+        forget(rows, met)
         rows = left
     forget(rows, sets)
     result = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -352,3 +366,26 @@ def deduplicate(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
     again = stays.where(F.col(times) > 1).withColumn(place, F.row_number().over(order))
     again = again.where(F.col(place) == 1).select(*docs.columns)
     return once.unionByName(again).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+# The exact result for width 3 and 85 percent: every pair that shares a shingle is compared.
+ORACLE_SQL = r"""
+WITH RECURSIVE read AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM read
+), spread AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS MATERIALIZED (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM spread a JOIN spread b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM sets UNION SELECT reach.doc_id, v FROM reach JOIN links ON r = u
+)
+SELECT doc_id, max(n)::BIGINT AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+FROM reach JOIN (SELECT doc_id, len(s) AS n FROM sets) USING (doc_id) GROUP BY doc_id
+"""

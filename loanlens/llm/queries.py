@@ -103,5 +103,5 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL, "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+    return {"op1_near_duplicates": near_dup.ORACLE_SQL, "op4_mixing": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL, "op11_prefix_trie": prefix_trie.ORACLE_SQL,
             "op12_hard_negatives": negatives.ORACLE_SQL}

@@ -6,9 +6,10 @@ likelihood of the noisy-or, so that the sentences which make a document toxic ar
 labelled. A word, and the opening of a longer word (PREFIXES bytes), counts once a sentence.
 
 Training reads at most LEARN_DOCS labelled documents of each label (the bound), chosen by a hash of the id.
-Spark counts in how many of them each word stands, by label. Words over-represented in toxic ones by
-LEAST_Z standard errors, MOST_WORDS at most, are the features; their weights are at least 0, so that a text
-does not grow toxic, or less so, by length alone. What the driver fits is these words' places in the
+Spark counts in how many of them each word stands, by label. The features are the words whose share of toxic
+documents chance alone would hardly give, tested against the number of labels and of words (MARGIN; the
+MOST_WORDS clearest are the most); their weights are at least 0, so that a text does not grow toxic, or
+less so, by length alone. What the driver fits is these words' places in the
 sample's sentences.
 """
 
@@ -16,16 +17,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
 from loanlens.session import written
 
-LEARN_DOCS, LEAST_Z, LEAST_DOCS, MOST_WORDS = 4000, 5.0, 5, 4000
+LEARN_DOCS, MARGIN, MOST_WORDS = 4000, 1.0, 4000
 QUIET = -9.0
 PREFIXES = (6, 7)
 STEPS, RATE, DECAY = 400, 0.1, 1e-3
@@ -79,11 +81,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, keep: F.Column, bound: i
     """(doc_id, text, toxic): up to `bound` documents of each label; a repeated label counts as toxic if one is."""
     own = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(keep)
     own = own.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    own = own.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxic")))
-    size = own.groupBy("toxic").agg(F.count("*").alias("n"))
-    own = own.join(size, "toxic").where((F.pmod("h", F.lit(1 << 20)) / (1 << 20)) * F.col("n") < 2 * bound)
-    order = Window.partitionBy("toxic").orderBy("h", "doc_id")
-    chosen = own.withColumn("r", F.row_number().over(order)).where(F.col("r") <= bound).select("doc_id", "toxic")
+    counts = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
+    # The least hashes of each label: a share of it first, then a top list; no label is gathered in a task.
+    h = F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxic"))
+    parts = []
+    for label in sorted(counts):
+        some = own.where((F.col("toxic") == label) & (F.pmod(h, F.lit(1 << 20)) / (1 << 20) * counts[label] < 2 * bound))
+        order = [F.pmod(h, F.lit(1 << 20)), h, "doc_id"]
+        parts.append(some.orderBy(*order).limit(bound))
+    chosen = reduce(DataFrame.union, parts, own.limit(0)).select("doc_id", "toxic")
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
@@ -134,6 +140,24 @@ def _places(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
     return sample.mapInArrow(run, "toxic int, sentence array<long>, feature array<long>")
 
 
+def _evidence(share: float) -> F.Column:
+    """How surprising a word's share of toxic documents is (in nats; a bound of the binomial tail), 0 below `share`."""
+    p = F.col("bad") / F.col("n")
+    rest = F.when(p < 1, (1 - p) * F.log((1 - p) / F.lit(1 - share))).otherwise(0.0)
+    return F.when(p > share, F.col("n") * (p * F.log(p / F.lit(share)) + rest)).otherwise(0.0)
+
+
+def _limits(counted: DataFrame, share: float) -> DataFrame:
+    """(n, least): the evidence that a word of n documents needs, one row per n, 2 * LEARN_DOCS at most.
+
+    Of the words that as many documents have or more, no more than exp(-MARGIN) should pass by chance.
+    """
+    sizes = sorted(((r["n"], r["c"]) for r in counted.groupBy("n").agg(F.count("*").alias("c")).collect()), reverse=True)
+    above = np.cumsum([c for _, c in sizes])
+    rows = [(n, float(np.log(w) + MARGIN)) for (n, _), w in zip(sizes, above.tolist(), strict=True)]
+    return counted.sparkSession.createDataFrame(rows, "n long, least double")
+
+
 def train(docs: DataFrame, labels: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> Model:
     """A model from docs (doc_id, text) and labels (doc_id, toxic); `keep` marks the label rows to learn from.
 
@@ -146,11 +170,10 @@ def train(docs: DataFrame, labels: DataFrame, keep: F.Column, bound: int = LEARN
     nothing = Model(np.zeros(1, np.uint64), np.zeros(1), QUIET)
     if not bad or not good:
         return nothing
-    share = (F.col("bad") + F.col("good")) / F.lit(float(bad + good))
-    error = F.sqrt(share * (1 - share) * (1 / bad + 1 / good) + 1e-12)
-    z = (F.col("bad") / F.lit(float(bad)) - F.col("good") / F.lit(float(good))) / error
-    telling = _word_counts(sample).where(F.col("bad") >= LEAST_DOCS).withColumn("z", z).where(F.col("z") >= LEAST_Z)
-    rows = telling.orderBy(F.col("z").desc(), "word").limit(MOST_WORDS).select("word").collect()
+    counted = written(_word_counts(sample), "words").withColumn("n", F.col("bad") + F.col("good"))
+    telling = counted.join(F.broadcast(_limits(counted, bad / (bad + good))), "n")
+    telling = telling.withColumn("evidence", _evidence(bad / (bad + good))).where(F.col("evidence") >= F.col("least"))
+    rows = telling.orderBy(F.col("evidence").desc(), "word").limit(MOST_WORDS).select("word").collect()
     if not rows:
         return nothing
     chosen = np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))

@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from loanlens.llm import blocks
 from loanlens.session import prepare, run_path, written
 
-SEGMENT_BYTES = 64 << 10
-CHUNK_BYTES = 8 << 10
+SEGMENT_BYTES = 2 << 10
+CHUNK_BYTES = 512
 REVISIT_BYTES = 100
-RECORDS_PER_FILE = 512
+RECORDS_PER_FILE = 4096
 VERSION = b"WARC/1.1"
 _HEADER_END = b"\r\n\r\n"
 # The field names of the format.
@@ -271,17 +271,23 @@ def round_trip(pages: DataFrame) -> DataFrame:
     have them. A null html is an empty payload. Payloads under REVISIT_BYTES are always responses. Rows
     that repeat the smallest page id of equal payloads are all responses; a null page id is never the
     response that others name unless all are null. An empty table gives an empty table. A revisit's length
-    comes from the response that it names, by its digest and page.
+    comes from the response that it names, by its digest and page; a response that is missing is an error.
     """
     spark = pages.sparkSession
     path = run_path(spark, "warc")
     write_archives(pages, path)
     slim = read_pages(spark, path).withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop("payload")
     slim = written(slim, "pages")
-    named = slim.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("full"))
-    revisits = slim.where("record_type = 'revisit'").join(named, "payload_digest", "left")
+    named = slim.where("record_type = 'response'").groupBy(
+        F.col("payload_digest").alias("named_digest"), F.col("page_id").alias("named_page")
+    )
+    named = named.agg(F.max("payload_bytes").alias("full"))
+    revisits = slim.where("record_type = 'revisit'").join(
+        named, (F.col("payload_digest") == F.col("named_digest")) & F.col("refers_to").eqNullSafe(F.col("named_page")), "left"
+    )
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    revisits = revisits.withColumn("payload_bytes", F.col("full")).select(*columns)
+    lost = F.raise_error(F.concat(F.lit("no response for the revisit of page "), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
+    revisits = revisits.withColumn("payload_bytes", F.coalesce("full", lost.cast("long"))).select(*columns)
     return slim.where("record_type = 'response'").select(*columns).unionByName(revisits)
 
 

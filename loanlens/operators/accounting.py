@@ -7,9 +7,10 @@ from the joined row, instead of joining once per line.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, time, timedelta
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -147,6 +148,13 @@ def has_cso(tables: Tables, p: Params) -> bool:
 # -- layout ------------------------------------------------------------------------------------
 
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
 @dataclass(frozen=True)
 class Line:
     """One entry of an event: its account and amount, when it is booked, and other own columns."""
@@ -194,14 +202,28 @@ def full_name() -> Column:
     )
 
 
+def event_loans(tables: Tables, p: Params) -> DataFrame:
+    """Numbers of the loans that have an event in the window: granted, voided, paid on, written off or corrected."""
+    events = [
+        tables.loans.filter(p.here("Merch_Store_Id") & p.during("Date_Created")).select("Appl_No"),
+        tables.voids.filter(p.during("Date_Created") & (F.col("Void_Type") == "L")).select("Void_No"),
+        tables.payments.filter(p.during("Date_Created")).select("Appl_No"),
+        tables.charges.filter(p.during("Date_Created")).select("Appl_No"),
+        tables.history.filter(p.during("DateCreated") & (F.col("recordstatusid") == "1")).select("ApplNo"),
+    ]
+    return reduce(DataFrame.union, events).dropna().distinct()
+
+
 def loan_context(tables: Tables, p: Params) -> DataFrame:
-    """Loans of the wanted stores with customer, user, collector and originating user.
+    """Loans of the wanted stores that an entry of the window can be about, with customer, user, collector,
+    originating user and (as a list) the rates of the loan.
 
-    Users and rates are small lists, but nothing here forces a broadcast: the engine decides by
-    their size. Several users or collection rows for a loan multiply its entries, as booked.
+    The loans are cut down to those with an event before anything is joined, so the work follows the window
+    and not the age of the books. Users and rates are small lists, but nothing here forces a broadcast: the
+    engine decides by their size. Several users or collection rows for a loan multiply its entries, as booked.
     Callers store the result: sources with a hot loan then join it straight from a shuffle.
     """
-    loans = tables.loans.filter(p.here("Merch_Store_Id"))
+    loans = tables.loans.filter(p.here("Merch_Store_Id")).join(event_loans(tables, p), "Appl_No", "left_semi")
     loans = loans.join(return_counts(tables, loans), "Appl_No", "left")
     customers = tables.customers.select(
         "Cust_Id", "Cust_MerchantID", "Cust_State", full_name().alias("Cust_Name")
@@ -220,9 +242,10 @@ def loan_context(tables: Tables, p: Params) -> DataFrame:
         .join(staff, ["Cust_MerchantID", "User_Id"])
         .join(placed, "Appl_No", "left")
         .join(origin, ["Cust_MerchantID", "origin_user"], "left")
+        .join(rate_lists(tables), "RateID", "left")
         .select(
             "Appl_No", "Merch_Store_Id", "Cust_SSN", "Origin_Date", "Req_Due_Date", "Loan_Type", "Loan_Status",
-            "Appl_Status", "Disb_Mode", "Cashdisbmode", "PrintedCheckNo", "RateID", "Req_Loan_Amt", "Fin_Charge",
+            "Appl_Status", "Disb_Mode", "Cashdisbmode", "PrintedCheckNo", "rates", "Req_Loan_Amt", "Fin_Charge",
             F.col("Date_Created").alias("loan_created"),
             "Cust_MerchantID", "Cust_Name", "Cust_State", "PlacedIntoCollections", "Assigned_User_ID", "Emp_User_Id",
             F.coalesce("origin_name", F.lit("")).alias("origin_name"),
@@ -264,8 +287,17 @@ def cso_rates(tables: Tables) -> DataFrame:
     )
 
 
-def _rated(frame: DataFrame, tables: Tables) -> DataFrame:
-    return frame.join(cso_rates(tables), "RateID", "left")
+def rate_lists(tables: Tables) -> DataFrame:
+    """The fee-sharing rates of each rate number (a few) as one list."""
+    rates = cso_rates(tables)
+    rate = F.struct(*[c for c in rates.columns if c != "RateID"])
+    return rates.groupBy("RateID").agg(F.collect_list(rate).alias("rates"))
+
+
+def _rated(frame: DataFrame) -> DataFrame:
+    """One row per rate of the loan (one without any); `first_rate` marks one row of each."""
+    spread = frame.select("*", F.posexplode_outer("rates").alias("rate_no", "rate"))
+    return spread.select("*", "rate.*", (F.coalesce("rate_no", F.lit(0)) == 0).alias("first_rate"))
 
 
 # -- loans and voids -----------------------------------------------------------------------------
@@ -311,20 +343,16 @@ def _pick(lines: list[Line], accounts: Sequence[int] | None) -> list[Line]:
 
 
 def _lay_out(
-    frame: DataFrame,
-    tables: Tables,
-    shared: dict[str, Column],
-    plain: list[Line],
-    rated: list[Line],
-    accounts: Sequence[int] | None,
+    frame: DataFrame, shared: dict[str, Column], plain: list[Line], rated: list[Line], accounts: Sequence[int] | None
 ) -> list[DataFrame]:
-    """Entries that need no rate, and entries that do; a loan's rate must not multiply the former."""
-    found = []
-    if chosen := _pick(plain, accounts):
-        found.append(entries(frame, shared, chosen))
-    if chosen := _pick(rated, accounts):
-        found.append(entries(_rated(frame, tables), shared, chosen))
-    return found
+    """Entries that need no rate and entries that do, from one pass; a loan's rates must not multiply the former."""
+    plain, rated = _pick(plain, accounts), _pick(rated, accounts)
+    if not rated:
+        return [entries(frame, shared, plain)] if plain else []
+    once = [
+        replace(line, holds=F.col("first_rate") if line.holds is None else F.col("first_rate") & line.holds) for line in plain
+    ]
+    return [entries(_rated(frame), shared, [*once, *rated])]
 
 
 def new_loans(
@@ -344,16 +372,20 @@ def new_loans(
         "ACH_No": _paid_out_by(),
     }
     plain = [Line(PRINCIPAL, F.col("Req_Loan_Amt"))]
-    return _lay_out(_with_disbursement(booked, tables), tables, shared, plain, _origination(cso), accounts)
+    return _lay_out(_with_disbursement(booked, tables), shared, plain, _origination(cso), accounts)
 
 
 def voids(
-    tables: Tables, p: Params, context: DataFrame, cso: bool, accounts: Sequence[int] | None = None
+    tables: Tables, p: Params, context: DataFrame, cso: bool, accounts: Sequence[int] | None = None, keep: Keep = as_is
 ) -> list[DataFrame]:
+    """Voided loans. `keep` may store the frame that both the amounts and the fees are laid out from."""
     void = tables.voids.filter(p.during("Date_Created") & (F.col("Void_Type") == "L")).select(
         F.col("Void_No").alias("Appl_No"), "Void_Id", F.col("Date_Created").alias("voided_at")
     )
-    frame = _with_disbursement(void.join(context, "Appl_No"), tables)
+    voided = void.join(context, "Appl_No")
+    if accounts is None:
+        voided = keep(voided, "extract-voids")
+    frame = _with_disbursement(voided, tables)
     shared = {
         **loan_side(),
         "Tran_Date_Time": F.col("voided_at"),
@@ -365,7 +397,7 @@ def voids(
         "ACH_No": _paid_out_by(),
     }
     plain = [Line(PRINCIPAL, F.col("Req_Loan_Amt"))]
-    found = _lay_out(frame, tables, shared, plain, _origination(cso), accounts)
+    found = _lay_out(frame, shared, plain, _origination(cso), accounts)
     if accounts is None or FEE in accounts:
         fees = tables.fee_details.filter(~F.col("Feetypecode").isin("B", "X"))
         line = Line(FEE, zero_if_null(F.col("Amount")), own={"Fee_Type": F.col("Feetypecode")})
@@ -432,9 +464,12 @@ def _paid(name: str) -> Column:
 
 
 def payments(
-    tables: Tables, frame: DataFrame, cso: bool, accounts: Sequence[int] | None = None
+    tables: Tables, frame: DataFrame, cso: bool, accounts: Sequence[int] | None = None, advance: bool = False
 ) -> list[DataFrame]:
-    """Principal, finance charge, shared interest and fees of payments. `frame`: see `payment_frame`."""
+    """Principal, finance charge, shared interest and fees of payments. `frame`: see `payment_frame`.
+
+    `advance` adds the payments in advance, from the same pass.
+    """
     principal, finance = _paid("Principle_Paid"), _paid("Fincharge_Paid")
     fees = _paid("latecharge_Paid") + _paid("Othcharge_Paid") + _paid("Feecharge_Paid")
     shares = F.col("Pmt_Type").isin(CSO_PAYMENT_TYPES) & F.coalesce("has_rate", F.lit(False))
@@ -454,16 +489,25 @@ def payments(
         rated.append(Line(FINANCE, amount, finance != 0))
     if cso and (accounts is None or CSO_INTEREST in accounts):
         rated.append(Line(CSO_INTEREST, share("Interest_Fee"), shares & (finance != 0)))
-    sent = _with_transfer(frame, tables)
-    return _lay_out(sent, tables, _payment_side(), plain, rated, None)
+    if advance:
+        rated.append(Line(None, F.col("Pmt_Amt"), _in_advance(), {"Tran_Type_Id": _advance_type()}))
+    return _lay_out(_with_transfer(frame, tables), _payment_side(), plain, rated, None)
+
+
+def _in_advance() -> Column:
+    unapplied = (_paid("Principle_Paid") == 0) & (_paid("Fincharge_Paid") == 0) & (_paid("Feecharge_Paid") == 0)
+    return F.col("Pmt_Type").isin(list(PREPAYMENT_TYPES)) & unapplied
+
+
+def _advance_type() -> Column:
+    return looked_up(F.col("Pmt_Type"), PREPAYMENT_TYPES)
 
 
 def prepayments(tables: Tables, frame: DataFrame) -> list[DataFrame]:
     """Payments in advance: booked with their whole amount, as nothing is applied yet."""
-    unapplied = (_paid("Principle_Paid") == 0) & (_paid("Fincharge_Paid") == 0) & (_paid("Feecharge_Paid") == 0)
-    early = frame.filter(F.col("Pmt_Type").isin(list(PREPAYMENT_TYPES)) & unapplied)
-    shared = {**_payment_side(), "Tran_Type_Id": looked_up(F.col("Pmt_Type"), PREPAYMENT_TYPES)}
-    return [entries(_rated(_with_transfer(early, tables), tables), shared, [Line(None, F.col("Pmt_Amt"))])]
+    early = _with_transfer(frame.filter(_in_advance()), tables)
+    shared = {**_payment_side(), "Tran_Type_Id": _advance_type()}
+    return [entries(_rated(early), shared, [Line(None, F.col("Pmt_Amt"))])]
 
 
 def interest_assessed(tables: Tables, frame: DataFrame) -> list[DataFrame]:
@@ -517,7 +561,7 @@ def write_offs(
     if cso:
         own = {"Loan_Orig_Date": shared["Loan_Orig_Date"]}
         rated.append(Line(CSO_INTEREST, share("Interest_Fee"), has_rate, own))
-    return _lay_out(booked.join(context, "Appl_No"), tables, shared, plain, rated, accounts)
+    return _lay_out(booked.join(context, "Appl_No"), shared, plain, rated, accounts)
 
 
 # -- bank, cash and checks -------------------------------------------------------------------------
@@ -534,7 +578,6 @@ def ach_sent(tables: Tables, p: Params) -> list[DataFrame]:
     )
     loans = _wanted(loans, "Appl_No", sent.select("Appl_No"))
     customers = tables.customers.select("Cust_Id", "Cust_MerchantID", "Cust_State")
-    customers = _wanted(customers, "Cust_Id", loans.select("Cust_Id"))
     staff = tables.users.select("Merch_Id", "User_Id", "Merchant_Userid")
     with_loan = (
         sent.drop("Appl_No")

@@ -48,6 +48,10 @@ class Level:
     keeps: tuple[str, ...]
 
 
+# The dimensions by which a level takes or keeps rows.
+CELL = ("Business_Unit", "Product", "Subproduct")
+
+
 def _filled(name: str) -> Column:
     return F.trim(F.col(name)) != ""
 
@@ -114,9 +118,11 @@ def by_level(
     """Evaluate formulas at several roll-up levels in one pass.
 
     Only rows of the needed metrics carry a value, but every stored row of a group makes the
-    group appear; dimensions that a level rolls up are blank.
+    group appear; dimensions that a level rolls up are blank. Levels know a row by its unit, product and
+    sub-product only: the rows are summed to such cells first, and just the cells are copied per level.
     """
     dims = dimensions(with_subproduct)
+    cell = [d for d in dims if d in CELL]
 
     def tag(level: Level) -> Column:
         kept = [(F.col(d) if d in level.keeps else F.lit(" ")).alias(d) for d in dims]
@@ -125,11 +131,14 @@ def by_level(
 
     tags = F.array(*[tag(level) for level in at_levels])
     values = ["Value_Cust", "Value_Loan"] if with_loans else ["Value_Cust"]
+    cells = stored.groupBy(*cell, "Dateref").agg(*_aggregates(needed, values))
+    sums = [_column(m, v) for m in needed for v in values]
+    added = [F.sum(f"`{c}`").cast(cells.schema[c].dataType).alias(c) for c in sums]
     summed = (
-        stored.select(F.explode(tags).alias("t"), "Metric", "Dateref", *values)
+        cells.select(F.explode(tags).alias("t"), "Dateref", *[f"`{c}`" for c in sums])
         .filter(F.col("t").isNotNull())
         .groupBy("t.suffix", *[f"t.{d}" for d in dims], "Dateref")
-        .agg(*_aggregates(needed, values))
+        .agg(*added)
     )
     return _rows(summed, dims, F.col("suffix"), formulas, with_loans)
 

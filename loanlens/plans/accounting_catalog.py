@@ -16,6 +16,7 @@ from loanlens.plans import extract
 from loanlens.plans.catalog import Query, Sample, plain
 from loanlens.session import run_path
 from loanlens.sources.sample_accounting import AccountingSample
+from loanlens.sources.tables import clean_codes
 
 P = A.params("00003", date(1999, 1, 1), date(2001, 12, 31), datetime(2002, 1, 1, 6))
 
@@ -24,13 +25,16 @@ class Books(Sample, AccountingSample):
     """Accounting sample tables; loans, payments and transfers are stored as a source would hold them."""
 
     def ca_loan_appl(self) -> DataFrame:
-        return self._kept("ca_loan_appl", super().ca_loan_appl)
+        build = super().ca_loan_appl
+        return self._kept("ca_loan_appl", lambda: clean_codes(build(), extract.CODES["loans"]))
 
     def ca_payment(self) -> DataFrame:
-        return self._kept("ca_payment", super().ca_payment)
+        build = super().ca_payment
+        return self._kept("ca_payment", lambda: clean_codes(build(), extract.CODES["payments"]))
 
     def ca_ach_processed(self) -> DataFrame:
-        return self._kept("ca_ach_processed", super().ca_ach_processed)
+        build = super().ca_ach_processed
+        return self._kept("ca_ach_processed", lambda: clean_codes(build(), extract.CODES["ach"]))
 
     def loans_of_stores(self) -> DataFrame:
         return self._kept("accounting-loans", lambda: A.loan_context(self.tables(), P))
@@ -110,6 +114,14 @@ def _extract(spark: SparkSession, folder: str) -> DataFrame:
     return extract.accounting_extract(Books(spark, folder).tables(), P)
 
 
+ONE_DAY = A.params("00003", date(2000, 11, 15), date(2000, 11, 15), datetime(2002, 1, 1, 6))
+
+
+def _one_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The extract of a single day, as it is run every night."""
+    return extract.accounting_extract(Books(spark, folder).tables(), ONE_DAY)
+
+
 def _stored_extract(spark: SparkSession, folder: str) -> DataFrame:
     """The extract written as files and read back."""
     path = run_path(spark, "extract")
@@ -167,5 +179,6 @@ def accounting_queries() -> dict[str, Query]:
         "A39_return_item_count": _return_counts,
         "A40_gl_enrich_and_format": _formatted,
         "A41_accounting_extract": _extract,
+        "A41_one_day_extract": _one_day,
         "sink_extract": _stored_extract,
     }

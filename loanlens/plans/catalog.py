@@ -9,6 +9,7 @@ and the state of its files.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,17 @@ from loanlens.operators import projections as P
 from loanlens.operators import ratios as R
 from loanlens.operators import sinks as K
 from loanlens.operators import snapshots as S
-from loanlens.operators.status import FACT_COLUMNS, FACT_KEY, classify, loans_with_product, renewals
+from loanlens.operators.intervals import interval_join
+from loanlens.operators.partitioned import PartitionedTable, merge
+from loanlens.operators.rejects import FAULTS, Field, load_checked
+from loanlens.operators.status import FACT_COLUMNS, FACT_KEY, LOAN_CODES, PAYMENT_CODES, classify, loans_with_product, renewals
 from loanlens.plans import monthly as M
-from loanlens.plans.fact import fact_table, load_facts, store_changes, store_run, voided_loans
+from loanlens.plans.fact import delete_window, fact_table, load_facts, stamped, store_changes, store_run, voided_loans
+from loanlens.plans.resume import Stages
 from loanlens.session import prepare, run_path, written
 from loanlens.sources.calendar import calendar_of, month_starts, window_days
 from loanlens.sources.sample import SampleTables
+from loanlens.sources.tables import clean_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,11 +83,13 @@ class Sample(SampleTables):
         return self._kept("dim_merchant", super().dim_merchant)
 
     def loan_appl(self, with_renewals: bool = True) -> DataFrame:
-        loans = self._kept("loan_appl", super().loan_appl)
+        build = super().loan_appl
+        loans = self._kept("loan_appl", lambda: clean_codes(build(), LOAN_CODES))
         return loans if with_renewals else loans.drop("Ren_ApplNo")
 
     def payment(self) -> DataFrame:
-        return self._kept("payment", super().payment)
+        build = super().payment
+        return self._kept("payment", lambda: clean_codes(build(), PAYMENT_CODES))
 
     def facts(self) -> DataFrame:
         return self._kept(
@@ -129,7 +137,7 @@ RAN, RAN_EARLIER = datetime(2001, 6, 15, 4, 30), datetime(2001, 5, 15, 4, 30)
 def _before_voids(loans: DataFrame) -> DataFrame:
     """The loans of a time when today's voided ones were still open."""
     opened = F.when(F.col("Loan_Status") == "V", "O").otherwise(F.col("Loan_Status"))
-    return loans.withColumn("Loan_Status", opened)
+    return clean_codes(loans.withColumn("Loan_Status", opened), LOAN_CODES)
 
 
 def fact_load_second_run(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,16 +203,25 @@ def source_months(spark: SparkSession, folder: str) -> DataFrame:
     return plain(month_starts(calendar_of(loans, "Origin_Date"), AT))
 
 
+def _stored_facts(t: Sample, rows: DataFrame) -> PartitionedTable:
+    table = fact_table(t.spark, run_path(t.spark, "fact_table"), t.loan_appl())
+    table.create(stamped(rows, RAN_EARLIER))
+    return table
+
+
 def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Active rows of last month's run, updated with this month's."""
+    """Stored Active rows of last month's run, updated with this month's: only partitions with rows of either are rewritten."""
     t = Sample(spark, folder)
-    return plain(K.upsert(_classified(t, EARLIER, "Active"), _classified(t, AT, "Active"), FACT_KEY))
+    table = _stored_facts(t, _classified(t, EARLIER, "Active"))
+    merge(table, written(stamped(_classified(t, AT, "Active"), RAN), "batch"), FACT_KEY)
+    return plain(table.read().select(*FACT_COLUMNS))
 
 
 def sink_delete_window(spark: SparkSession, folder: str) -> DataFrame:
     t = Sample(spark, folder)
-    cut_off = AsOf(AT.day, 3).window_opens_after
-    return plain(K.delete_status_window(_classified(t, AT, "Due", "Active"), ["Due"], cut_off))
+    table = _stored_facts(t, _classified(t, AT, "Due", "Active"))
+    delete_window(table, ["Due"], AsOf(AT.day, 3).window_opens_after)
+    return plain(table.read().select(*FACT_COLUMNS))
 
 
 def sink_delete_pattern(spark: SparkSession, folder: str) -> DataFrame:
@@ -216,6 +233,94 @@ def sink_delete_by_key(spark: SparkSession, folder: str) -> DataFrame:
     return plain(K.delete_by_key(t.payment(), voided_loans(t.loan_appl(with_renewals=False)), "Appl_No"))
 
 
+RAW_LOAN = [
+    Field("Appl_No", "bigint", required=True),
+    Field("Req_Loan_Amt", "decimal(12,2)", low="0", high="350000"),
+    Field("Origin_Date", "date", required=True),
+    Field("Loan_Status", "string", required=True, width=1),
+]
+
+
+def raw_loans(orders: DataFrame) -> DataFrame:
+    """Loans as a file of texts would bring them, some of them damaged."""
+    k = F.col("o_orderkey")
+    day = F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd")
+    amount = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    status = F.col("o_orderstatus")
+    return orders.select(
+        F.when(k % 29 == 0, None).when(k % 13 == 0, F.concat(F.lit("N"), k)).otherwise(k.cast("string")).alias("Appl_No"),
+        F.when(k % 17 == 0, "12,5").when(k % 31 == 0, "-1").otherwise(amount).alias("Req_Loan_Amt"),
+        F.when(k % 19 == 0, "2001-13-45").otherwise(day).alias("Origin_Date"),
+        F.when(k % 23 == 0, F.concat(status, F.lit("x"))).when(k % 37 == 0, None).otherwise(status).alias("Loan_Status"),
+    )
+
+
+def sink_reject_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that do not fit their target, as they came, with every fault."""
+    rows = raw_loans(Sample(spark, folder).raw("orders"))
+    _, bad, _ = load_checked(spark, rows, RAW_LOAN, most=0.5)
+    names = [f.name for f in RAW_LOAN]
+    return bad.select(
+        *names,
+        F.array_join(F.transform(FAULTS, lambda f: f["errorCode"]), ", ").alias("errorCode"),
+        F.array_join(F.transform(FAULTS, lambda f: f["errorMessage"]), ", ").alias("errorMessage"),
+    )
+
+
+# -- irregular periods -----------------------------------------------------------------------
+
+
+def irregular_periods(nation: DataFrame) -> DataFrame:
+    """Periods of some hours, days or weeks, with overlaps and gaps: (period, opens, closes)."""
+    k = F.col("n_nationkey").cast("int")
+    length = F.when(k % 3 == 0, 5).when(k % 3 == 1, 40).otherwise(200) + k
+    opens = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=24 * k + 7 * (k % 5))
+    return nation.select(k.alias("period"), opens.alias("opens"), (opens + F.make_dt_interval(hours=length)).alias("closes"))
+
+
+def interval_event_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Events and their value per irregular period and kind; an event counts in every period that holds it."""
+    t = Sample(spark, folder)
+    events = t.raw("events").select(
+        F.col("ts").cast("timestamp_ntz").alias("at"), "event_type", F.col("value").cast("decimal(12,2)").alias("value")
+    )
+    held = interval_join(events, irregular_periods(t.raw("nation")), "at", "opens", "closes", finest=6 * 3600)
+    return plain(held.groupBy("period", "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total")))
+
+
+def interval_open_loans(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers and loans active on days that no calendar spaces evenly, per product."""
+    t = Sample(spark, folder)
+    k = F.col("n_nationkey").cast("int")
+    days = t.raw("nation").select(F.date_add(F.lit("2000-06-05").cast("date"), 14 * k + 2 * (k % 4)).alias("day"))
+    spans = t.placed_facts().filter("Status = 'Active'").select("From_Date", "To_Date", "Product", "Cust_SSN", "Appl_No")
+    held = interval_join(days, spans, "day", "From_Date", "To_Date", closed=True)
+    return plain(
+        held.groupBy("day", "Product").agg(
+            F.count_distinct("Cust_SSN").alias("customers"), F.count_distinct("Appl_No").alias("loans")
+        )
+    )
+
+
+def monthly_run_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that breaks off before its third stage, and a second one that goes on from there."""
+
+    def resumed(t: Sample) -> DataFrame:
+        facts, merchants = t.facts(), t.dim_merchant()
+        stages = Stages(spark, run_path(spark, "stages"), t._file_state(), AT, M.V2.name)
+
+        def broken(df: DataFrame, name: str) -> DataFrame:
+            if name.endswith("stage2"):
+                raise InterruptedError(name)
+            return stages(df, name)
+
+        with suppress(InterruptedError):
+            M.run(facts, merchants, AT, M.V2, cut=broken)
+        return stages.finish(lambda: written(M.run(facts, merchants, AT, M.V2, cut=stages), "resumed"))
+
+    return metric(M.V2, resumed)(spark, folder)
+
+
 def sink_reject(spark: SparkSession, folder: str) -> DataFrame:
     """Loans that cannot become fact rows because their store has no product."""
     t = Sample(spark, folder)
@@ -338,10 +443,7 @@ def mini_only_queries() -> dict[str, Query]:
     kind = M.V2
 
     def snapshots(t: Sample) -> DataFrame:
-        facts = t.placed_facts()
-        counted = M._shaped(S.snapshots(S.mini_only_spans(S.month_bounds(facts, AT)), AT, True), kind)
-        current = M._shaped(S.closing_to_date(S.mini_only_spans(S.open_on(facts, AT.day)), AT, True), kind)
-        return K.upsert(counted, current, M.metric_key(kind))
+        return S.snapshots(S.mini_only_spans(S.month_bounds(t.placed_facts(), AT)), AT, True, M.ALL_COUNTS)
 
     def flows(t: Sample) -> DataFrame:
         facts = t.placed_facts()
@@ -398,6 +500,9 @@ def loan_queries() -> dict[str, Query]:
         "sink_delete_pattern": sink_delete_pattern,
         "sink_delete_by_key": sink_delete_by_key,
         "sink_reject": sink_reject,
+        "sink_reject_typed": sink_reject_typed,
+        "interval_event_periods": interval_event_periods,
+        "interval_open_loans": interval_open_loans,
         **{op: status(*names) for op, names in STATUS_OPS.items()},
         "L17_renewed_1": renewal("Renewed_1"),
         "L18_renewed_2": renewal("Renewed_2"),
@@ -413,6 +518,7 @@ def loan_queries() -> dict[str, Query]:
         "monthly_run_v2_plain": monthly_run(M.V2_PLAIN),
         "monthly_run_v2_six_months": monthly_run(M.V2, SIX_MONTHS),
         "pipeline_monthly": monthly_run(M.V1),
+        "monthly_run_resumed": monthly_run_resumed,
         "monthly_run_second_v1": monthly_second_run(M.V1),
         "monthly_run_second_v2": monthly_second_run(M.V2),
     }

@@ -39,17 +39,16 @@ def report(
     The loans of the stores and the payments of the window feed many entries each. They are
     stored once; the sources are small unions over them.
     """
-    keep = cut or (lambda df, name: df)
+    keep = cut or A.as_is
     tables = Cleaned(tables)
     cso = A.has_cso(tables, p)
     context = keep(A.loan_context(tables, p), "extract-loans")
     paid = keep(A.payment_frame(tables, p, context), "extract-payments")
     parts = [
         *A.new_loans(tables, p, context, cso),
-        *A.voids(tables, p, context, cso),
-        *A.payments(tables, paid, cso),
+        *A.voids(tables, p, context, cso, keep=keep),
+        *A.payments(tables, paid, cso, advance=True),
         *A.interest_assessed(tables, paid),
-        *A.prepayments(tables, paid),
         *A.write_offs(tables, p, context, cso),
         *A.ach_sent(tables, p),
         *A.petty_cash(tables, p),

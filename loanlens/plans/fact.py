@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlens.functions.dates import AsOf, month_of, month_start
+from loanlens.functions.dates import AsOf, month_end, month_of, month_start
 from loanlens.operators.partitioned import PartitionedTable, merge
 from loanlens.operators.sinks import delete_by_key, delete_status_window, last_per_key, upsert
 from loanlens.operators.status import FACT_COLUMNS, FACT_KEY, LOAN_CODES, classify, renewals
@@ -101,6 +101,13 @@ def _reloaded(table: PartitionedTable, at: AsOf) -> set[tuple]:
     return {(s, m) for s, m in table.partitions() if s in RELOADED and m is not None and m > after}
 
 
+def delete_window(table: PartitionedTable, statuses: list[str], after: date) -> set[tuple]:
+    """Drop stored rows of the given statuses that refer to a day after `after`; returns the partitions reached."""
+    reached = {(s, m) for s, m in table.partitions() if s in statuses and m is not None and month_end(m) > after}
+    table.replace(reached, delete_status_window(table.within(reached), statuses, after))
+    return reached
+
+
 def store_run(
     table: PartitionedTable, loans: DataFrame, payments: DataFrame, merchants: DataFrame, at: AsOf, ran_at: datetime,
     first: bool = False,

@@ -44,6 +44,8 @@ V2 = MetricSet(
 )
 V2_PLAIN = MetricSet(**{**V2.__dict__, "name": "v2_plain", "mini_only": False})
 
+ALL_COUNTS = ("BOM", "EOM", "TODAY")
+
 # Small loans only: churn over the opening count alone, in both metric sets.
 MINI_ONLY_BASE = (R.ACTIVE_BOM,)
 
@@ -71,23 +73,21 @@ def _only_month(stored: DataFrame, at: AsOf) -> DataFrame:
 
 def base(facts: DataFrame, at: AsOf, kind: MetricSet) -> DataFrame:
     bounds = S.month_bounds(facts, at)
-    counted = _shaped(S.snapshots(bounds, at, kind.with_subproduct), kind)
     if kind.closing == "zero":
-        current = S.closing_zero(facts, at, kind.with_subproduct)
+        counted = _shaped(S.snapshots(bounds, at, kind.with_subproduct), kind)
+        # The current month's closing rows replace the counted ones with the same key.
+        counted = upsert(counted, _shaped(S.closing_zero(facts, at, kind.with_subproduct), kind), metric_key(kind))
     else:
-        current = S.closing_to_date(S.open_on(facts, at.day), at, kind.with_subproduct)
+        counted = _shaped(S.snapshots(bounds, at, kind.with_subproduct, ALL_COUNTS), kind)
     flows = S.flow_counts(S.window_events(facts, at), kind.with_subproduct)
-    # The current month's closing rows replace the counted ones with the same key.
-    return upsert(counted, _shaped(current, kind), metric_key(kind)).unionByName(_shaped(flows, kind))
+    return counted.unionByName(_shaped(flows, kind))
 
 
 def base_mini_only(facts: DataFrame, at: AsOf, kind: MetricSet) -> DataFrame:
     spans = S.mini_only_spans(S.month_bounds(facts, at))
-    counted = _shaped(S.snapshots(spans, at, kind.with_subproduct), kind)
-    today = S.mini_only_spans(S.open_on(facts, at.day))
-    current = S.closing_to_date(today, at, kind.with_subproduct)
+    counted = _shaped(S.snapshots(spans, at, kind.with_subproduct, ALL_COUNTS), kind)
     flows = S.flow_counts(S.mini_only_events(S.window_events(facts, at), facts), kind.with_subproduct)
-    return upsert(counted, _shaped(current, kind), metric_key(kind)).unionByName(_shaped(flows, kind))
+    return counted.unionByName(_shaped(flows, kind))
 
 
 def derived(stored: DataFrame, at: AsOf, kind: MetricSet) -> DataFrame:

@@ -41,9 +41,16 @@ def read_database(
     )
 
 
+# Mark, in a column's metadata, of codes that are clean already. It stays with a table that is written and read back.
+CLEAN = "clean_code"
+
+
 def clean_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Code columns without trailing blanks and in capitals.
 
-    The source databases compare codes without regard to case or trailing blanks.
+    The source databases compare codes without regard to case or trailing blanks. Columns that this function
+    cleaned before are left as they are: clean a table once, where it is stored, and tests on its codes reach the scan.
     """
-    return df.withColumns({c: F.upper(F.rtrim(F.col(c))) for c in columns})
+    rough = [c for c in columns if not df.schema[c].metadata.get(CLEAN)]
+    own = {c: F.upper(F.rtrim(F.col(c))).alias(c, metadata={**df.schema[c].metadata, CLEAN: True}) for c in rough}
+    return df.select(*[own.get(c, F.col(f"`{c}`")) for c in df.columns]) if own else df

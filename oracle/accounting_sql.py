@@ -447,5 +447,6 @@ def accounting_oracles() -> dict[str, str]:
         "A39_return_item_count": return_count_sql(),
         "A40_gl_enrich_and_format": extract,
         "A41_accounting_extract": extract,
+        "A41_one_day_extract": extract.replace(START, "TIMESTAMP '2000-11-15'").replace(END, "TIMESTAMP '2000-11-16'"),
         "sink_extract": extract,
     }

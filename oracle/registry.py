@@ -6,6 +6,44 @@ from oracle import loan_sql as L
 from oracle.metric_sql import RATIOS, MetricSql
 
 
+REJECTS = """
+WITH raw AS (
+  SELECT CASE WHEN o_orderkey % 29 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'N' || o_orderkey ELSE o_orderkey::VARCHAR END AS Appl_No,
+         CASE WHEN o_orderkey % 17 = 0 THEN '12,5' WHEN o_orderkey % 31 = 0 THEN '-1'
+              ELSE o_totalprice::DECIMAL(12,2)::VARCHAR END AS Req_Loan_Amt,
+         CASE WHEN o_orderkey % 19 = 0 THEN '2001-13-45' ELSE o_orderdate::DATE::VARCHAR END AS Origin_Date,
+         CASE WHEN o_orderkey % 23 = 0 THEN o_orderstatus || 'x' WHEN o_orderkey % 37 = 0 THEN NULL ELSE o_orderstatus END AS Loan_Status
+  FROM orders
+), judged AS (
+  SELECT *, list_filter([
+    CASE WHEN Appl_No IS NULL THEN {'c': 'KEY_NULL', 'm': 'column Appl_No must not be null'}
+         WHEN TRY_CAST(Appl_No AS BIGINT) IS NULL THEN {'c': 'BAD_TYPE', 'm': 'column Appl_No is not of type bigint'} END,
+    CASE WHEN Req_Loan_Amt IS NOT NULL AND TRY_CAST(Req_Loan_Amt AS DECIMAL(12,2)) IS NULL
+           THEN {'c': 'BAD_TYPE', 'm': 'column Req_Loan_Amt is not of type decimal(12,2)'}
+         WHEN TRY_CAST(Req_Loan_Amt AS DECIMAL(12,2)) < 0 THEN {'c': 'OUT_OF_RANGE', 'm': 'column Req_Loan_Amt is below 0'}
+         WHEN TRY_CAST(Req_Loan_Amt AS DECIMAL(12,2)) > 350000 THEN {'c': 'OUT_OF_RANGE', 'm': 'column Req_Loan_Amt is above 350000'} END,
+    CASE WHEN Origin_Date IS NULL THEN {'c': 'KEY_NULL', 'm': 'column Origin_Date must not be null'}
+         WHEN TRY_CAST(Origin_Date AS DATE) IS NULL THEN {'c': 'BAD_TYPE', 'm': 'column Origin_Date is not of type date'} END,
+    CASE WHEN Loan_Status IS NULL THEN {'c': 'KEY_NULL', 'm': 'column Loan_Status must not be null'}
+         WHEN length(Loan_Status) > 1 THEN {'c': 'TOO_WIDE', 'm': 'column Loan_Status is longer than 1'} END
+  ], lambda f: f IS NOT NULL) AS faults FROM raw
+)
+SELECT Appl_No, Req_Loan_Amt, Origin_Date, Loan_Status,
+       array_to_string(list_transform(faults, lambda f: f.c), ', ') AS "errorCode",
+       array_to_string(list_transform(faults, lambda f: f.m), ', ') AS "errorMessage"
+FROM judged WHERE len(faults) > 0
+"""
+
+EVENT_PERIODS = """
+WITH periods AS (
+  SELECT n_nationkey::INT AS period, TIMESTAMP '2024-01-01' + to_hours(24 * n_nationkey::INT + 7 * (n_nationkey % 5)::INT) AS opens,
+         to_hours([5, 40, 200][n_nationkey % 3 + 1] + n_nationkey::INT) AS length FROM nation
+)
+SELECT period, event_type, count(*) AS events, sum(value::DECIMAL(12,2))::DOUBLE AS total
+FROM events JOIN periods ON ts >= opens AND ts < opens + length GROUP BY period, event_type
+"""
+
+
 def _status() -> dict[str, str]:
     names = {
         "L01_active": "Active", "L02_collections": "Collections", "L03_collections_m": "Collections_M",
@@ -63,6 +101,13 @@ def _tables() -> dict[str, str]:
             f"WITH {L.LOAN}, {L.PAY} SELECT appl AS Appl_No, {L.day('paid_on', 'Pmt_Date')}, kind AS Pmt_Type, "
             f"principal::DOUBLE AS Principle_Paid FROM pay WHERE appl NOT IN ({void})"
         ),
+        "sink_reject_typed": REJECTS,
+        "interval_event_periods": EVENT_PERIODS,
+        "interval_open_loans": (
+            f"WITH {L.FACT}, days AS (SELECT DATE '2000-06-05' + (14 * n_nationkey + 2 * (n_nationkey % 4))::INT AS d FROM nation) "
+            f"SELECT {L.day('d', 'day')}, product AS Product, count(DISTINCT ssn) AS customers, count(DISTINCT appl) AS loans "
+            "FROM fact JOIN store USING (store_id) JOIN days ON d1 <= d AND d <= d2 WHERE status = 'Active' GROUP BY d, product"
+        ),
         "sink_reject": (
             f"{with_tables} SELECT store_id AS Merch_Store_Id, sub AS Subproduct, appl AS Appl_No, ssn AS Cust_SSN, "
             "status AS Status, 'KEY_NULL' AS \"errorCode\", 'column Subproduct must not be null' AS \"errorMessage\" "
@@ -140,6 +185,7 @@ def loan_oracles() -> dict[str, str]:
     runs["monthly_run_v2_six_months"] = MetricSql("v2", months_back=6).whole()
     runs |= {f"monthly_run_second_{n}": MetricSql(n).second() for n in ("v1", "v2")}
     runs["pipeline_monthly"] = runs["monthly_run_v1"]
+    runs["monthly_run_resumed"] = runs["monthly_run_v2"]
     pattern = f"SELECT * FROM ({runs['monthly_run_v2']}) WHERE Metric NOT LIKE '%Proj'"
     return {
         **_tables(), "sink_delete_pattern": pattern, **_status(),

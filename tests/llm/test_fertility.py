@@ -74,3 +74,37 @@ def test_bands_reject_symbol_junk_and_lone_classes(spark):
 
 def test_empty_table(spark):
     assert fertility.judge(helpers.empty_docs(spark)).count() == 0
+
+
+def test_quartiles_are_exact_however_rows_are_dealt_out(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("ab"), *(rng.choice([rng.random(), 0.5, 2.0]) for _ in fertility.FLOORS)) for _ in range(4001)]
+    schema = "pool string, " + ", ".join(f"{m} double" for m in fertility.FLOORS)
+    found = []
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame(rows, schema).repartition(parts)
+        found.append({r["pool"]: r for r in fertility.quartiles(df, ["pool"]).collect()})
+    assert found[0] == found[1] == found[2]
+    for pool in "ab":
+        for i, m in enumerate(fertility.FLOORS):
+            own = sorted(round(r[i + 1], 4) for r in rows if r[0] == pool)
+            exact = [own[-(-len(own) * q // 4) - 1] for q in (1, 3)]
+            assert [round(x, 4) for x in found[0][pool][m]] == exact
+
+
+def test_the_verdict_follows_the_bands(spark):
+    """kept against bands by exact quartiles, for a corpus of one class."""
+    rng = random.Random(9)
+    texts = [helpers.prose(rng, 120) for _ in range(80)] + ["### " * 30 + helpers.prose(rng, 90), helpers.prose(rng, 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = fertility.judge(docs).collect()
+    passing = [r for r in rows if not r["base_failed"] and r["length_class"] == rows[0]["length_class"]]
+    assert len(passing) >= fertility.LEAST_TEXTS and not rows[0]["base_failed"]
+    for r in rows:
+        if r["base_failed"]:
+            assert not r["kept"]
+        for m in fertility.FLOORS:
+            if r["kept"]:
+                assert r[f"{m}_low"] <= r[m] <= r[f"{m}_high"]
+    bad = next(r for r in rows if r["doc_id"] == 80)
+    assert not bad["kept"] and sum(r["kept"] for r in rows) >= 76

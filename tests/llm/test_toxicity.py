@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from loanlens.llm import blocks, lang_id, toxicity
 
@@ -69,3 +71,41 @@ def test_scores_are_noisy_or():
     assert len(stops) == 4 and stops.tolist() == [4, 21, 32, 37]
     assert np.bincount(sentence)[:4].tolist() == [1, 3, 2, 1]
     assert len(hashes) == 7
+
+
+def test_scores_against_a_plain_loop(spark, trained):
+    """Noisy-or over sentences, each with every word and opening once, by loops over the text."""
+    docs, _, model, _ = trained
+    weight = dict(zip(model.words.tolist(), model.weights.tolist(), strict=True))
+
+    def features(sentence: str) -> set[int]:
+        data, offsets = blocks.text_bytes(pa.array([sentence]))
+        return set(toxicity.word_features(data, offsets)[0].tolist())
+
+    rows = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for r in docs.limit(120).collect():
+        clean = 1.0
+        for sentence in re.split(r"(?<=[.!?])(?=\s)|(?<=\n)", r.text):
+            own = [weight[h] for h in features(sentence) if weight.get(h, 0) > 0]
+            if own:
+                clean *= 1 - 1 / (1 + np.exp(-(model.quiet + sum(own))))
+        assert rows[r.doc_id].score == pytest.approx(1 - clean, abs=1e-9)
+
+
+def test_few_labels_are_enough_for_a_clear_word(spark):
+    rng = random.Random(2)
+    rows = [(i, helpers.prose(rng, 30) + (" you vile grubling " if i % 7 == 0 else "") + helpers.prose(rng, 30)) for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 7 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, ~lang_id.held_out())
+    found = {r.doc_id: r.score >= 0.5 for r in toxicity.score(docs, model).collect()}
+    assert found == {i: i % 7 == 0 for i, _ in rows}
+
+
+def test_ties_and_repeats_leave_the_sample_bounded(spark):
+    docs = spark.createDataFrame([(i % 9, "some text here") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 9, int(i % 9 < 4)) for i in range(27)], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, F.lit(True), bound=2)
+    ids = {(r.doc_id, r.toxic) for r in sample.collect()}
+    assert len(ids) == 4 and sum(t for _, t in ids) == 2
+    assert {(r.doc_id, r.toxic) for r in toxicity.labelled_sample(docs.repartition(5), labels, F.lit(True), bound=2).collect()} == ids

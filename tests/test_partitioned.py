@@ -159,3 +159,42 @@ def test_next_months_run_moves_span_rows(spark, tmp_path):
     # Loans of the window's first month have left it: their rows stay with the old run's time, in its partition.
     left = table.read().filter("Status = 'Active' AND Ref_Month = DATE'2001-05-01'")
     assert ("Active", date(2001, 5, 1)) in touched and left.count() and rows(left.select("RunTimeStamp").distinct()) == [(RAN,)]
+
+
+def test_code_tests_reach_the_scan_of_stored_tables(spark):
+    """Codes cleaned where the table was stored are compared as they are; rough ones are still cleaned."""
+    from conftest import TINY
+
+    from loanlens.operators.status import LOAN_CODES
+    from loanlens.plans.catalog import Sample, loan_queries
+    from loanlens.sources.tables import clean_codes
+
+    pushed = {
+        "L03_collections_m": "EqualTo(Loan_Status,R)", "L04_bankrupt": "EqualTo(Loan_Status,B)",
+        "L08_default_m_status": "EqualTo(Loan_Status,R)", "L06_default_c": "In(Pmt_Type, [N,P])",
+        "L18_renewed_2": "EqualTo(Loan_Type,R)",
+    }
+    queries = loan_queries()
+    for name, test in pushed.items():
+        plan = queries[name](spark, TINY)._jdf.queryExecution().executedPlan().toString()
+        assert test in plan.replace("\n", ""), name
+    loans = Sample(spark, TINY).loan_appl()
+    assert clean_codes(loans, LOAN_CODES) is loans
+    rough = loans.withColumn("Loan_Status", F.concat(F.lower("Loan_Status"), F.lit("  ")))
+    again = clean_codes(rough, LOAN_CODES)
+    assert again is not rough and rows(again) == rows(loans)
+
+
+def test_delete_window_cuts_a_partition_in_two(spark, tmp_path):
+    table = fact_table(spark, str(tmp_path / "facts"), spark.createDataFrame([], LOANS))
+    from loanlens.plans.fact import delete_window, stamped
+
+    days = [date(2001, 4, 9), date(2001, 5, 9), date(2001, 5, 20), date(2001, 6, 1)]
+    facts = [("s", "x", n, "c", status, d, d, d) for n, d in enumerate(days) for status in ("Due", "New")]
+    schema = "Merch_Store_Id string, Subproduct string, Appl_No bigint, Cust_SSN string, Status string, From_Date date, To_Date date, Ref_Date date"
+    table.create(stamped(spark.createDataFrame(facts, schema), RAN))
+    before = files(table.path)
+    reached = delete_window(table, ["Due"], date(2001, 5, 10))
+    assert reached == {("Due", date(2001, 5, 1)), ("Due", date(2001, 6, 1))}
+    assert rows(table.read().filter("Status = 'Due'"), "Appl_No") == [(0,), (1,)] and table.read().count() == 6
+    assert {f for f in before if "Status=New" in f} <= files(table.path)
