@@ -51,7 +51,7 @@ def interval_join(
     sound = intervals.filter(F.col(first) <= F.col(last) if closed else F.col(first) < F.col(last))
     # The least level whose bins are as wide as the interval is long: it then touches two of them at most.
     length = F.greatest(end - begin, F.lit(1)).cast("double")
-    level = F.greatest(F.ceil(F.log(F.lit(float(STEP)), length / finest) - 1e-9), F.lit(0)).cast("int")
+    level = F.greatest(F.ceil(F.log(float(STEP), length / finest) - 1e-9), F.lit(0)).cast("int")
     levelled = sound.withColumn("_level", level)
     bins = F.sequence(_bin(begin, F.col("_level"), finest), _bin(end, F.col("_level"), finest))
     placed = levelled.withColumn("_bin", F.explode(bins))
