@@ -5,8 +5,8 @@ characters as one blank. The n-grams of all languages stand in one sorted hash a
 log probability that each language gives them; contexts have sorted arrays of back-off weights. A text
 is scored by array lookups only: the language with the lowest cross-entropy (bits per character) wins.
 
-Training: of each language, the share of documents that makes about LEARN_DOCS (the bound; by a hash of the id, so
-give or take its square root) gives, whole, the n-gram counts, which Spark sums by language. No count is cut
+Training: the LEARN_DOCS documents (the bound) of each language with the least hash of their id give, whole, the
+n-gram counts, which Spark sums by language. No count is cut
 before the discounts are estimated from those of n-grams seen once and twice.
 
 Rejection: the bits per character under the best model are compared with those of a model that knows
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.llm import blocks
@@ -223,21 +223,23 @@ def eligible(docs: DataFrame, keep: F.Column) -> DataFrame:
 
 
 def learning_ids(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> DataFrame:
-    """(doc_id, lang) of about `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
+    """(doc_id, lang) of the first `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
     some = eligible(docs, keep)
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
     some = some.select("lang", "doc_id", part.alias("part"))
-    # One row per language; the share that makes about `bound` rows is taken where the rows are.
+    # One row per language; a share of some more than `bound` rows is taken where the rows are, so few are ordered.
     size = written(some.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     size = F.broadcast(size) if size.count() <= BROADCAST_IDS else size
-    chosen = some.join(size, "lang").where(F.col("part") * F.col("n") < bound).select("doc_id", "lang").distinct()
-    chosen = written(chosen, "learning-ids")
+    few = some.join(size, "lang").where(F.col("part") * F.col("n") < bound + 8 * math.sqrt(bound))
+    order = Window.partitionBy("lang").orderBy("part", "doc_id")
+    few = few.select("doc_id", "lang", "part").distinct().withColumn("r", F.row_number().over(order))
+    chosen = written(few.where(F.col("r") <= bound).select("doc_id", "lang"), "learning-ids")
     # Few languages make few ids; a column of very many values is met by a shuffle instead.
     return F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
 
 
 def learning_rows(docs: DataFrame, keep: F.Column, bound: int = LEARN_DOCS) -> DataFrame:
-    """(lang, text): about `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
+    """(lang, text): up to `bound` texts of each language among the rows that `keep` marks, by a hash of the id."""
     return docs.join(learning_ids(docs, keep, bound), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
 

@@ -75,7 +75,7 @@ def test_run_over_a_folder_and_an_empty_table(spark, tmp_path):
 
 def test_queries_are_registered():
     names = sorted(queries.llm_queries(), key=lambda n: int(re.match(r"op(\d+)_", n)[1]))
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.llm_oracles()))
