@@ -282,12 +282,14 @@ def near_duplicates(docs: DataFrame, width: int = 3, least: int = 85) -> DataFra
     docs = docs.where(F.col("doc_id").isNotNull())
     marks = written(signatures(docs, width, least), "signatures")
     name = ["n_shingles", "d0", "d1"]
-    classes = marks.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("rep"))
+    # Rows of equal sets have equal signatures, so any of them stands for the class.
+    signs = [F.first(c).alias(c) for c in [*PLANES, "bands"]]
+    reps = marks.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("doc_id"), *signs)
+    reps = written(reps, "classes")
+    classes = reps.select(*name, F.col("doc_id").alias("rep"))
     members = marks.select("doc_id", *name, F.col("n_shingles").alias("size")).join(classes, name, "left")
     members = members.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
     members = written(members, "members")
-    reps = marks.join(classes.withColumnRenamed("rep", "doc_id"), [*name, "doc_id"], "left_semi")
-    reps = written(reps.dropDuplicates(["doc_id", "d0"]), "classes")
     forget(marks)
     spread = reps.select("doc_id", "d0", F.explode("bands").alias("key"))
     wide = written(spread.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "keys")
