@@ -114,9 +114,10 @@ class AccountingSample(SampleTables):
     def ca_payment(self) -> DataFrame:
         """Payments with a number that is unique without a global sort.
 
-        Lines of a loan are numbered inside 64 small buckets, so that one loan with very many
-        payments is not numbered by one task; number and bucket together give the id (room for
-        ten million payments per loan).
+        Lines of a loan are numbered inside 64 small buckets; number and bucket together give the id (room for
+        ten million payments per loan). The lines are shuffled once, by loan, for the join with their loans; the
+        numbering finds them there. Where that join splits a loan with very many payments, the numbering is
+        shuffled by bucket instead.
         """
         line, part = F.col("l_linenumber"), F.col("l_partkey")
         bucket = line + 8 * (part % 8)
@@ -126,12 +127,26 @@ class AccountingSample(SampleTables):
         rare = part % 24
         kind = F.when(rare < 12, pick(F.least(rare, F.lit(11)), RARE_PAYMENT_TYPES)).otherwise(payment_type())
         sign = F.when(part % 11 == 0, -1).otherwise(1)
-        orders = self.loan_appl(with_renewals=False).select("Appl_No", "Merch_Store_Id", "Origin_Date")
-        numbered = self.raw("lineitem").withColumn("bucket", bucket).withColumn("n", F.row_number().over(inside))
+        lines = self.raw("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+            "l_shipdate", kind.alias("Pmt_Type"),
+        )
+        loans = self._loans_with_lines()
+        # One row per loan number, so that a number that the orders repeat does not repeat its lines before they are counted.
+        # A returned payment refers to the payment with the line number before it: the first one of its lowest bucket.
+        before = F.array_min(F.filter("lows", lambda c: (c >= (line - 1) * 16) & (c < line * 16)))
+        low = before - (line - 1) * 16 - 8
+        before_no = F.col("l_orderkey") * 10_000_000 + 64 + (line - 1) + 8 * low
+        numbered = (
+            lines.join(loans, lines.l_orderkey == loans.Appl_No)
+            .select("*", bucket.alias("bucket"), F.when(F.col("Pmt_Type") == "N", before_no).alias("Refno"))
+            .drop("lows")
+            .withColumn("n", F.row_number().over(inside))
+        )
         paid_on = F.date_add("Origin_Date", 7 * line)
         rows = (
-            numbered.join(orders, numbered.l_orderkey == orders.Appl_No)
-            .withColumn("Pmt_Type", kind)
+            numbered.select("*", F.explode("loans").alias("loan"))
+            .select("*", "loan.*")
             .withColumn("blank", F.col("Pmt_Type").isin("Y", "9") & (line % 2 == 0))
         )
         zero = F.lit(0)
@@ -140,7 +155,7 @@ class AccountingSample(SampleTables):
             return as_money(F.when(F.col("blank"), zero).otherwise(col))
 
         price, discount = money(F.col("l_extendedprice")), F.col("l_discount").cast("decimal(4,2)")
-        found = rows.select(
+        return rows.select(
             (F.col("l_orderkey") * 10_000_000 + F.col("n") * 64 + F.col("bucket")).alias("Pmt_Tran_No"),
             "Appl_No",
             F.concat(
@@ -159,18 +174,26 @@ class AccountingSample(SampleTables):
             F.when(line % 4 != 0, as_money(zero)).alias("Othcharge_Paid"),
             unless_blank((line % 2) * 5).alias("Feecharge_Paid"),
             (line % 3).cast("int").alias("Misintfield1"),
-            line.alias("line"),
+            "Refno",
         )
-        # A returned payment refers to the payment with the line number before it.
-        before = found.groupBy(F.col("Appl_No").alias("b_appl"), (F.col("line") + 1).alias("b_line")).agg(
-            F.min("Pmt_Tran_No").alias("before_no")
-        )
-        linked = found.join(
-            before, (found.Appl_No == before.b_appl) & (found.line == before.b_line), "left"
+
+    def _loans_with_lines(self) -> DataFrame:
+        """Per loan number the loans (one, unless the orders repeat it) and the buckets of its lines, as line * 16 + 8 + part % 8.
+
+        The rows are gathered by one column more than they are joined by: the join then shuffles them itself and
+        can split a loan with a large part of the lines.
+        """
+        loans = self.loan_appl(with_renewals=False).select(
+            "Appl_No", F.struct("Merch_Store_Id", "Origin_Date").alias("loan"), F.lit(None).cast("bigint").alias("low")
         )
-        return linked.withColumn("Refno", F.when(F.col("Pmt_Type") == "N", F.col("before_no"))).drop(
-            "line", "b_appl", "b_line", "before_no"
+        lows = self.raw("lineitem").select(
+            F.col("l_orderkey").alias("Appl_No"),
+            F.lit(None).cast(loans.schema["loan"].dataType).alias("loan"),
+            (F.col("l_linenumber").cast("bigint") * 16 + 8 + F.col("l_partkey") % 8).alias("low"),
         )
+        spread = F.pmod(F.hash("Appl_No"), F.lit(1)).alias("spread")
+        gathered = loans.unionByName(lows).filter("Appl_No IS NOT NULL").groupBy("Appl_No", spread)
+        return gathered.agg(F.collect_list("loan").alias("loans"), F.collect_set("low").alias("lows")).drop("spread")
 
     def ca_void(self) -> DataFrame:
         k = F.col("Appl_No")
