@@ -109,7 +109,13 @@ class SampleTables:
         kind = F.when(k % 5 == 0, "R").otherwise("S")
         amount = money(F.col("o_totalprice"))
         rate = (F.lit(155) + F.lit(10) * (k % 10)).cast("decimal(6,0)") * F.lit("0.001").cast("decimal(4,3)")
-        loans = self.orders_with_customer().select(
+        orders = self.orders_with_customer()
+        if with_renewals:
+            # The orders are joined as they are read: the loans made from them are twice as wide.
+            links = self.previous_orders().withColumnRenamed("o_orderkey", "renewing_key")
+            orders = orders.join(links, k == F.col("renewing_key"), "left")
+        renewed = [F.when(kind == "R", F.col("previous_key")).alias("Ren_ApplNo")] if with_renewals else []
+        return orders.select(
             k.alias("Appl_No"),
             F.concat(padded(F.col("c_nationkey"), 5), padded(k % 4, 6)).alias("Merch_Store_Id"),
             F.col("o_custkey").alias("Cust_Id"),
@@ -122,27 +128,20 @@ class SampleTables:
             (amount * rate).alias("Fin_Charge"),
             F.date_add(opened, (F.lit(20) + k % 40).cast("int")).alias("LastPmtDate"),
             F.date_add(opened, (F.lit(10) + k % 80).cast("int")).alias("Last_Modified"),
-        )
-        if not with_renewals:
-            return loans
-        links = self.previous_orders()
-        return loans.join(links, loans.Appl_No == links.o_orderkey, "left").select(
-            *loans.columns, F.when(F.col("Loan_Type") == "R", F.col("previous_key")).alias("Ren_ApplNo")
+            *renewed,
         )
 
     def payment(self) -> DataFrame:
+        principle = F.when(F.col("l_linenumber") % 3 == 0, F.lit(0)).otherwise(F.col("l_quantity")).cast("decimal(12,2)")
         lines = self.raw("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
+            "l_orderkey", "l_linenumber", payment_type().alias("Pmt_Type"), principle.alias("Principle_Paid")
         )
         orders = self.raw("orders").select("o_orderkey", "o_orderdate")
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
             F.col("l_orderkey").alias("Appl_No"),
             F.date_add(day(F.col("o_orderdate")), F.lit(7) * F.col("l_linenumber")).alias("Pmt_Date"),
-            payment_type().alias("Pmt_Type"),
-            F.when(F.col("l_linenumber") % 3 == 0, F.lit(0))
-            .otherwise(F.col("l_quantity"))
-            .cast("decimal(12,2)")
-            .alias("Principle_Paid"),
+            "Pmt_Type",
+            "Principle_Paid",
         )
 
 
