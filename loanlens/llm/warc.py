@@ -8,10 +8,11 @@ length. Records of a page may land in different files; an archive holds at most
 so its size is bounded. Archives are written by Spark to the shared folder (each file one gzip stream).
 
 Reading: a task splits an archive into records by their lengths. Records without segments are decoded on
-the spot. Segments are gathered by origin (the number of segments of a page bounds the group, and only
-segmented pages are shuffled), ordered by number and checked: numbers without a gap, the total length as
-stated; then the chunk framing is removed. A revisit finds its payload's length by joining the response
-that it names, on ids alone.
+the spot. Segments are gathered by origin, ordered by number and checked: numbers without a gap, the total
+length as stated; then the chunk framing is removed. A page whose segments stand in one archive is joined by
+the task that reads it, and only its origin is shuffled, so that a segment repeated elsewhere is found;
+segments of pages that reach over several archives are shuffled themselves (the number of segments of a page
+bounds the group). A revisit finds its payload's length by joining the response that it names, on ids alone.
 """
 
 from __future__ import annotations
@@ -194,27 +195,48 @@ def reassembled(segments: list[tuple[int, int | None, bytes]]) -> bytes:
 _RECORD = "kind string, page string, origin string, number int, total long, digest string, refers string, part binary, whole boolean"
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives: whole payloads are decoded, segments as they are."""
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(_FIELDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FIELDS, strict=True)], schema=_FIELDS)
+
+
+def _complete(segments: list[tuple]) -> bool:
+    """Whether the rows are all segments of a page, each once."""
+    return [s[3] for s in segments] == list(range(1, len(segments) + 1)) and segments[-1][4] is not None
+
+
+def read_records(spark: SparkSession, path: str, whole: bool) -> DataFrame:
+    """Rows of the archives' records. With `whole` the decoded payloads of records without segments and of pages
+    that an archive holds all segments of. Else the other segments as they are, and a row without number and part
+    for each page whose segments were joined.
+    """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
             for content in batch.column("content"):
                 raw = content.as_py()
-                rows = []
+                rows, pages = [], {}
                 for fields, block in records_of(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw):
                     get = fields.get
                     kind, number, total = get(TYPE.lower()), get(NUMBER.lower()), get(TOTAL.lower())
                     origin = get(ORIGIN.lower()) or get(RECORD.lower())
-                    whole = number is None
-                    part = b"" if kind == "revisit" else payload_of(block) if whole else block
                     digest = (get(DIGEST.lower()) or "").rpartition(":")[2] or None
-                    rows.append((kind, get(TARGET.lower()), origin, number and int(number), total and int(total), digest,
-                                 get(REFERS.lower()), part, whole))
-                columns = list(zip(*rows, strict=True)) or [()] * len(_FIELDS)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, _FIELDS, strict=True)], schema=_FIELDS
-                )
+                    own = (kind, get(TARGET.lower()), origin, number and int(number), total and int(total), digest, get(REFERS.lower()))
+                    if number is not None:
+                        pages.setdefault(origin, []).append((*own, block, False))
+                    elif whole:
+                        rows.append((*own, b"" if kind == "revisit" else payload_of(block), True))
+                for origin, segments in pages.items():
+                    segments.sort(key=lambda s: s[3])
+                    if not _complete(segments):
+                        rows += [] if whole else segments
+                    elif whole:
+                        kind, page, _, _, _, digest, _, _, _ = segments[0]
+                        payload = payload_of(reassembled([(s[3], s[4], s[7]) for s in segments]))
+                        rows.append((kind, page, origin, None, None, digest, None, payload, True))
+                    else:
+                        rows.append((None, None, origin, None, None, None, None, None, False))
+                yield _batch(rows)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, _RECORD)
 
@@ -229,14 +251,20 @@ def _page(uri: str) -> Column:
     return F.nullif(F.regexp_extract(uri, r"^urn:page:(-?[0-9]*)$", 1), F.lit("")).cast("long")
 
 
-def _joined(segments: pa.Table) -> pa.Table:
-    rows = segments.to_pylist()
-    head = next((r for r in rows if r["number"] == 1), None)
-    if head is None:
-        raise ValueError(f"{rows[0]['origin']}: the first segment is missing")
-    payload = payload_of(reassembled([(r["number"], r["total"], r["part"]) for r in rows]))
-    made = {"kind": head["kind"], "page": head["page"], "digest": head["digest"], "refers": None, "part": payload}
-    return pa.Table.from_pylist([made], schema=pa.schema([f for f in _FIELDS if f.name in made]))
+def _joined(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A page of each row's segments."""
+    for batch in frames:
+        made = []
+        for row in batch.to_pylist():
+            segments = row["segments"]
+            if any(r["number"] is None for r in segments):
+                raise ValueError(f"{row['origin']}: segments are repeated in another archive")
+            head = next((r for r in segments if r["number"] == 1), None)
+            if head is None:
+                raise ValueError(f"{row['origin']}: the first segment is missing")
+            payload = payload_of(reassembled([(r["number"], r["total"], r["part"]) for r in segments]))
+            made.append((head["kind"], head["page"], row["origin"], None, None, head["digest"], None, payload, True))
+        yield _batch(made)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -245,13 +273,13 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     A missing or repeated segment, a wrong total length, a broken chunk or a payload that differs from its
     digest fails the read: nothing is dropped in silence.
     """
-    records = read_records(spark, path)
-    whole = records.where("whole").select("kind", "page", "digest", "refers", "part")
-
-    parts = records.where("not whole").groupBy("origin").applyInArrow(
-        _joined, "kind string, page string, digest string, refers string, part binary"
-    )
-    pages = whole.unionByName(parts)
+    columns = ["kind", "page", "digest", "refers", "part"]
+    whole = read_records(spark, path, True).select(*columns)
+    segment = F.struct("kind", "page", "number", "total", "digest", "part")
+    spread = read_records(spark, path, False).groupBy("origin").agg(F.collect_list(segment).alias("segments"))
+    # A page that was joined where it was read, and has no other segment, is done.
+    spread = spread.where((F.size("segments") > 1) | F.col("segments")[0]["number"].isNotNull())
+    pages = whole.unionByName(spread.mapInArrow(_joined, _RECORD).select(*columns))
     proven = F.when(
         (F.col("kind") == "revisit") | (F.sha2("part", 256) == F.col("digest")), F.col("digest")
     ).otherwise(F.raise_error(F.concat(F.lit("payload differs from its digest: "), F.coalesce("page", F.lit("")))))

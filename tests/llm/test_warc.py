@@ -55,6 +55,28 @@ def test_payloads_come_back(spark, tmp_path, monkeypatch):
             assert r.payload is None
 
 
+def test_only_pages_over_several_archives_are_shuffled(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, "u", f"page {i} " * 900) for i in range(6)], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(docs, f"{tmp_path}/one")
+    rows = warc.read_records(spark, f"{tmp_path}/one", False).collect()
+    assert len(rows) == 6 and all(r.number is None and r.part is None for r in rows)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 3)
+    warc.write_archives(docs, f"{tmp_path}/some")
+    assert warc.read_records(spark, f"{tmp_path}/some", False).where("part IS NOT NULL").count() > 6
+    for name in ("one", "some"):
+        read = {r.page_id: bytes(r.payload).decode() for r in warc.read_pages(spark, f"{tmp_path}/{name}").collect()}
+        assert read == {i: f"page {i} " * 900 for i in range(6)}
+
+
+def test_an_archive_that_stands_twice_is_an_error(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "u", "page " * 900)], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(docs, f"{tmp_path}/one")
+    (archive,) = [p for p in (tmp_path / "one").glob("part-*")]
+    (tmp_path / "one" / f"again-{archive.name}").write_bytes(archive.read_bytes())
+    with pytest.raises(Exception, match="repeated in another archive"):
+        warc.read_pages(spark, f"{tmp_path}/one").collect()
+
+
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
