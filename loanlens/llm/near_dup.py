@@ -359,13 +359,16 @@ def deduplicate(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
     doc_id are of no group and stay.
     """
     found = written(near_duplicates(docs, width, least), "groups")
-    kept = found.where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("times"))
+    # Most documents are kept once. The texts meet the ids of the others, which are fewer and can be sent to longer inputs.
     id_name, times, place = blocks.fresh(docs, "kept_id", "times", "place")
-    kept = kept.select(F.col("kept_id").alias(id_name), F.col("times").alias(times))
-    stays = docs.join(kept, docs["doc_id"].cast("long") == F.col(id_name))
-    once = stays.where(F.col(times) == 1).select(*docs.columns)
+    counted = found.groupBy(F.col("doc_id").alias(id_name)).agg(F.sum(F.col("kept").cast("long")).alias(times))
+    others = written(counted.where(F.col(times) != 1), "others")
+    several = others.where(F.col(times) > 1)
+    same = docs["doc_id"].cast("long") == F.col(id_name)
+    named = docs.where(docs["doc_id"].cast("long").isNotNull())
+    once = named.join(_sent(others.select(id_name), others.count()), same, "left_anti")
     order = Window.partitionBy("doc_id").orderBy("text")
-    again = stays.where(F.col(times) > 1).withColumn(place, F.row_number().over(order))
+    again = docs.join(_sent(several.select(id_name), several.count()), same, "left_semi").withColumn(place, F.row_number().over(order))
     again = again.where(F.col(place) == 1).select(*docs.columns)
     return once.unionByName(again).unionByName(docs.where(F.col("doc_id").isNull()))
 

@@ -62,6 +62,21 @@ def test_deduplicate_keeps_one_of_each_group_and_all_columns(spark):
     assert kept.where(F.col("doc_id").isNull()).count() == 1
 
 
+def test_deduplicate_does_not_shuffle_texts_for_the_ids_that_stay(spark):
+    prose = helpers.prose(random.Random(5), 60)
+    rows = [(i, f"{prose} {i} own {i * 7}") if i % 10 else (i, prose) for i in range(1, 200)]
+    docs = spark.createDataFrame([*rows, (10, "again " * 9), (None, "no id")], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = near_dup.deduplicate(docs, 5, 100)
+        got = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect())
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wanted = [(False, i, t) for i, t in rows if i % 10] + [(False, 10, "again " * 9), (True, 0, "no id")]
+    assert got == sorted(wanted)
+
+
 def test_estimate_is_close_to_the_similarity(spark):
     rng = random.Random(2)
     base = helpers.prose(rng, 400).split(" ")
