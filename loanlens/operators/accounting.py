@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.loan import MONEY, cso_share, looked_up, zero_if_null
+from loanlens.session import written
 
 TIME = "timestamp_ntz"
 
@@ -303,8 +304,8 @@ def _rated(frame: DataFrame) -> DataFrame:
 # -- loans and voids -----------------------------------------------------------------------------
 
 
-def _with_disbursement(context: DataFrame, tables: Tables) -> DataFrame:
-    """The bank transfer that paid the loan out, for new loans."""
+def _with_disbursement(context: DataFrame, tables: Tables, stored: bool = True) -> DataFrame:
+    """The bank transfer that paid the loan out, for new loans. `stored`: see `_wanted`."""
     sent = tables.ach.filter(
         (F.col("Tran_Code") == "22")
         & (F.col("ACH_For") == "C")
@@ -312,15 +313,19 @@ def _with_disbursement(context: DataFrame, tables: Tables) -> DataFrame:
         & (F.col("ACH_Sent_Status") == "S")
         & ~F.col("IsDeleted")
     ).select("Appl_No", F.col("ACH_No").alias("ach_no"))
-    return context.join(_wanted(sent, "Appl_No", context.select("Appl_No")), "Appl_No", "left")
+    return context.join(_wanted(sent, "Appl_No", context.select("Appl_No"), stored), "Appl_No", "left")
 
 
-def _wanted(large: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+def _wanted(large: DataFrame, key: str, keys: DataFrame, stored: bool = False) -> DataFrame:
     """Rows of a whole table whose key is asked for.
 
-    A left outer join can't send its small left side to the large right one; this semi-join can.
+    A left outer join can't send its small left side to the large right one; this semi-join can. The keys are
+    stored, as the engine takes a filtered table for as large as the whole one and would shuffle the large side;
+    keys that are a column of a table that is `stored` already need no copy.
     """
-    asked = keys.select(F.col(keys.columns[0]).alias("asked_key")).filter("asked_key IS NOT NULL").distinct()
+    asked = keys.select(F.col(keys.columns[0]).alias("asked_key")).filter("asked_key IS NOT NULL")
+    if not stored:
+        asked = written(asked.distinct(), "asked-keys")
     return large.join(asked, F.col(key) == F.col("asked_key"), "left_semi")
 
 
@@ -385,7 +390,7 @@ def voids(
     voided = void.join(context, "Appl_No")
     if accounts is None:
         voided = keep(voided, "extract-voids")
-    frame = _with_disbursement(voided, tables)
+    frame = _with_disbursement(voided, tables, stored=False)
     shared = {
         **loan_side(),
         "Tran_Date_Time": F.col("voided_at"),
@@ -399,7 +404,7 @@ def voids(
     plain = [Line(PRINCIPAL, F.col("Req_Loan_Amt"))]
     found = _lay_out(frame, shared, plain, _origination(cso), accounts)
     if accounts is None or FEE in accounts:
-        fees = tables.fee_details.filter(~F.col("Feetypecode").isin("B", "X"))
+        fees = _wanted(tables.fee_details.filter(~F.col("Feetypecode").isin("B", "X")), "Appl_No", voided.select("Appl_No"))
         line = Line(FEE, zero_if_null(F.col("Amount")), own={"Fee_Type": F.col("Feetypecode")})
         found.append(entries(frame.join(fees, "Appl_No"), shared, [line]))
     return found
@@ -411,12 +416,14 @@ def voids(
 def payment_frame(tables: Tables, p: Params, context: DataFrame) -> DataFrame:
     """Payments of the window with their loan and the payment they refer to.
 
-    Most payments refer to none. They look up their own negative number, which no payment has,
-    so that they do not all meet in one partition.
+    Callers store the result: its keys are then sent to the tables that it is joined with. Most payments refer to
+    none. They look up their own negative number, which no payment has, so that they do not all meet in one partition.
     """
     pay = tables.payments.filter(p.during("Date_Created")).withColumnRenamed("Merch_Store_Id", "paid_at_store").drop(
         "Date_Created"
     )
+    # Payments on other loans leave before anything is shuffled.
+    pay = _wanted(pay, "Appl_No", context.select("Appl_No"), stored=True)
     referred = tables.payments.select(F.col("Pmt_Tran_No").alias("ref_key"), F.col("Pmt_Type").alias("ref_type"))
     referred = _wanted(referred, "ref_key", pay.select("Refno"))
     ref_key = F.coalesce(F.col("Refno"), -F.col("Pmt_Tran_No"))
@@ -433,7 +440,7 @@ def _with_transfer(frame: DataFrame, tables: Tables) -> DataFrame:
     sent = tables.ach.filter(~F.col("IsDeleted") & F.col("Pmt_No").isNotNull()).select(
         "Pmt_No", F.col("ACH_No").alias("ach_no")
     )
-    sent = _wanted(sent, "Pmt_No", frame.select("ref_key"))
+    sent = _wanted(sent, "Pmt_No", frame.select("ref_key"), stored=True)
     found = F.coalesce(F.col("ref_key"), -F.col("Pmt_Tran_No"))
     return frame.withColumn("transfer_of", found).join(
         sent, (F.col("transfer_of") == F.col("Pmt_No")) & F.col("ref_key").isNotNull(), "left"
@@ -521,6 +528,7 @@ def interest_assessed(tables: Tables, frame: DataFrame) -> list[DataFrame]:
         "Loan_Disburse_Subtype": F.col("Cashdisbmode"),
     }
     del shared["ACH_No"]
+    assessed = _wanted(assessed, "Pmt_Tran_No", frame.select("Pmt_Tran_No"), stored=True)
     return [entries(frame.join(assessed, "Pmt_Tran_No"), shared, [Line(FINANCE, F.col("Amount"))])]
 
 
@@ -670,6 +678,7 @@ def cashed_checks(tables: Tables, p: Params, kinds: Sequence[str] = ("check", "p
         "Appl_No", "Req_Due_Date", "Loan_Type", "Loan_Status", "PrintedCheckNo", "Req_Loan_Amt",
         F.col("Date_Created").alias("loan_created"),
     )
+    loans = _wanted(loans, "Appl_No", checks.select("ref_loan"))
     frame = checks.join(customers, "CustID").join(
         loans,
         (F.col("ref_loan") == F.col("Appl_No"))
@@ -741,6 +750,7 @@ def balance_changes(
         holds = (was != now) & now.isin(TRACKED_STATUSES) & (new != 0)
         return Line(account, new, holds, {"Tran_Type_Id": looked_up(now, ENTERED_STATUS)})
 
+    rows = _wanted(rows, "Appl_No", context.select("Appl_No"), stored=True)
     shared = {
         **loan_side(),
         "Tran_Date_Time": F.col("DateCreated"),

@@ -24,6 +24,22 @@ P = A.params("00003", date(1999, 1, 1), date(2001, 12, 31), datetime(2002, 1, 1,
 class Books(Sample, AccountingSample):
     """Accounting sample tables; loans, payments and transfers are stored as a source would hold them."""
 
+    def loan_appl(self, with_renewals: bool = True) -> DataFrame:
+        """No accounting table needs the loan that is renewed; the loans without it are stored as `ca_loan_appl` only.
+
+        With the renewed loan, a number that the orders repeat meets each of its rows. So it does here; the numbers
+        that are repeated (if any) are stored first, so that few of them need no shuffle of the loans.
+        """
+        if with_renewals:
+            return super().loan_appl()
+        orders = self.raw("orders").filter("o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL")
+        counted = orders.groupBy(F.col("o_orderkey").alias("repeated_no")).agg(F.count("*").cast("int").alias("times"))
+        repeated = self._kept("repeated_orders", lambda: counted.filter("times > 1"))
+        loans = AccountingSample.loan_appl(self, with_renewals=False)
+        met = loans.join(repeated, F.col("Appl_No") == F.col("repeated_no"), "left")
+        each = F.explode(F.array_repeat(F.lit(1), F.coalesce("times", F.lit(1))))
+        return met.withColumn("each", each).select(*loans.columns)
+
     def ca_loan_appl(self) -> DataFrame:
         build = super().ca_loan_appl
         return self._kept("ca_loan_appl", lambda: clean_codes(build(), extract.CODES["loans"]))
@@ -39,6 +55,9 @@ class Books(Sample, AccountingSample):
     def loans_of_stores(self) -> DataFrame:
         return self._kept("accounting-loans", lambda: A.loan_context(self.tables(), P))
 
+    def payments_of_stores(self) -> DataFrame:
+        return self._kept("accounting-payments", lambda: A.payment_frame(self.tables(), P, self.loans_of_stores()))
+
     def report(self) -> DataFrame:
         return self._kept("accounting-report", lambda: extract.report(self.tables(), P))
 
@@ -58,7 +77,13 @@ def _query(build: Callable[[A.Tables, DataFrame], list[DataFrame]]) -> Query:
 
 
 def _paid(build: Callable[[A.Tables, DataFrame], list[DataFrame]]) -> Query:
-    return _query(lambda t, c: build(t, A.payment_frame(t, P, c)))
+    """A block over the payments of the window; `build` gets the tables and these payments."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        books = Books(spark, folder)
+        return plain(_joined(build(books.tables(), books.payments_of_stores())))
+
+    return query
 
 
 def _by_line(first: int, names: list[tuple[str, int]], build) -> dict[str, Query]:

@@ -143,7 +143,7 @@ class AccountingSample(SampleTables):
             .drop("lows")
             .withColumn("n", F.row_number().over(inside))
         )
-        paid_on = F.date_add("Origin_Date", 7 * line)
+        paid_on = F.date_add("granted_on", 7 * line)
         rows = (
             numbered.select("*", F.explode("loans").alias("loan"))
             .select("*", "loan.*")
@@ -158,9 +158,7 @@ class AccountingSample(SampleTables):
         return rows.select(
             (F.col("l_orderkey") * 10_000_000 + F.col("n") * 64 + F.col("bucket")).alias("Pmt_Tran_No"),
             "Appl_No",
-            F.concat(
-                F.substring("Merch_Store_Id", 1, 5), padded(F.col("l_suppkey") % 4, 6)
-            ).alias("Merch_Store_Id"),
+            F.concat("merchant", padded(F.col("l_suppkey") % 4, 6)).alias("Merch_Store_Id"),
             at_time(paid_on, 11, 0).alias("Pmt_Date"),
             at_time(paid_on, 11, 0).alias("Date_Created"),
             "Pmt_Type",
@@ -183,9 +181,10 @@ class AccountingSample(SampleTables):
         The rows are gathered by one column more than they are joined by: the join then shuffles them itself and
         can split a loan with a large part of the lines.
         """
-        loans = self.loan_appl(with_renewals=False).select(
-            "Appl_No", F.struct("Merch_Store_Id", "Origin_Date").alias("loan"), F.lit(None).cast("bigint").alias("low")
+        granted = F.struct(
+            F.substring("Merch_Store_Id", 1, 5).alias("merchant"), F.col("Date_Created").cast("date").alias("granted_on")
         )
+        loans = self.ca_loan_appl().select("Appl_No", granted.alias("loan"), F.lit(None).cast("bigint").alias("low"))
         lows = self.raw("lineitem").select(
             F.col("l_orderkey").alias("Appl_No"),
             F.lit(None).cast(loans.schema["loan"].dataType).alias("loan"),

@@ -112,3 +112,18 @@ def test_payment_without_reference_gets_no_return_type(spark, books):
     frame = A.payment_frame(tables, P, A.loan_context(tables, P))
     assert frame.filter("Refno IS NULL AND ref_type IS NOT NULL").count() == 0
     assert frame.filter("Refno IS NOT NULL AND ref_type IS NULL").count() == 0
+
+
+def test_whole_tables_meet_only_the_keys_asked_for(spark, books):
+    """Before: all payments of the window met the loans, and all fees the voided ones."""
+    tables = books.tables()
+    context = books.loans_of_stores()
+
+    def semi_joins(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftSemi")
+
+    assert semi_joins(A.payment_frame(tables, P, context)) == 2
+    assert semi_joins(A.voids(tables, P, context, True, [A.FEE])[0]) == 2
+    paid = A.payment_frame(tables, P, context).select("Pmt_Tran_No")
+    plain = tables.payments.filter(P.during("Date_Created")).join(context.select("Appl_No"), "Appl_No").select("Pmt_Tran_No")
+    assert rows(paid) == rows(plain) != []

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 import re
-from collections import defaultdict
+import uuid
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from loanlens.plans.accounting_catalog import Books
 from loanlens.sources.sample_accounting import AccountingSample
 
 LINE = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, \
@@ -100,3 +102,27 @@ def test_renewal_links_join_orders_as_read(spark, made):
     above = joined[: joined.index("Join LeftOuter")]
     assert "Merch_Store_Id" in above and "Merch_Store_Id" not in joined[len(above) :]
     assert sample.loan_appl().filter(F.col("Ren_ApplNo").isNotNull()).select("Loan_Type").distinct().first()[0] == "R"
+
+
+class KeptBooks(Books):
+    """Stored books over made tables."""
+
+    def __init__(self, spark, tables):
+        super().__init__(spark, str(uuid.uuid4()))
+        self.tables_made = tables
+
+    def raw(self, name):
+        return self.tables_made[name]
+
+    def _file_state(self):
+        return 0
+
+
+def test_books_need_no_renewal_links(spark, made):
+    """Before: the loans of the books were those with their previous order, found by windows and two more joins."""
+    books = KeptBooks(spark, made[0].tables_made)
+    loans = books.loan_appl(with_renewals=False)
+    assert "Window" not in loans._jdf.queryExecution().optimizedPlan().toString()
+    found, wanted = Counter(loans.collect()), Counter(books.loan_appl().drop("Ren_ApplNo").collect())
+    assert found == wanted and max(r["Appl_No"] for r in found) == 9
+    assert Counter(r["Appl_No"] for r in found.elements())[3] == 4
