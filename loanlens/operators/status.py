@@ -84,12 +84,16 @@ def renewed_loans(loans: DataFrame) -> DataFrame:
     )
 
 
-def _with_renewed(spine: DataFrame, loans: DataFrame) -> DataFrame:
-    return (
-        spine.join(renewed_loans(loans), "Appl_No", "left")
-        .withColumn("is_renewed", F.coalesce("renewal", F.lit(False)))
-        .drop("renewal")
-    )
+def _paid_off(at: AsOf) -> Column:
+    return F.col("Loan_Status").isin("D", "P") & at.in_window(F.to_date("LastPmtDate"))
+
+
+def _with_renewed(spine: DataFrame, loans: DataFrame, at: AsOf) -> DataFrame:
+    """`is_renewed` of the loans paid off in the window. No rule asks it of others: they have False and need no join."""
+    asked = F.coalesce(_paid_off(at), F.lit(False))
+    joined = spine.filter(asked).join(renewed_loans(loans), "Appl_No", "left")
+    flagged = joined.withColumn("is_renewed", F.coalesce("renewal", F.lit(False))).drop("renewal")
+    return flagged.unionByName(spine.filter(~asked).withColumn("is_renewed", F.lit(False)))
 
 
 def _with_history(wide: DataFrame, history: DataFrame) -> DataFrame:
@@ -271,8 +275,11 @@ def classify(
     wide = spine
     if PAYMENTS in needs:
         wide = wide.join(payment_profile(payments), "Appl_No", "left")
+    if all(HISTORY in rule.needs for rule in chosen):
+        # Every rule on the history asks for a granted new loan or one paid off in the window.
+        wide = wide.filter((granted() & (F.col("Loan_Type") == "S")) | _paid_off(at))
     if RENEWED in needs:
-        wide = _with_renewed(wide, loans)
+        wide = _with_renewed(wide, loans, at)
     if HISTORY in needs and set(statuses) == {"New"}:
         # Whether a customer had an earlier loan needs the first one's day only.
         wide = wide.join(first_granted(spine), ["Cust_SSN", "Product"], "left")
@@ -281,11 +288,11 @@ def classify(
         spans = None
         if "React" in statuses:
             spans = active_spans(spine, payments, merchants, at, stored_facts)
-        wide = _with_history(wide, customer_history(_with_renewed(spine, loans), at, spans))
+        wide = _with_history(wide, customer_history(_with_renewed(spine, loans, at), at, spans))
         if spans is None:
             wide = wide.withColumn("open_before", F.lit(0))
         elif stored_facts is not None:
-            wide = _without_own_spans(wide, stored_facts, merchants)
+            wide = _without_own_spans(wide, spine, stored_facts, merchants)
     return _emit(wide, chosen)
 
 
@@ -322,8 +329,13 @@ def _with_store_product(facts: DataFrame, merchants: DataFrame) -> DataFrame:
     return facts.join(stores, "Merch_Store_Id")
 
 
-def _without_own_spans(wide: DataFrame, stored_facts: DataFrame, merchants: DataFrame) -> DataFrame:
-    """Take a loan's own stored Active rows out of `open_before`: only other loans count."""
+def _without_own_spans(
+    wide: DataFrame, spine: DataFrame, stored_facts: DataFrame, merchants: DataFrame
+) -> DataFrame:
+    """Take a loan's own stored Active rows out of `open_before`: only other loans count.
+
+    They are counted from the loans before any history was joined (`spine`).
+    """
     own = (
         _with_store_product(stored_facts.filter(F.col("Status") == "Active"), merchants)
         .select(
@@ -341,7 +353,7 @@ def _without_own_spans(wide: DataFrame, stored_facts: DataFrame, merchants: Data
         F.col("Subproduct")
     )
     counted = (
-        wide.join(own, "Appl_No")
+        spine.join(own, "Appl_No")
         .filter(
             (F.col("own_ssn") == F.col("Cust_SSN"))
             & (F.col("own_product") == F.col("Product"))

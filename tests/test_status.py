@@ -9,9 +9,12 @@ from decimal import Decimal
 import duckdb
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from loanlens.functions.dates import AsOf
-from loanlens.operators.status import FACT_COLUMNS, FACT_KEY, classify, renewals
+from loanlens.operators.status import (
+    FACT_COLUMNS, FACT_KEY, _paid_off, _with_renewed, classify, loans_with_product, renewals, renewed_loans,
+)
 from loanlens.plans.fact import RENEWAL_STATUSES, fact_batch, load_facts
 from oracle import loan_sql as L
 
@@ -224,3 +227,18 @@ def test_two_returns_on_the_first_day(spark):
 
 def test_store_without_product_has_no_status(spark):
     assert classify(*one_loan(spark, Merch_Store_Id="s4"), AT, SINGLE).count() == 0
+
+
+def test_only_loans_paid_off_are_looked_up_among_the_renewed(spark):
+    """Before: all loans were shuffled to meet the renewed ones. The others are False without a join."""
+    loan_rows, _ = random_tables(11)
+    loans = spark.createDataFrame(loan_rows, LOANS)
+    spine = loans_with_product(loans, spark.createDataFrame(STORE_ROWS, STORES))
+    found = _with_renewed(spine, loans, AT)
+    joined = spine.join(renewed_loans(loans), "Appl_No", "left").withColumn("is_renewed", F.coalesce("renewal", F.lit(False)))
+    asked = F.coalesce(_paid_off(AT), F.lit(False))
+    assert rows(found.select("Appl_No", "is_renewed")) == rows(joined.select("Appl_No", F.col("is_renewed") & asked))
+    assert 0 < found.filter("is_renewed").count() < joined.filter("is_renewed").count()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    left = plan[plan.index("Join LeftOuter") :].split("Aggregate")[0]
+    assert "Loan_Status" in left and " IN (D,P)" in left
