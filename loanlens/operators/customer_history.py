@@ -9,7 +9,7 @@ the rules. Loans pick up the answer with an equi-join on customer, product and d
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -74,7 +74,14 @@ def first_granted(loans: DataFrame) -> DataFrame:
     return loans.filter(granted()).groupBy(*KEYS).agg(F.min("Origin_Date").alias("first_day"))
 
 
-def customer_history(loans: DataFrame, at: AsOf, open_spans: DataFrame | None = None) -> DataFrame:
+def paid_since(day: Column) -> Column:
+    """Whether a loan that started before a day was paid off in its month or later."""
+    return F.coalesce(month_of(F.col("paid_before")) >= month_of(day), F.lit(False))
+
+
+def customer_history(
+    loans: DataFrame, at: AsOf, open_spans: DataFrame | None = None, only_asked: bool = False
+) -> DataFrame:
     """One row per customer, product and day, with
 
     `good_before`   a granted loan started earlier,
@@ -84,8 +91,11 @@ def customer_history(loans: DataFrame, at: AsOf, open_spans: DataFrame | None =
 
     `loans` needs Cust_SSN, Product, Origin_Date, Loan_Status, Loan_Type, LastPmtDate, is_renewed;
     `open_spans` needs Cust_SSN, Product, From_Date, To_Date.
+    `only_asked` gives only days that the rules ask about: days of the window, days of loans paid off in it, and days
+    after the start of a loan that was paid off later.
     """
-    steps = _loan_days(loans, at)
+    # Days of loans that were not granted tell the other days nothing, and no rule asks about them.
+    steps = _loan_days(loans.filter(granted()) if only_asked else loans, at)
     if open_spans is not None:
         steps = steps.unionByName(_span_days(open_spans))
     days = (
@@ -122,4 +132,8 @@ def customer_history(loans: DataFrame, at: AsOf, open_spans: DataFrame | None =
         started = F.sum("open_in_month").over(month.rowsBetween(W.unboundedPreceding, -1))
         history = history.withColumn("open_before", carried + F.coalesce(started, F.lit(0)))
     next_new = F.min(F.when(F.col("new_loan"), F.col("day"))).over(after)
-    return history.withColumn("next_new", next_new).select(*columns)
+    history = history.withColumn("next_new", next_new)
+    if only_asked:
+        in_window = at.in_window(F.to_date("day"))
+        history = history.filter(in_window | F.col("paid").isNotNull() | paid_since(F.col("day")))
+    return history.select(*columns)

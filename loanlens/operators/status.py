@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.dates import AsOf, is_midnight, month_of
 from loanlens.functions.loan import NOT_A_RENEWAL, granted, subproduct
-from loanlens.operators.customer_history import customer_history, first_granted
+from loanlens.operators.customer_history import customer_history, first_granted, paid_since
+from loanlens.session import written
 from loanlens.sources.tables import clean_codes
 
 FACT_KEY = ["Merch_Store_Id", "Subproduct", "Appl_No", "Cust_SSN", "Status"]
@@ -96,12 +98,49 @@ def _with_renewed(spine: DataFrame, loans: DataFrame, at: AsOf) -> DataFrame:
     return flagged.unionByName(spine.filter(~asked).withColumn("is_renewed", F.lit(False)))
 
 
-def _with_history(wide: DataFrame, history: DataFrame) -> DataFrame:
+def _with_payments(spine: DataFrame, payments: DataFrame, at: AsOf, returns: bool) -> DataFrame:
+    """The payment profile of loans that a rule without history can take: with a date of their own in the window, or
+    (`returns`) with a payment returned in it.
+
+    The latter's own dates stay out, as they tell nothing. The numbers asked for are stored first, so that the engine
+    knows how few they are.
+    """
+    dates = ["Origin_Date", "LastPmtDate", "Last_Modified", "Req_Due_Date"]
+    dated = reduce(Column.__or__, [F.coalesce(at.in_window(F.to_date(c)), F.lit(False)) for c in dates])
+    near = spine.filter(dated)
+    if returns:
+        late = payments.filter((F.col("Pmt_Type") == "N") & at.in_window(F.to_date("Pmt_Date"))).select("Appl_No")
+        late = written(late.distinct(), "returned")
+        kept = ["Merch_Store_Id", "Subproduct", "Appl_No", "Cust_SSN", "Product", "Loan_Status"]
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in spine.schema if f.name not in kept]
+        others = spine.filter(~dated).select(*kept).join(late, "Appl_No", "left_semi")
+        near = near.unionByName(others.select(*kept, *blank))
+    return near.join(payment_profile(payments), "Appl_No", "left")
+
+
+def _with_history(wide: DataFrame, history: DataFrame, how: str = "left") -> DataFrame:
     return wide.join(
-        history.withColumnRenamed("day", "Origin_Date"), ["Cust_SSN", "Product", "Origin_Date"], "left"
+        history.withColumnRenamed("day", "Origin_Date"), ["Cust_SSN", "Product", "Origin_Date"], how
     )
 
 
+def _with_asked_history(wide: DataFrame, history: DataFrame, at: AsOf, paid_earlier: bool) -> DataFrame:
+    """History of the loans that a rule on it can take.
+
+    These start in the window or were paid off in it. Any others (`paid_earlier`) have had an earlier loan paid off since
+    their own start: the few such days are stored by themselves, so that the engine knows how few they are.
+    """
+    history = written(history, "history")
+    started = at.in_window(F.to_date("Origin_Date"))
+    near = F.coalesce((granted() & (F.col("Loan_Type") == "S") & started) | _paid_off(at), F.lit(False))
+    found = _with_history(wide.filter(near), history)
+    if not paid_earlier:
+        return found
+    since = written(history.filter(paid_since(F.col("day")) & ~at.in_window(F.to_date("day"))), "paid_since")
+    others = wide.filter(~near & granted() & (F.col("Loan_Type") == "S"))
+    return found.unionByName(_with_history(others, since, "inner"))
+
+
 # -- the rules ---------------------------------------------------------------------------
 
 
@@ -273,9 +312,12 @@ def classify(
     needs = {need for rule in chosen for need in rule.needs}
     spine = loans_with_product(loans, merchants)
     wide = spine
-    if PAYMENTS in needs:
+    if PAYMENTS in needs and HISTORY not in needs:
+        wide = _with_payments(spine, payments, at, not {"Default_C", "Default_P"}.isdisjoint(statuses))
+    elif PAYMENTS in needs:
         wide = wide.join(payment_profile(payments), "Appl_No", "left")
-    if all(HISTORY in rule.needs for rule in chosen):
+    by_history = all(HISTORY in rule.needs for rule in chosen)
+    if by_history:
         # Every rule on the history asks for a granted new loan or one paid off in the window.
         wide = wide.filter((granted() & (F.col("Loan_Type") == "S")) | _paid_off(at))
     if RENEWED in needs:
@@ -288,7 +330,11 @@ def classify(
         spans = None
         if "React" in statuses:
             spans = active_spans(spine, payments, merchants, at, stored_facts)
-        wide = _with_history(wide, customer_history(_with_renewed(spine, loans, at), at, spans))
+        history = customer_history(_with_renewed(spine, loans, at), at, spans, by_history)
+        if by_history:
+            wide = _with_asked_history(wide, history, at, "PaidRel_2" in statuses)
+        else:
+            wide = _with_history(wide, history)
         if spans is None:
             wide = wide.withColumn("open_before", F.lit(0))
         elif stored_facts is not None:
@@ -383,6 +429,9 @@ def renewals(loans: DataFrame, merchants: DataFrame, at: AsOf, statuses: Sequenc
     new = spine.filter(
         (F.col("Loan_Type") == "R") & F.col("Ren_ApplNo").isNotNull() & at.in_window(F.to_date("Origin_Date"))
     ).select(*kept, "Ren_ApplNo", "store_known", F.to_date("Origin_Date").alias("renewed_on"))
+    # The loans renewed in the window are stored first, so that the engine knows how few old loans are asked for.
+    new = written(new, "renewing")
+    old = old.join(new.select(F.col("Ren_ApplNo").alias("old_Appl_No")), "old_Appl_No", "left_semi")
     pairs = new.join(old, (F.col("Ren_ApplNo") == F.col("old_Appl_No")) & (F.col("Cust_SSN") == F.col("old_Cust_SSN")))
 
     def side(label: str, prefix: str) -> Column:

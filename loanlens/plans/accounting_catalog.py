@@ -32,13 +32,7 @@ class Books(Sample, AccountingSample):
         """
         if with_renewals:
             return super().loan_appl()
-        orders = self.raw("orders").filter("o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL")
-        counted = orders.groupBy(F.col("o_orderkey").alias("repeated_no")).agg(F.count("*").cast("int").alias("times"))
-        repeated = self._kept("repeated_orders", lambda: counted.filter("times > 1"))
-        loans = AccountingSample.loan_appl(self, with_renewals=False)
-        met = loans.join(repeated, F.col("Appl_No") == F.col("repeated_no"), "left")
-        each = F.explode(F.array_repeat(F.lit(1), F.coalesce("times", F.lit(1))))
-        return met.withColumn("each", each).select(*loans.columns)
+        return self.met_as_often(AccountingSample.loan_appl(self, with_renewals=False), "Appl_No")
 
     def ca_loan_appl(self) -> DataFrame:
         build = super().ca_loan_appl

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loanlens.functions.loan import looked_up
+from loanlens.session import written
 
 # The product sold by store number 0..3 of each nation.
 STORE_PRODUCTS = ["Zip", "Pocket Money", "Mini Money", "Thurlow"]
@@ -77,26 +78,47 @@ class SampleTables:
             customer.select("c_custkey", "c_nationkey"), orders.o_custkey == customer.c_custkey
         )
 
-    def previous_orders(self) -> DataFrame:
-        """Order key -> the customer's previous order by date and key.
+    def previous_orders(self, asked: Column | None = None) -> DataFrame:
+        """Order key -> the customer's previous order by date and key; of the `asked` orders (all).
 
         Two steps, so that a customer with very many orders is spread over its days: the
-        previous order of the same day, or else the last order of the last earlier day.
+        previous order of the same day, or else the last order of the last earlier day. Both read one shuffle of the orders.
         """
         orders = self.raw("orders").select("o_custkey", "o_orderkey", day(F.col("o_orderdate")).alias("d"))
+        orders = orders.filter("o_custkey IS NOT NULL AND d IS NOT NULL").repartition("o_custkey", "d")
         within_day = W.partitionBy("o_custkey", "d").orderBy("o_orderkey")
         over_days = W.partitionBy("o_custkey").orderBy("d")
+        asked = F.lit(True) if asked is None else asked
         last_of_day = (
             orders.groupBy("o_custkey", "d")
-            .agg(F.max("o_orderkey").alias("last_key"))
-            .select("o_custkey", "d", F.lag("last_key").over(over_days).alias("earlier_key"))
+            .agg(F.max("o_orderkey").alias("last_key"), F.max(asked).alias("asked"))
+            .select("o_custkey", "d", F.lag("last_key").over(over_days).alias("earlier_key"), "asked")
+            .filter("asked")
+            .drop("asked")
         )
         return (
             orders.withColumn("same_day_key", F.lag("o_orderkey").over(within_day))
+            .filter(asked)
             .join(last_of_day, ["o_custkey", "d"])
             .select("o_orderkey", F.coalesce("same_day_key", "earlier_key").alias("previous_key"))
         )
 
+    def _repeated_orders(self) -> DataFrame:
+        """Order numbers that come more than once, and how often."""
+        orders = self.raw("orders").filter("o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL")
+        counted = orders.groupBy(F.col("o_orderkey").alias("repeated_no")).agg(F.count("*").cast("int").alias("times"))
+        return counted.filter("times > 1")
+
+    def repeated_orders(self) -> DataFrame:
+        """They are stored, so that few of them need no shuffle of what they meet."""
+        return written(self._repeated_orders(), "repeated_orders")
+
+    def met_as_often(self, rows: DataFrame, number: str) -> DataFrame:
+        """Every row as often as orders have its number: what a join with all rows of that number gives."""
+        met = rows.join(self.repeated_orders(), F.col(number) == F.col("repeated_no"), "left")
+        each = F.explode(F.array_repeat(F.lit(1), F.coalesce("times", F.lit(1))))
+        return met.withColumn("each", each).select(*rows.columns)
+
     def loan_appl(self, with_renewals: bool = True) -> DataFrame:
         k = F.col("o_orderkey")
         rank = F.substring("o_orderpriority", 1, 1)
@@ -116,9 +138,13 @@ class SampleTables:
         opened, status = F.col("opened"), F.col("status")
         orders = self.with_customer(orders)
         if with_renewals:
-            # The orders are joined almost as they are read: the loans made from them are twice as wide.
-            links = self.previous_orders().withColumnRenamed("o_orderkey", "renewing_key")
-            orders = orders.join(links, k == F.col("renewing_key"), "left")
+            # The orders are joined almost as they are read: the loans made from them are twice as wide. Only
+            # renewals meet the previous order; a repeated number meets each of its rows, whatever its kind.
+            renews = F.coalesce(kind == "R", F.lit(False))
+            links = self.previous_orders(renews).withColumnRenamed("o_orderkey", "renewing_key")
+            linked = orders.filter(renews).join(links, k == F.col("renewing_key"), "left").drop("renewing_key")
+            alone = self.met_as_often(orders.filter(~renews), "o_orderkey")
+            orders = linked.unionByName(alone.withColumn("previous_key", F.lit(None).cast("bigint")))
         renewed = [F.when(kind == "R", F.col("previous_key")).alias("Ren_ApplNo")] if with_renewals else []
         return orders.select(
             k.alias("Appl_No"),

@@ -12,10 +12,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from loanlens.functions.dates import AsOf
+from loanlens.operators.customer_history import customer_history
 from loanlens.operators.status import (
-    FACT_COLUMNS, FACT_KEY, _paid_off, _with_renewed, classify, loans_with_product, renewals, renewed_loans,
+    FACT_COLUMNS, FACT_KEY, _paid_off, _with_payments, _with_renewed, classify, loans_with_product, renewals, renewed_loans,
 )
-from loanlens.plans.fact import RENEWAL_STATUSES, fact_batch, load_facts
+from loanlens.plans.fact import HISTORY_STATUSES, LOAN_STATUSES, RENEWAL_STATUSES, fact_batch, load_facts
 from oracle import loan_sql as L
 
 AT = AsOf(date(2001, 6, 15))
@@ -242,3 +243,45 @@ def test_only_loans_paid_off_are_looked_up_among_the_renewed(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     left = plan[plan.index("Join LeftOuter") :].split("Aggregate")[0]
     assert "Loan_Status" in left and " IN (D,P)" in left
+
+
+def old_and_late(seed):
+    """Random loans of the window, and as many of five years before; every third of those has a payment returned lately."""
+    loan_rows, pay_rows = random_tables(seed, 200)
+    back = timedelta(days=5 * 365)
+    old = [
+        (r[0] + 1000, *r[1:4], r[4] - back, r[5] - back, *r[6:11], r[11] - back if r[0] % 4 else r[11], r[12] - back)
+        for r in loan_rows
+    ]
+    pays = [(p[0] + 1000, p[1] if p[0] % 3 == 0 else p[1] - back, *p[2:]) for p in pay_rows]
+    return loan_rows + old, pay_rows + pays
+
+
+@pytest.mark.parametrize("names", [LOAN_STATUSES, HISTORY_STATUSES])
+def test_old_loans_keep_what_reaches_the_window(spark, names):
+    loan_rows, pay_rows = old_and_late(8)
+    expected = brute_force(loan_rows, pay_rows, names)
+    assert {"Default_P", "Default_C"} <= {r[4] for r in expected if r[2] > 1000} or names is HISTORY_STATUSES
+    found = classify(*frames(spark, loan_rows, pay_rows), AT, names)
+    assert rows(found, *FACT_COLUMNS) == expected
+
+
+def test_only_loans_that_a_rule_can_take_meet_their_payments(spark):
+    """Before: every loan was shuffled to meet its payments."""
+    loan_rows, pay_rows = old_and_late(9)
+    loans, payments, stores = frames(spark, loan_rows, pay_rows)
+    met = _with_payments(loans_with_product(loans, stores), payments, AT, True)
+    late = {p[0] for p in pay_rows if p[2] == "N" and AT.window_opens_after < p[1] <= AT.month_close}
+    old = {r.Appl_No for r in met.collect() if r.Appl_No > 1000 and (r.Appl_No - 1000) % 4}
+    assert old and old <= late
+    assert met.count() < loans.count()
+
+
+def test_history_of_asked_days_only(spark):
+    """Before: every loan and every day was shuffled once more, to meet each other."""
+    loan_rows, _ = old_and_late(10)
+    loans = spark.createDataFrame(loan_rows, LOANS)
+    spine = _with_renewed(loans_with_product(loans, spark.createDataFrame(STORE_ROWS, STORES)), loans, AT)
+    everything, asked = customer_history(spine, AT), customer_history(spine, AT, only_asked=True)
+    assert set(rows(asked)) < set(rows(everything))
+    assert rows(asked.filter(asked.day > AT.window_opens_after)) and asked.filter(asked.day < date(1997, 1, 1)).count()
