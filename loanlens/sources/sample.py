@@ -84,11 +84,15 @@ class SampleTables:
         Two steps, so that a customer with very many orders is spread over its days: the
         previous order of the same day, or else the last order of the last earlier day. Both read one shuffle of the orders.
         """
-        orders = self.raw("orders").select("o_custkey", "o_orderkey", day(F.col("o_orderdate")).alias("d"))
-        orders = orders.filter("o_custkey IS NOT NULL AND d IS NOT NULL").repartition("o_custkey", "d")
+        opened = day(F.col("o_orderdate"))
+        # Orders without a date come before all days, and have no previous order themselves.
+        number = F.coalesce(F.unix_date(opened), F.lit(-(2**31)))
+        orders = self.raw("orders").filter("o_custkey IS NOT NULL")
+        orders = orders.select("o_custkey", "o_orderkey", number.alias("d"), opened.isNotNull().alias("dated"))
+        orders = orders.repartition("o_custkey", "d")
         within_day = W.partitionBy("o_custkey", "d").orderBy("o_orderkey")
         over_days = W.partitionBy("o_custkey").orderBy("d")
-        asked = F.lit(True) if asked is None else asked
+        asked = F.col("dated") if asked is None else F.col("dated") & asked
         last_of_day = (
             orders.groupBy("o_custkey", "d")
             .agg(F.max("o_orderkey").alias("last_key"), F.max(asked).alias("asked"))

@@ -32,8 +32,8 @@ def test_only_renewals_meet_the_previous_order(spark):
     }
     own = defaultdict(list)
     for k, c, _, _, d, _ in orders:
-        if c is not None and d is not None:
-            own[c].append((d, k is not None, k or 0))
+        if c is not None:
+            own[c].append((d or datetime.min, k is not None, k or 0))
     times = Counter(k for k, c, _, _, d, _ in orders if k is not None and c is not None and d is not None)
     found = Made(spark, tables).loan_appl().select("Appl_No", "Cust_Id", "Origin_Date", "Ren_ApplNo").collect()
     kept = [o for o in orders if o[1] in (1, 2)]
